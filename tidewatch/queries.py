@@ -210,3 +210,237 @@ def zscore_flag(spark, sf_dir):
     j = G.windows_with_baseline(TD.trades(ev), TD.snapshots(ev))
     return G.rounded(with_zscore(j).select("asset_symbol", "window_start",
                                            "z_score", "is_anomaly"))
+
+
+# ---------------------------------------------------------------- typing
+from tidewatch.operators import projections as P  # noqa: E402
+from tidewatch.operators.dedupe import dedupe_first  # noqa: E402
+from tidewatch.operators.diagnostic import window_size_diagnostic  # noqa: E402
+from tidewatch.operators.lag import lag_breaches as _lag_breaches  # noqa: E402
+from tidewatch.operators.merge import merge_insert_only, merge_upsert  # noqa: E402
+from tidewatch.sources.rejects import decode_records  # noqa: E402
+
+SQL_SILVER_TRADES = """
+SELECT event_id AS trade_id,
+       upper(event_type) || 'USDT' AS symbol,
+       upper(event_type) AS asset_symbol,
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price,
+       CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DECIMAL(38,8)) AS quantity,
+       make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time,
+       user_id % 2 = 0 AS is_buyer_maker,
+       ts AS ingested_at
+FROM events WHERE event_id % 2 = 1"""
+
+
+@register("silver_trades_typed", SQL_SILVER_TRADES)
+def silver_trades_typed(spark, sf_dir):
+    """PRJ-4/6/8, FUN-1/3/5/6/7: bronze text → silver types."""
+    return P.type_trades(TD.bronze_trades(_events(spark, sf_dir)))
+
+
+SQL_SILVER_SNAPS = """
+SELECT event_type AS id, event_type AS symbol, upper(event_type) AS asset_symbol,
+       CAST(value AS DECIMAL(38,8)) AS current_price,
+       CAST(value * 1000.0 AS DECIMAL(38,8)) AS market_cap,
+       CAST(user_id % 100 + 1 AS INTEGER) AS market_cap_rank,
+       CAST(value * 10.0 AS DECIMAL(38,8)) AS total_volume,
+       CAST(value + 1.0 AS DECIMAL(38,8)) AS high_24h,
+       CAST(value - 1.0 AS DECIMAL(38,8)) AS low_24h,
+       CAST(value / 100.0 AS DECIMAL(18,8)) AS price_change_percentage_24h,
+       date_trunc('millisecond', ts) AS last_updated,
+       ts AS ingested_at
+FROM events WHERE event_id % 2 = 0"""
+
+
+@register("silver_snapshots_typed", SQL_SILVER_SNAPS)
+def silver_snapshots_typed(spark, sf_dir):
+    """PRJ-5/7, FUN-2/5/8: 29-column snapshot typing (the populated columns)."""
+    s = P.type_snapshots(TD.bronze_snapshots(_events(spark, sf_dir)))
+    return s.select("id", "symbol", "asset_symbol", "current_price", "market_cap",
+                    "market_cap_rank", "total_volume", "high_24h", "low_24h",
+                    "price_change_percentage_24h", "last_updated", "ingested_at")
+
+
+@register("legacy_column_fallback", """
+SELECT event_id AS trade_id, ts AS ingested_at, event_id % 7 = 0 AS used_legacy
+FROM events WHERE event_id % 2 = 1""")
+def legacy_column_fallback(spark, sf_dir):
+    """PRJ-8: ``COALESCE(ingested_at, _ingested_at)``."""
+    b = TD.bronze_trades(_events(spark, sf_dir))
+    return b.select("trade_id", P.ingest_time().alias("ingested_at"),
+                    F.col("ingested_at").isNull().alias("used_legacy"))
+
+
+@register("normalize_raw_trades", """
+SELECT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
+       CAST(value AS VARCHAR) AS price,
+       CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS VARCHAR) AS quantity,
+       epoch_us(ts) // 1000 AS trade_time, user_id % 2 = 0 AS is_buyer_maker
+FROM events WHERE event_id % 2 = 1""")
+def normalize_raw_trades(spark, sf_dir):
+    """SRC-8, FLT-1, PRJ-1: envelope unwrap, event-type filter, renames."""
+    raw = P.parse_raw_events(TD.raw_trade_events(_events(spark, sf_dir)))
+    return P.normalize_trades(P.keep_trade_events(raw))
+
+
+@register("partition_key", """
+SELECT event_id AS trade_id, upper(event_type) || 'USDT-' || event_id AS partition_key
+FROM events WHERE event_id % 2 = 1""")
+def partition_key_query(spark, sf_dir):
+    """PRJ-2, FUN-13: ``symbol-tradeId`` distribution key, hash-partitioned on it."""
+    t = TD.trades(_events(spark, sf_dir))
+    return P.with_partition_key(t, spark.sparkContext.defaultParallelism).select(
+        "trade_id", "partition_key")
+
+
+# ---------------------------------------------------------------- merges
+SQL_MERGE_ROLES = """
+mx AS (SELECT max(trade_id) AS m FROM trades),
+target AS (SELECT t.* FROM trades t, mx WHERE t.trade_id * 10 < mx.m * 6),
+source AS (SELECT t.* REPLACE (price + 1 AS price) FROM trades t, mx
+           WHERE t.trade_id * 10 >= mx.m * 4)"""
+
+
+def _trade_roles(spark, sf_dir):
+    t = TD.trades(_events(spark, sf_dir)).select(
+        "trade_id", "symbol", "asset_symbol", "price", "quantity", "trade_time")
+    return TD.merge_roles(t, id_col="trade_id", value_col="price")
+
+
+@register("merge_insert_only_single", _with(SQL_TRADES, SQL_MERGE_ROLES) + """
+SELECT * FROM target
+UNION ALL
+SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.trade_id = s.trade_id)""")
+def merge_insert_only_single(spark, sf_dir):
+    """JON-1: insert-only merge on ``trade_id``."""
+    target, source = _trade_roles(spark, sf_dir)
+    return merge_insert_only(target, source, ["trade_id"])
+
+
+@register("merge_upsert", _with(SQL_TRADES, SQL_MERGE_ROLES) + """
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM source s WHERE s.asset_symbol = t.asset_symbol AND s.trade_id = t.trade_id)
+UNION ALL
+SELECT * FROM source""")
+def merge_upsert_query(spark, sf_dir):
+    """JON-5: upsert on a composite key; target-only rows kept."""
+    target, source = _trade_roles(spark, sf_dir)
+    return merge_upsert(target, source, ["asset_symbol", "trade_id"])
+
+
+@register("merge_source_dedup", _with(SQL_TRADES, SQL_MERGE_ROLES) + """,
+replayed AS (
+  SELECT *, 0 AS seq FROM source
+  UNION ALL
+  SELECT * REPLACE (price + 100 AS price), 1 AS seq FROM source WHERE trade_id % 10 = 1),
+firsts AS (
+  SELECT * EXCLUDE (rn, seq) FROM (
+    SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY seq) AS rn FROM replayed)
+  WHERE rn = 1)
+SELECT * FROM target
+UNION ALL
+SELECT * FROM firsts s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.trade_id = s.trade_id)""")
+def merge_source_dedup(spark, sf_dir):
+    """JON-6 + JON-1: repeats inside the source removed (first wins), then merged."""
+    target, source = _trade_roles(spark, sf_dir)
+    replayed = TD.with_replays(source, id_col="trade_id", value_col="price")
+    firsts = dedupe_first(replayed, ["trade_id"], ["seq"]).drop("seq")
+    return merge_insert_only(target, firsts, ["trade_id"])
+
+
+SQL_SNAP_ROLES = """
+mx AS (SELECT max(event_id) AS m FROM events),
+snap_t AS (SELECT e.* FROM events e, mx WHERE e.event_id % 2 = 0 AND e.event_id * 10 < mx.m * 6),
+snap_s AS (SELECT e.* REPLACE (value + 1 AS value) FROM events e, mx
+           WHERE e.event_id % 2 = 0 AND e.event_id * 10 >= mx.m * 4),
+typed_t AS (SELECT event_type AS id, upper(event_type) AS asset_symbol,
+                   CAST(value AS DECIMAL(38,8)) AS current_price,
+                   date_trunc('millisecond', ts) AS last_updated, ts AS ingested_at FROM snap_t),
+typed_s AS (SELECT event_type AS id, upper(event_type) AS asset_symbol,
+                   CAST(value AS DECIMAL(38,8)) AS current_price,
+                   date_trunc('millisecond', ts) AS last_updated, ts AS ingested_at FROM snap_s)"""
+
+
+@register("merge_insert_only_composite", _with(SQL_SNAP_ROLES) + """
+SELECT * FROM typed_t
+UNION ALL
+SELECT * FROM typed_s s WHERE NOT EXISTS (
+  SELECT 1 FROM typed_t t WHERE t.id = s.id AND t.last_updated = s.last_updated)""")
+def merge_insert_only_composite(spark, sf_dir):
+    """JON-2: insert-only merge of typed snapshots on ``(id, last_updated)``."""
+    ev = _events(spark, sf_dir).where(F.col("event_id") % 2 == 0)
+    t_ev, s_ev = TD.merge_roles(ev)
+    cols = ["id", "asset_symbol", "current_price", "last_updated", "ingested_at"]
+    target = P.type_snapshots(TD.bronze_snapshots(t_ev)).select(*cols)
+    source = P.type_snapshots(TD.bronze_snapshots(s_ev)).select(*cols)
+    return merge_insert_only(target, source, ["id", "last_updated"])
+
+
+# ---------------------------------------------------------------- decimal VWAP
+@register("vwap_decimal", """
+WITH typed AS (
+  SELECT upper(event_type) AS asset_symbol, ts AS trade_time,
+         CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price,
+         CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DECIMAL(38,8)) AS quantity
+  FROM events WHERE event_id % 2 = 1)
+SELECT asset_symbol, time_bucket(INTERVAL 10 MINUTE, trade_time) AS window_start,
+       round(CAST(sum(price * quantity) AS DOUBLE)
+             / CAST(sum(quantity) AS DOUBLE), 6) AS vwap,
+       round(CAST(sum(quantity) AS DOUBLE), 6) AS volume, count(*) AS trade_count
+FROM typed GROUP BY 1, 2""")
+def vwap_decimal(spark, sf_dir):
+    """AGG-2 with T1: exact decimal VWAP from silver-typed trades."""
+    typed = P.type_trades(TD.bronze_trades(_events(spark, sf_dir)))
+    w = tumbling_vwap(typed, exact_decimal=True)
+    return G.rounded(w.select("asset_symbol", "window_start", "vwap", "volume",
+                              "trade_count"))
+
+
+# ---------------------------------------------------------------- diagnostic
+@register("window_size_diagnostic", _with(SQL_TRADES) + """,
+sizes AS (SELECT unnest([5, 10, 15, 20]) AS window_minutes),
+counts AS (
+  SELECT window_minutes, asset_symbol,
+         floor(epoch_us(trade_time) / (window_minutes * 60000000)) AS b, count(*) AS n
+  FROM trades, sizes GROUP BY ALL),
+edges AS (SELECT window_minutes, asset_symbol, min(b) AS lo, max(b) AS hi
+          FROM counts GROUP BY ALL)
+SELECT c.window_minutes, c.asset_symbol, min(n) AS min_trades,
+       round(avg(n), 6) AS avg_trades, max(n) AS max_trades, count(*) AS windows
+FROM counts c JOIN edges e USING (window_minutes, asset_symbol)
+WHERE b > lo AND b < hi GROUP BY ALL""")
+def window_size_diagnostic_query(spark, sf_dir):
+    """AGG-5, WIN-4."""
+    return G.rounded(window_size_diagnostic(TD.trades(_events(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- lag report
+@register("lag_breaches", """
+WITH t AS (SELECT ts AS trade_time, ts + to_seconds(user_id) AS arrived_at
+           FROM events WHERE event_id % 2 = 1),
+per AS (SELECT date_trunc('minute', arrived_at) AS minute,
+               max((epoch_us(arrived_at) - epoch_us(trade_time)) // 1000) AS max_lag_ms
+        FROM t GROUP BY 1),
+b AS (SELECT * FROM per WHERE max_lag_ms > 60000)
+SELECT cur.minute, cur.max_lag_ms, prev.max_lag_ms AS prev_max_lag_ms
+FROM b cur JOIN b prev ON prev.minute = cur.minute - INTERVAL 1 MINUTE""")
+def lag_breaches_query(spark, sf_dir):
+    """STR-7: two consecutive one-minute periods with max lag > 60 s."""
+    return _lag_breaches(TD.trade_arrivals(_events(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- dead letter
+@register("dead_letter_split", """
+WITH recs AS (
+  SELECT event_id, 0 AS copy FROM events WHERE event_id % 2 = 1
+  UNION ALL
+  SELECT event_id, 1 AS copy FROM events WHERE event_id % 2 = 1 AND event_id % 10 = 1)
+SELECT printf('%012d-%d', event_id, copy) AS sequence_number,
+       CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS trade_id,
+       event_id % 11 = 0 AS is_rejected
+FROM recs""")
+def dead_letter_split(spark, sf_dir):
+    """SNK-4, STR-5, SRC-7: undecodable records set aside, the rest go on."""
+    d = decode_records(TD.stream_records(_events(spark, sf_dir)))
+    return d.select("sequence_number", F.col("trade.trade_id").alias("trade_id"),
+                    "is_rejected")

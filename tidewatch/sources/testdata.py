@@ -27,7 +27,8 @@ from tidewatch.functions.time import ntz_micros, partition_parts
 # Fixed values of the role mapping.
 TRADE_QUOTE = "USDT"
 LEGACY_STAMP_EVERY = 7          # event_id % 7 = 0 → only _ingested_at is set
-DUPLICATE_EVERY = 10            # event_id % 10 = 0 → row repeated in a source
+DUPLICATE_EVERY = 10            # id % 10 = 1 → row repeated in a source
+DUPLICATE_RESIDUE = 1
 MALFORMED_EVERY = 11            # event_id % 11 = 0 → payload is not JSON
 MALFORMED_PAYLOAD = "quebrado"
 TARGET_SHARE = 0.6
@@ -144,18 +145,20 @@ def merge_roles(df: DataFrame, id_col: str = "event_id",
     source's ``value`` raised by one so upsert and insert-only differ.
     The maximum is a scalar subquery, evaluated inside the plan."""
     max_id = df.select(F.max(id_col)).scalar()
-    target = df.where(F.col(id_col) < max_id * F.lit(TARGET_SHARE))
-    source = (df.where(F.col(id_col) >= max_id * F.lit(SOURCE_SHARE))
+    # integer arithmetic: id < 0.6 * max  <=>  10 * id < 6 * max
+    target = df.where(F.col(id_col) * 10 < max_id * int(TARGET_SHARE * 10))
+    source = (df.where(F.col(id_col) * 10 >= max_id * int(SOURCE_SHARE * 10))
                 .withColumn(value_col, F.col(value_col) + 1))
     return target, source
 
 
-def with_replays(df: DataFrame, id_col: str = "event_id") -> DataFrame:
-    """Source with in-source repeats: rows with ``id % 10 = 0`` appear twice;
+def with_replays(df: DataFrame, id_col: str = "event_id",
+                 value_col: str = "value") -> DataFrame:
+    """Source with in-source repeats: rows with ``id % 10 = 1`` appear twice;
     the repeat arrives later (``seq`` 1) and carries ``value + 100``."""
     first = df.withColumn("seq", F.lit(0))
-    again = (df.where(F.col(id_col) % DUPLICATE_EVERY == 0)
-               .withColumn("value", F.col("value") + 100)
+    again = (df.where(F.col(id_col) % DUPLICATE_EVERY == DUPLICATE_RESIDUE)
+               .withColumn(value_col, F.col(value_col) + 100)
                .withColumn("seq", F.lit(1)))
     return first.unionByName(again)
 
@@ -182,7 +185,7 @@ def raw_trade_events(events: DataFrame) -> DataFrame:
 
 def stream_records(events: DataFrame) -> DataFrame:
     """Stream records (base64 payload + sequence number) for every trade, with
-    in-source repeats (``id % 10 = 0`` sent twice) and non-JSON payloads for
+    in-source repeats (``id % 10 = 1`` sent twice) and non-JSON payloads for
     ``id % 11 = 0``."""
     t = events.where(_is_trade())
     payload = F.to_json(F.struct(
@@ -198,9 +201,20 @@ def stream_records(events: DataFrame) -> DataFrame:
     rec = t.select(
         F.base64(F.encode(text, "UTF-8")).alias("data"),
         F.col("event_id"), F.lit(0).alias("copy"))
-    again = rec.where(F.col("event_id") % DUPLICATE_EVERY == 0).withColumn("copy", F.lit(1))
+    again = (rec.where(F.col("event_id") % DUPLICATE_EVERY == DUPLICATE_RESIDUE)
+             .withColumn("copy", F.lit(1)))
     both = rec.unionByName(again)
     return both.select(
         "data",
         F.format_string("%012d-%d", F.col("event_id"), F.col("copy")).alias("sequence_number"),
         "event_id")
+
+
+def trade_arrivals(events: DataFrame) -> DataFrame:
+    """Trades with an arrival time for the lag report: a trade of user ``u``
+    reaches the consumer ``u`` seconds after it happened."""
+    return events.where(_is_trade()).select(
+        F.col("event_id").alias("trade_id"),
+        F.col("event_type").alias("asset_symbol"),
+        F.col("ts").alias("trade_time"),
+        F.timestamp_add("SECOND", F.col("user_id"), F.col("ts")).alias("arrived_at"))
