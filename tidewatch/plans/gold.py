@@ -85,3 +85,37 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def run_gold(spark, layout, staging: str, **kw) -> dict:
+    """Full recompute from silver, then upsert into gold by
+    (asset_symbol, window_start).
+
+    Affected days = days of the recomputed windows.  Their new content
+    (kept target rows + source rows) is written to ``staging`` first, then
+    swapped in with a dynamic day overwrite, so no plan overwrites a path it
+    reads.  If the swap is interrupted, rerunning :func:`swap_in_staging`
+    with the same staging folder finishes it; recomputing alone could lose
+    kept-but-stale rows."""
+    from tidewatch.operators.merge import merge_upsert
+    from tidewatch.plans.silver import silver_snapshots_for_gold, silver_trades_for_gold
+    from tidewatch.sources.tables import add_day, read_table
+
+    trades = silver_trades_for_gold(spark, layout)
+    snaps = silver_snapshots_for_gold(spark, layout)
+    source = add_day(typed_gold(score_windows(trades, snaps, exact_decimal=True, **kw)),
+                     "window_start")
+    target = read_table(spark, layout, "gold_anomalies")
+    days = source.select("part_day").distinct()
+    affected = target.join(days, "part_day", "left_semi")
+    new_content = merge_upsert(affected, source, GOLD_KEYS)
+    (new_content.write.mode("overwrite").partitionBy("part_day").parquet(staging))
+    return swap_in_staging(spark, layout, staging)
+
+
+def swap_in_staging(spark, layout, staging: str) -> dict:
+    from tidewatch.sources.tables import overwrite_days, with_day
+    from tidewatch import schemas as S
+    staged = spark.read.schema(with_day(S.GOLD_ANOMALIES)).parquet(staging)
+    overwrite_days(staged, layout.gold_anomalies)
+    return {"statusCode": 200}
