@@ -503,3 +503,117 @@ def stream_retry_atomic(spark, sf_dir):
     """STR-4: the sink fails on the first batch; the restarted query replays it
     with the old dedup state and every trade lands exactly once."""
     return _stream_run(spark, sf_dir, fail_first=True)
+
+
+# ---------------------------------------------------------------- bronze / jobs
+from tidewatch.plans import runner as R  # noqa: E402
+from tidewatch.plans import silver as SV  # noqa: E402
+from tidewatch.sources.bronze import hours_to_process, where_hours  # noqa: E402
+from tidewatch.sources.landing import land_jsonl  # noqa: E402
+from tidewatch.sources.tables import create_tables, read_table  # noqa: E402
+
+
+def _land_bronze(spark, sf_dir, root: str) -> Layout:
+    """Land the bronze text forms as JSON lines under the hour partitions of
+    their arrival stamp (one landing batch)."""
+    ev = _events(spark, sf_dir)
+    layout = Layout(root)
+    stamp = F.coalesce(F.col("ingested_at"), F.col("_ingested_at"))
+    for df, path in ((TD.bronze_trades(ev), layout.bronze_trades),
+                     (TD.bronze_snapshots(ev), layout.bronze_snapshots)):
+        land_jsonl(df.drop("year", "month", "day", "hour"), path, "backfill", stamp,
+                   files_per_partition=spark.sparkContext.defaultParallelism)
+    return layout
+
+
+SQL_LAST_TWO_HOURS = """
+WITH t AS (
+  SELECT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
+         CAST(value AS VARCHAR) AS price,
+         strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+         strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
+  FROM events WHERE event_id % 2 = 1),
+m AS (SELECT max(ts) AS mx FROM events WHERE event_id % 2 = 1),
+h AS (SELECT strftime(mx, '%Y') AS y, strftime(mx, '%m') AS mo,
+             strftime(mx, '%d') AS d, strftime(mx, '%H') AS hr FROM m
+      UNION ALL
+      SELECT strftime(mx - INTERVAL 1 HOUR, '%Y'), strftime(mx - INTERVAL 1 HOUR, '%m'),
+             strftime(mx - INTERVAL 1 HOUR, '%d'), strftime(mx - INTERVAL 1 HOUR, '%H') FROM m)
+SELECT t.* FROM t JOIN h ON t.year = h.y AND t.month = h.mo AND t.day = h.d AND t.hour = h.hr"""
+
+
+@register("hour_partition_filter", SQL_LAST_TWO_HOURS)
+def hour_partition_filter(spark, sf_dir):
+    """SRC-1/3/4, FLT-2, FUN-11, SNK-1, JOB-3: land bronze trades as JSON lines
+    under string hour partitions, then read back only the latest hour of data
+    and the hour before (partition-pruned scan)."""
+    root = scratch_path(spark, "bronze")
+    layout = _land_bronze(spark, sf_dir, root)
+    now = _events(spark, sf_dir).where(F.col("event_id") % 2 == 1) \
+        .agg(F.max("ts")).first()[0]
+    hours = hours_to_process(now)
+    bronze = where_hours(read_bronze_trades(spark, layout.bronze_trades), hours)
+    return bronze.select("trade_id", "symbol", "price", "year", "month", "day", "hour")
+
+
+@register("silver_trades_backfill", """
+SELECT DISTINCT event_id AS trade_id, upper(event_type) AS asset_symbol,
+       CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price,
+       make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time, ts AS ingested_at
+FROM events WHERE event_id % 2 = 1""")
+def silver_trades_backfill(spark, sf_dir):
+    """JOB-2/4, JOB-1 mode switch: backfill merge of landed bronze trades into
+    silver, run twice (the second run must add nothing), then one incremental
+    run over the latest two hours (also adds nothing)."""
+    root = scratch_path(spark, "silver")
+    layout = _land_bronze(spark, sf_dir, root)
+    create_tables(spark, layout)
+
+    def build(hours):
+        SV.run_silver_trades(spark, layout, hours)
+
+    R.handle({"backfill": True}, build)
+    R.handle({"backfill": True}, build)
+    now = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    R.handle({}, build, now=now)
+    return read_table(spark, layout, "silver_trades").select(
+        "trade_id", "asset_symbol", "price", "trade_time", "ingested_at")
+
+
+SQL_GOLD_TYPED = _with(
+    SQL_TRADES.replace("value AS price", "CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price")
+              .replace("CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DOUBLE)",
+                       "CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DECIMAL(38,8))")
+              .replace("ts AS trade_time", "make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time")
+              .replace("event_type AS asset_symbol", "upper(event_type) AS asset_symbol"),
+    SQL_SNAPS.replace("event_type AS asset_symbol", "upper(event_type) AS asset_symbol"),
+    SQL_BASELINE,
+    SQL_AGG.replace("sum(price * quantity) / sum(quantity) AS vwap",
+                    "CAST(sum(price * quantity) / sum(quantity) AS DECIMAL(38,8)) AS vwap"),
+    SQL_JOINED) + """
+SELECT asset_symbol, window_start, window_end,
+       round(CAST(vwap AS DOUBLE), 6) AS vwap, round(CAST(volume AS DOUBLE), 6) AS volume,
+       trade_count,
+       round(CAST(CAST(baseline_mean AS DECIMAL(38,8)) AS DOUBLE), 6) AS baseline_mean,
+       round(CAST(CAST(baseline_stddev AS DECIMAL(38,8)) AS DOUBLE), 6) AS baseline_stddev,
+       round(CAST(CAST((CAST(vwap AS DOUBLE) - baseline_mean) / baseline_stddev
+                       AS DECIMAL(18,8)) AS DOUBLE), 6) AS z_score,
+       coalesce(abs((CAST(vwap AS DOUBLE) - baseline_mean) / baseline_stddev) > 3, false)
+         AS is_anomaly
+FROM joined WHERE baseline_stddev > 0"""
+
+
+@register("gold_upsert_job", SQL_GOLD_TYPED)
+def gold_upsert_job(spark, sf_dir):
+    """JOB-5/6, JON-5, SNK-5/6, SRC-9 end to end: bronze → silver (trades and
+    snapshots) → gold upsert, run twice; the gold table equals one full
+    recompute."""
+    root = scratch_path(spark, "gold")
+    layout = _land_bronze(spark, sf_dir, root)
+    create_tables(spark, layout)
+    SV.run_silver_trades(spark, layout)
+    SV.run_silver_snapshots(spark, layout)
+    for i in range(2):
+        G.run_gold(spark, layout, f"{root}/staging-{i}")
+    from tidewatch.sources.tables import read_anomalies
+    return G.rounded(read_anomalies(spark, layout))
