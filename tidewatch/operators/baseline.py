@@ -66,28 +66,28 @@ def moving_stats_halo(df: DataFrame, by: str = "asset_symbol",
     return out.where(F.col("_bk") == F.col("_home")).drop("_t", "_home", "_bk")
 
 
-def _merge(a: Column, b: Column) -> Column:
-    """Pairwise merge of (n, mean, m2) structs; n = 0 is the identity."""
-    n = a["n"] + b["n"]
-    delta = b["mean"] - a["mean"]
-    mean = a["mean"] + delta * b["n"] / n
-    m2 = a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n
-    merged = F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
-    return F.when(a["n"] == 0, b).when(b["n"] == 0, a).otherwise(merged)
-
-
-def _moments(value: str, w: Window | None = None) -> Column:
-    """(n, mean, m2) of the non-null values, as a struct (n = 0 when empty)."""
-    def ov(c: Column) -> Column:
-        return c.over(w) if w is not None else c
-    n = ov(F.count(value))
-    mean = F.coalesce(ov(F.avg(value)), F.lit(0.0))
-    m2 = F.coalesce(ov(F.var_pop(value)) * n, F.lit(0.0))
-    return F.struct(n.cast("long").alias("n"), mean.cast("double").alias("mean"),
-                    m2.cast("double").alias("m2"))
-
-
-_EMPTY = "named_struct('n', 0L, 'mean', 0D, 'm2', 0D)"
+def _moments(value: str, w: Window, prefix: str) -> list[Column]:
+    """count, mean and M2 (sum of squared deviations) of the non-null values
+    over ``w``, as three columns; an empty frame gives (0, 0.0, 0.0)."""
+    n = F.count(value).over(w)
+    return [n.alias(f"{prefix}_n"),
+            F.coalesce(F.avg(value).over(w), F.lit(0.0)).alias(f"{prefix}_mean"),
+            F.coalesce(F.var_pop(value).over(w) * n, F.lit(0.0)).alias(f"{prefix}_m2")]
+
+
+def _combine(parts: list[str]) -> tuple[Column, Column, Column]:
+    """k-way merge of (n, mean, M2) parts (Chan et al.): the pooled mean is
+    the weighted mean, and M2 adds each part's n * (mean_i - mean)^2 — no
+    difference of large sums, so it stays exact to rounding."""
+    n = sum((F.col(f"{p}_n") for p in parts[1:]), F.col(f"{parts[0]}_n"))
+    num = sum((F.col(f"{p}_n") * F.col(f"{p}_mean") for p in parts[1:]),
+              F.col(f"{parts[0]}_n") * F.col(f"{parts[0]}_mean"))
+    mean = F.try_divide(num, n.cast("double"))
+    m2 = F.lit(0.0)
+    for p in parts:
+        d = F.col(f"{p}_mean") - mean
+        m2 = m2 + F.col(f"{p}_m2") + F.col(f"{p}_n") * d * d
+    return n, mean, m2
 
 
 def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
@@ -106,48 +106,59 @@ def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
     # 1. prefix of the own slot, up to and including peers of t
     wp = (Window.partitionBy(by, "_k").orderBy("_t")
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    with_prefix = base.select("*", _moments("_v", wp).alias("_pre"))
-
-    # 2. per-slot summaries, then the merge of the m-1 slots before each slot
-    slots = base.groupBy(by, "_k").agg(_moments("_v").alias("_s"))
+    with_prefix = base.select(*cols, "_k", "_t", *_moments("_v", wp, "_pre"))
+
+    # 2. per-slot summaries, then the pooled summary of the m-1 slots before
+    #    each slot (a sliding frame over a table of assets x slots rows)
+    slots = base.groupBy(by, "_k").agg(
+        F.count("_v").alias("n"),
+        F.coalesce(F.avg("_v"), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("m2"))
     wm = Window.partitionBy(by).orderBy("_k").rangeBetween(-(m - 1), -1)
-    middle = slots.select(
+    pooled = slots.select(
         by, "_k",
-        F.aggregate(F.collect_list("_s").over(wm), F.expr(_EMPTY),
-                    _merge).alias("_mid"))
-
-    # 3. suffix of slot k-m from t - frame on: probes ride along with the rows
-    #    of slot k-m, ordered newest first; a running frame counts rows >= probe
+        F.sum("n").over(wm).alias("_mid_n"),
+        F.sum(F.col("n") * F.col("mean")).over(wm).alias("_s"),
+        F.sum("m2").over(wm).alias("_w2"),
+        F.collect_list(F.struct("n", "mean")).over(wm).alias("_parts"))
+    mid_mean = F.try_divide(F.col("_s"), F.col("_mid_n").cast("double"))
+    middle = pooled.select(
+        F.col(by).alias("_mby"), F.col("_k").alias("_mk"),
+        F.coalesce(F.col("_mid_n"), F.lit(0)).alias("_mid_n"),
+        F.coalesce(mid_mean, F.lit(0.0)).alias("_mid_mean"),
+        F.coalesce(F.col("_w2") + F.aggregate(
+            "_parts", F.lit(0.0),
+            lambda acc, x: acc + x["n"] * (x["mean"] - mid_mean) * (x["mean"] - mid_mean)),
+            F.lit(0.0)).alias("_mid_m2"))
+
+    # 3. suffix of slot k-m from t - frame on: each row sends a probe into
+    #    slot k-m; ordered newest first, a running frame covers rows >= probe
+    pre_cols = ["_pre_n", "_pre_mean", "_pre_m2"]
     probes = with_prefix.select(
-        *cols, "_pre", F.col("_k").alias("_home"),
+        *cols, *pre_cols, F.col("_k").alias("_home"),
         (F.col("_k") - m).alias("_slot"), (F.col("_t") - frame).alias("_t"),
         F.lit(None).cast("double").alias("_v"))
     reals = base.select(
         *[(F.col(c) if c == by else F.lit(None).cast(df.schema[c].dataType)).alias(c)
           for c in cols],
-        F.lit(None).cast(with_prefix.schema["_pre"].dataType).alias("_pre"),
+        *[F.lit(None).cast(with_prefix.schema[c].dataType).alias(c) for c in pre_cols],
         F.lit(None).cast("long").alias("_home"), F.col("_k").alias("_slot"),
         "_t", "_v")
     ws = (Window.partitionBy(by, "_slot").orderBy(F.col("_t").desc())
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     suffixed = (probes.unionByName(reals)
-                .select("*", _moments("_v", ws).alias("_suf"))
+                .select("*", *_moments("_v", ws, "_suf"))
                 .where(F.col("_home").isNotNull()))
 
-    # 4. combine prefix + middle + suffix
-    mid_t = middle.select(F.col(by).alias("_mby"), F.col("_k").alias("_mk"), "_mid")
+    # 4. prefix + middle + suffix
     joined = suffixed.join(
-        mid_t, F.col(by).eqNullSafe(F.col("_mby")) & (F.col("_home") == F.col("_mk")),
-        "left")
-    mid = F.coalesce(F.col("_mid"), F.expr(_EMPTY))
-    total = _merge(_merge(F.col("_suf"), mid), F.col("_pre"))
-    out = joined.select(*cols, total.alias("_tot"))
-    n = F.col("_tot.n")
-    return out.select(
+        middle, F.col(by).eqNullSafe(F.col("_mby")) & (F.col("_home") == F.col("_mk")),
+        "left").fillna(0, subset=["_mid_n"]).fillna(0.0, subset=["_mid_mean", "_mid_m2"])
+    n, mean, m2 = _combine(["_pre", "_mid", "_suf"])
+    return joined.select(
         *cols,
-        F.when(n > 0, F.col("_tot.mean")).alias(mean_col),
-        F.when(n > 1, F.sqrt(F.greatest(F.col("_tot.m2"), F.lit(0.0)) / (n - 1)))
-         .alias(std_col))
+        F.when(n > 0, mean).alias(mean_col),
+        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
 
 
 def moving_stats(df: DataFrame, form: str = "sliced", **kw) -> DataFrame:
