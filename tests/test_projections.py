@@ -1,0 +1,102 @@
+import datetime as dt
+import decimal
+
+from pyspark.sql import functions as F
+
+from tidewatch import schemas as S
+from tidewatch.functions.casts import to_decimal, trade_asset
+from tidewatch.operators import projections as P
+
+D = decimal.Decimal
+
+
+def _bronze_trade(spark, **over):
+    row = {"trade_id": 1, "symbol": "BTCUSDT", "price": "67800.50000001",
+           "quantity": "0.00000001", "trade_time": 1672515782136,
+           "is_buyer_maker": False, "ingested_at": "2026-06-10T14:30:00+00:00",
+           "_ingested_at": None, "year": "2026", "month": "06", "day": "10",
+           "hour": "14"}
+    row.update(over)
+    return spark.createDataFrame([tuple(row[f.name] for f in S.BRONZE_TRADES)],
+                                 S.BRONZE_TRADES)
+
+
+def test_asset_suffix_only_trailing(spark):
+    df = spark.createDataFrame([("BTCUSDT",), ("USDTBTC",), ("ETHUSDTUSDT",)], "s string")
+    got = [r[0] for r in df.select(trade_asset("s")).collect()]
+    assert got == ["BTC", "USDTBTC", "ETHUSDT"]
+
+
+def test_decimal_half_up_and_quarantine(spark):
+    df = spark.createDataFrame([("0.123456785",), ("bad",)], "s string")
+    got = df.select(to_decimal("s", strict=False).alias("d")).collect()
+    assert got[0]["d"] == D("0.12345679")
+    assert got[1]["d"] is None
+
+
+def test_type_trades_keeps_precision_and_millis(spark):
+    t = P.type_trades(_bronze_trade(spark)).first()
+    assert t["price"] == D("67800.50000001")
+    assert t["quantity"] == D("0.00000001")
+    assert t["asset_symbol"] == "BTC"
+    assert t["trade_time"] == dt.datetime(2022, 12, 31, 19, 43, 2, 136000)
+    assert t["ingested_at"] == dt.datetime(2026, 6, 10, 14, 30)
+
+
+def test_legacy_fallback_and_precedence(spark):
+    legacy = P.type_trades(_bronze_trade(spark, ingested_at=None,
+                                         _ingested_at="2025-01-01T00:00:00Z")).first()
+    assert legacy["ingested_at"] == dt.datetime(2025, 1, 1)
+    both = P.type_trades(_bronze_trade(spark, _ingested_at="2025-01-01T00:00:00Z")).first()
+    assert both["ingested_at"] == dt.datetime(2026, 6, 10, 14, 30)
+
+
+def test_type_snapshots_columns_and_types(spark):
+    vals = {c: None for c in S.BRONZE_SNAPSHOTS.fieldNames()}
+    vals.update({"id": "bitcoin", "symbol": "btc", "current_price": 65000.0,
+                 "price_change_percentage_24h": 1.234567891,
+                 "last_updated": "2026-06-10T14:29:59.123Z",
+                 "ingested_at": "2026-06-10T14:30:00+00:00"})
+    df = spark.createDataFrame([tuple(vals[c] for c in S.BRONZE_SNAPSHOTS.fieldNames())],
+                               S.BRONZE_SNAPSHOTS)
+    out = P.type_snapshots(df)
+    assert out.columns == S.SILVER_SNAPSHOT_COLS and len(out.columns) == 29
+    r = out.first()
+    assert r["asset_symbol"] == "BTC"
+    assert r["current_price"] == D("65000.00000000")
+    assert r["price_change_percentage_24h"] == D("1.23456789")
+    assert r["last_updated"] == dt.datetime(2026, 6, 10, 14, 29, 59, 123000)
+    assert dict(out.dtypes)["price_change_percentage_24h"] == "decimal(18,8)"
+
+
+def test_normalize_raw_events(spark):
+    msgs = [
+        '{"e":"aggTrade","s":"BTCUSDT","a":12345,"p":"67800.50000001",'
+        '"q":"0.00000001","T":1672515782136,"m":true}',
+        '{"stream":"btcusdt@aggTrade","data":{"e":"aggTrade","s":"ETHUSDT","a":7,'
+        '"p":"1.5","q":"2","T":1,"m":false}}',
+        '{"e":"markPrice","s":"BTCUSDT","a":1}',
+        '{"s":"BTCUSDT","a":2}',
+        'not json',
+    ]
+    df = spark.createDataFrame([(m,) for m in msgs], "message string")
+    out = P.normalize_trades(P.keep_trade_events(P.parse_raw_events(df)))
+    rows = sorted(out.collect(), key=lambda r: r["trade_id"])
+    assert [r["trade_id"] for r in rows] == [7, 12345]
+    assert rows[1].asDict() == {"trade_id": 12345, "symbol": "BTCUSDT",
+                                "price": "67800.50000001", "quantity": "0.00000001",
+                                "trade_time": 1672515782136, "is_buyer_maker": True}
+
+
+def test_partition_key(spark):
+    df = spark.createDataFrame([("BTCUSDT", 42)], "symbol string, trade_id long")
+    out = P.with_partition_key(df, 4)
+    assert out.first()["partition_key"] == "BTCUSDT-42"
+    assert out.rdd.getNumPartitions() == 4
+
+
+def test_stamp_is_one_value_per_batch(spark):
+    df = spark.range(5)
+    now = dt.datetime(2026, 6, 10, 14, 30, tzinfo=dt.timezone.utc)
+    out = P.stamp_ingested_at(df.withColumn("ingested_at", F.lit("old")), now)
+    assert {r["ingested_at"] for r in out.collect()} == {"2026-06-10T14:30:00+00:00"}
