@@ -99,3 +99,22 @@ def test_backfill_propagates_errors():
         raise ValueError("bad")
     with pytest.raises(ValueError, match="bad"):
         R.process_backfill(build)
+
+
+def test_snapshot_response_ingest(spark, tmp_dir):
+    from tidewatch.plans.snapshot_ingest import ingest_snapshots
+    from tidewatch.sources.bronze import read_bronze_snapshots, within_years
+    resp = os.path.join(tmp_dir, "resp.json")
+    with open(resp, "w") as f:
+        json.dump([{"id": "bitcoin", "current_price": 65000, "roi": None, "image": "x"},
+                   {"id": "ethereum", "current_price": 3500}], f)
+    out = os.path.join(tmp_dir, "bronze")
+    assert ingest_snapshots(spark, resp, out, NOW)["records"] == 2
+    df = read_bronze_snapshots(spark, out)
+    assert sorted(r["id"] for r in df.collect()) == ["bitcoin", "ethereum"]
+    assert "roi" not in df.columns
+    assert within_years(df, (2027, 2030)).count() == 0
+    empty = os.path.join(tmp_dir, "empty.json")
+    with open(empty, "w") as f:
+        f.write("[]")
+    assert ingest_snapshots(spark, empty, os.path.join(tmp_dir, "b2"), NOW)["records"] == 0

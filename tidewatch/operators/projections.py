@@ -102,3 +102,4 @@ def type_snapshots(bronze: DataFrame, strict: bool = True) -> DataFrame:
         else:
             out.append(F.col(name))
     return bronze.select(*out)
+

@@ -617,3 +617,37 @@ def gold_upsert_job(spark, sf_dir):
         G.run_gold(spark, layout, f"{root}/staging-{i}")
     from tidewatch.sources.tables import read_anomalies
     return G.rounded(read_anomalies(spark, layout))
+
+
+# ---------------------------------------------------------------- snapshot ingest
+from tidewatch.functions.time import iso_to_ntz  # noqa: E402
+from tidewatch.plans.snapshot_ingest import ingest_snapshots  # noqa: E402
+from tidewatch.sources.bronze import read_bronze_snapshots  # noqa: E402
+
+INGEST_CLOCK = "2026-06-10T14:30:00+00:00"   # the landing clock of this query
+
+
+@register("snapshot_ingest_batch", f"""
+SELECT event_type AS id, value AS current_price,
+       date_trunc('millisecond', ts) AS last_updated,
+       '{INGEST_CLOCK}' AS ingested_at, '2026' AS year, '06' AS month, '10' AS day,
+       '14' AS hour
+FROM events WHERE event_id % 2 = 0""")
+def snapshot_ingest_batch(spark, sf_dir):
+    """JOB-8, SNK-2/3, SRC-2/3/5, PRJ-3: market responses (JSON lines with
+    undeclared keys) are stamped with one ingest time, landed and read back
+    through the bronze snapshot table within the visible year range."""
+    import datetime as dt
+    root = scratch_path(spark, "snapshots")
+    resp = TD.bronze_snapshots(_events(spark, sf_dir)).drop(
+        "ingested_at", "_ingested_at", "year", "month", "day", "hour")
+    resp = resp.withColumn("roi", F.lit(None).cast("string")).withColumn(
+        "image", F.concat(F.lit("https://img/"), F.col("id")))
+    resp.write.json(f"{root}/response")
+    now = dt.datetime.fromisoformat(INGEST_CLOCK)
+    res = ingest_snapshots(spark, f"{root}/response", f"{root}/bronze", now, multiline=False)
+    assert res["statusCode"] == 200
+    got = read_bronze_snapshots(spark, f"{root}/bronze", year_range=(2026, 2030))
+    return got.select("id", "current_price",
+                      iso_to_ntz("last_updated").alias("last_updated"),
+                      "ingested_at", "year", "month", "day", "hour")
