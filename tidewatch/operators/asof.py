@@ -38,18 +38,20 @@ def _sides(left: DataFrame, right: DataFrame, by: str, left_ts: str,
     rt = (right.where(F.col(by).isNotNull())
           .select(F.col(by).alias("_by"), right_key.alias("_key"),
                   F.lit(0).alias("_side"), rrow.alias("_r")))
-    lschema, rschema = lt.schema["_l"].dataType, rt.schema["_r"].dataType
-    lt = lt.withColumn("_r", F.lit(None).cast(rschema))
-    rt = rt.withColumn("_l", F.lit(None).cast(lschema))
     return lt, rt
 
 
+def _union(lt: DataFrame, rt: DataFrame) -> DataFrame:
+    """Both sides in one frame; each side's struct is null on the other."""
+    return lt.unionByName(rt, allowMissingColumns=True)
+
+
 def asof_join_plain(left: DataFrame, right: DataFrame, by: str, left_ts: str,
                     right_ts: str, payload: list[str]) -> DataFrame:
     lt, rt = _sides(left, right, by, left_ts, ntz_micros(right_ts), payload)
     w = (Window.partitionBy("_by").orderBy("_key", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = lt.unionByName(rt).select(
+    u = _union(lt, rt).select(
         "_side", "_l", F.last("_r", ignorenulls=True).over(w).alias("_m"))
     return u.where(F.col("_side") == 1).select(
         *[F.col(f"_l.{c}").alias(c) for c in left.columns],
@@ -75,7 +77,7 @@ def asof_join_bucketed(left: DataFrame, right: DataFrame, by: str,
 
     w = (Window.partitionBy("_by", "_b").orderBy("_key", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = (lt.unionByName(rt)
+    inb = (_union(lt, rt)
            .select("_by", "_b", "_side", "_l",
                    F.last("_r", ignorenulls=True).over(w).alias("_m"))
            .where(F.col("_side") == 1))

@@ -20,9 +20,13 @@ Three physical forms with identical results:
     slots ``k-m+1 .. k-1``, and rows of slot ``k-m`` from ``t - frame`` on
     (suffix).  Prefix and suffix are running (not sliding) windows over one
     slot each; the middle merges at most ``m-1`` per-slot summaries.  The three
-    parts are combined with the pairwise (Chan) update of count, mean and M2,
+    parts are combined with the k-way (Chan) merge of count, mean and M2,
     which is numerically stable.  Every task holds one slot of one asset, and
     the cost is linear in the rows.
+
+``baseline_at_grid`` (used by the gold plan)
+    The same decomposition evaluated only at the newest row of each grid
+    group — the only rows an as-of join on grid times can pick.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.time import MICROS_PER_HOUR, MICROS_PER_MINUTE, ntz_micros
+from tidewatch.functions.time import (
+    MICROS_PER_HOUR, MICROS_PER_MINUTE, micros_to_ntz, ntz_micros,
+)
 
 FRAME = 6 * MICROS_PER_HOUR
 SLOT = 10 * MICROS_PER_MINUTE
@@ -79,15 +85,16 @@ def _combine(parts: list[str]) -> tuple[Column, Column, Column]:
     """k-way merge of (n, mean, M2) parts (Chan et al.): the pooled mean is
     the weighted mean, and M2 adds each part's n * (mean_i - mean)^2 — no
     difference of large sums, so it stays exact to rounding."""
-    n = sum((F.col(f"{p}_n") for p in parts[1:]), F.col(f"{parts[0]}_n"))
-    num = sum((F.col(f"{p}_n") * F.col(f"{p}_mean") for p in parts[1:]),
-              F.col(f"{parts[0]}_n") * F.col(f"{parts[0]}_mean"))
-    mean = F.try_divide(num, n.cast("double"))
-    m2 = F.lit(0.0)
-    for p in parts:
-        d = F.col(f"{p}_mean") - mean
-        m2 = m2 + F.col(f"{p}_m2") + F.col(f"{p}_n") * d * d
-    return n, mean, m2
+    n = " + ".join(f"{p}_n" for p in parts)
+    mean = "try_divide({}, CAST({} AS DOUBLE))".format(
+        " + ".join(f"{p}_n * {p}_mean" for p in parts), n)
+    m2 = " + ".join(f"{p}_m2 + {p}_n * ({p}_mean - {mean}) * ({p}_mean - {mean})"
+                    for p in parts)
+    return F.expr(n), F.expr(mean), F.expr(m2)
+
+
+# second pass over pooled slot summaries: sum of n_i * (mean_i - mean)^2
+_SPREAD = "aggregate(_parts, 0D, (acc, x) -> acc + x.n * (x.mean - {m}) * (x.mean - {m}))"
 
 
 def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
@@ -126,10 +133,8 @@ def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
         F.col(by).alias("_mby"), F.col("_k").alias("_mk"),
         F.coalesce(F.col("_mid_n"), F.lit(0)).alias("_mid_n"),
         F.coalesce(mid_mean, F.lit(0.0)).alias("_mid_mean"),
-        F.coalesce(F.col("_w2") + F.aggregate(
-            "_parts", F.lit(0.0),
-            lambda acc, x: acc + x["n"] * (x["mean"] - mid_mean) * (x["mean"] - mid_mean)),
-            F.lit(0.0)).alias("_mid_m2"))
+        F.coalesce(F.col("_w2") + F.expr(_SPREAD.format(m="try_divide(_s, CAST(_mid_n AS DOUBLE))")),
+                   F.lit(0.0)).alias("_mid_m2"))
 
     # 3. suffix of slot k-m from t - frame on: each row sends a probe into
     #    slot k-m; ordered newest first, a running frame covers rows >= probe
@@ -161,6 +166,79 @@ def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
         F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
 
 
+def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
+                     ts: str = "ingested_at", value: str = "current_price",
+                     frame: int = FRAME, grid: int = SLOT,
+                     point_col: str = "grid_point", mean_col: str = "baseline_mean",
+                     std_col: str = "baseline_stddev") -> DataFrame:
+    """Moving stats at the newest row of each grid group only.
+
+    Group ``e`` holds the rows with ``ts`` in ``(e - grid, e]`` (``e`` on the
+    grid), so the newest row of group ``e`` is exactly the row an as-of join
+    picks for a probe time ``e``.  For that row (time ``t_p``) the frame
+    ``[t_p - frame, t_p]`` is: its whole own group, the ``frame/grid - 1``
+    groups before it in full, and the rows of group ``e - frame`` from
+    ``t_p - frame`` on.  So only that low edge needs the rows (one shuffle of
+    them, partitioned by (key, group)); everything else is a partially
+    aggregated group summary.  Output: one row per (key, group) with
+    ``point_col`` (TIMESTAMP_NTZ of ``e``) and the frame's mean and stddev.
+    """
+    if frame % grid:
+        raise ValueError("frame must be a whole number of grid steps")
+    m = frame // grid
+    t = ntz_micros(ts)
+    e = (-F.floor(-t / F.lit(grid))).cast("long") * F.lit(grid)
+    rows = (df.where(F.col(by).isNotNull() & F.col(ts).isNotNull())
+            .select(F.col(by).alias("_by"), t.alias("_t"), e.alias("_e"),
+                    F.col(value).cast("double").alias("_v")))
+
+    # own group, whole (its newest row is the one scored)
+    groups = rows.groupBy("_by", "_e").agg(
+        F.max("_t").alias("_tp"),
+        F.count("_v").alias("_own_n"),
+        F.coalesce(F.avg("_v"), F.lit(0.0)).alias("_own_mean"),
+        F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("_own_m2"))
+
+    # the m-1 groups before, pooled
+    wm = (Window.partitionBy("_by").orderBy("_e")
+          .rangeBetween(-(m - 1) * grid, -grid))
+    part = F.struct(F.col("_own_n").alias("n"), F.col("_own_mean").alias("mean"))
+    pooled = groups.select(
+        "*",
+        F.sum("_own_n").over(wm).alias("_mid_n"),
+        F.sum(F.col("_own_n") * F.col("_own_mean")).over(wm).alias("_s"),
+        F.sum("_own_m2").over(wm).alias("_w2"),
+        F.collect_list(part).over(wm).alias("_parts"))
+    mid_mean = F.try_divide(F.col("_s"), F.col("_mid_n").cast("double"))
+    pooled = pooled.select(
+        "_by", "_e", "_tp", "_own_n", "_own_mean", "_own_m2",
+        F.coalesce(F.col("_mid_n"), F.lit(0)).alias("_mid_n"),
+        F.coalesce(mid_mean, F.lit(0.0)).alias("_mid_mean"),
+        F.coalesce(F.col("_w2") + F.expr(_SPREAD.format(m="try_divide(_s, CAST(_mid_n AS DOUBLE))")),
+                   F.lit(0.0)).alias("_mid_m2"))
+
+    # low edge: rows of group e - frame with ts >= t_p - frame
+    probes = pooled.select("_by", (F.col("_e") - frame).alias("_g"),
+                           (F.col("_tp") - frame).alias("_t"),
+                           F.col("_e").alias("_home"))
+    reals = rows.select("_by", F.col("_e").alias("_g"), "_t", "_v")
+    ws = (Window.partitionBy("_by", "_g").orderBy(F.col("_t").desc())
+          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    edge = (probes.unionByName(reals, allowMissingColumns=True)
+            .select("_by", "_home", *_moments("_v", ws, "_suf"))
+            .where(F.col("_home").isNotNull())
+            .withColumnRenamed("_home", "_e"))
+
+    joined = pooled.join(edge, ["_by", "_e"], "left").fillna(
+        0, subset=["_suf_n"]).fillna(0.0, subset=["_suf_mean", "_suf_m2"])
+    n, mean, m2 = _combine(["_own", "_mid", "_suf"])
+    return joined.select(
+        F.col("_by").alias(by),
+        micros_to_ntz(F.col("_e")).alias(point_col),
+        F.when(n > 0, mean).alias(mean_col),
+        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
+
+
 def moving_stats(df: DataFrame, form: str = "sliced", **kw) -> DataFrame:
     return {"plain": moving_stats_plain, "halo": moving_stats_halo,
             "sliced": moving_stats_sliced}[form](df, **kw)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.time import MICROS_PER_MINUTE
 from tidewatch.operators.asof import asof_join
-from tidewatch.operators.baseline import FRAME, SLOT, moving_stats
+from tidewatch.operators.baseline import FRAME, SLOT, baseline_at_grid, moving_stats
 from tidewatch.operators.score import DEFAULT_THRESHOLD, usable_baseline, with_zscore
 from tidewatch.operators.vwap import tumbling_vwap
 
@@ -35,12 +35,30 @@ def baseline(snapshots: DataFrame, form: str = "sliced", frame: int = FRAME,
 
 
 def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
-                          baseline_form: str = "sliced",
-                          asof_form: str = "bucketed",
+                          baseline_form: str = "grid",
+                          asof_form: str = "plain",
                           exact_decimal: bool = False,
                           window_minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """VWAP windows with the baseline of the newest snapshot at or before the
+    window end.
+
+    ``baseline_form="grid"`` (default): baselines are computed only for the
+    newest snapshot of each window-end grid group
+    (:func:`~tidewatch.operators.baseline.baseline_at_grid`); the as-of join
+    then runs between two tables of at most assets x grid points rows, so the
+    union carry-forward per asset is bounded by the time span, not the data.
+    Other forms compute a baseline for every snapshot first.
+    """
     w = tumbling_vwap(trades, width=f"{window_minutes} minutes",
                       exact_decimal=exact_decimal)
+    if baseline_form == "grid":
+        b = baseline_at_grid(
+            snapshots.select("asset_symbol", "ingested_at", "current_price"),
+            grid=window_minutes * MICROS_PER_MINUTE)
+        return asof_join(w, b, by="asset_symbol", left_ts="window_end",
+                         right_ts="grid_point",
+                         payload=["baseline_mean", "baseline_stddev"],
+                         form=asof_form)
     b = baseline(snapshots, form=baseline_form)
     kw = {}
     if asof_form == "bucketed":

@@ -106,10 +106,18 @@ def _gold(spark, sf_dir, **kw) -> DataFrame:
 
 @register("gold_anomalies", GOLD_SQL)
 def gold_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-6 flagship: scale forms (sliced baseline, bucketed as-of)."""
+    """JOB-6 flagship: baselines only at the as-of-picked snapshots (grid
+    form), as-of carry-forward over the grid tables."""
     return _gold(spark, sf_dir)
 
 
+@register("gold_anomalies_sliced", GOLD_SQL)
+def gold_anomalies_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-6 with a baseline for every snapshot (sliced form) and the
+    grid-reduced, day-bucketed as-of join."""
+    return _gold(spark, sf_dir, baseline_form="sliced", asof_form="bucketed")
+
+
 @register("gold_anomalies_plain", GOLD_SQL)
 def gold_anomalies_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-6 with the reference-shaped forms (plain RANGE window, union as-of)."""
@@ -521,8 +529,7 @@ def _land_bronze(spark, sf_dir, root: str) -> Layout:
     stamp = F.coalesce(F.col("ingested_at"), F.col("_ingested_at"))
     for df, path in ((TD.bronze_trades(ev), layout.bronze_trades),
                      (TD.bronze_snapshots(ev), layout.bronze_snapshots)):
-        land_jsonl(df.drop("year", "month", "day", "hour"), path, "backfill", stamp,
-                   files_per_partition=spark.sparkContext.defaultParallelism)
+        land_jsonl(df.drop("year", "month", "day", "hour"), path, "backfill", stamp)
     return layout
 
 
