@@ -521,14 +521,16 @@ from tidewatch.sources.landing import land_jsonl  # noqa: E402
 from tidewatch.sources.tables import create_tables, read_table  # noqa: E402
 
 
-def _land_bronze(spark, sf_dir, root: str) -> Layout:
+def _land_bronze(spark, sf_dir, root: str, snapshots: bool = True) -> Layout:
     """Land the bronze text forms as JSON lines under the hour partitions of
     their arrival stamp (one landing batch)."""
     ev = _events(spark, sf_dir)
     layout = Layout(root)
     stamp = F.coalesce(F.col("ingested_at"), F.col("_ingested_at"))
-    for df, path in ((TD.bronze_trades(ev), layout.bronze_trades),
-                     (TD.bronze_snapshots(ev), layout.bronze_snapshots)):
+    tables = [(TD.bronze_trades(ev), layout.bronze_trades)]
+    if snapshots:
+        tables.append((TD.bronze_snapshots(ev), layout.bronze_snapshots))
+    for df, path in tables:
         land_jsonl(df.drop("year", "month", "day", "hour"), path, "backfill", stamp)
     return layout
 
@@ -555,7 +557,7 @@ def hour_partition_filter(spark, sf_dir):
     under string hour partitions, then read back only the latest hour of data
     and the hour before (partition-pruned scan)."""
     root = scratch_path(spark, "bronze")
-    layout = _land_bronze(spark, sf_dir, root)
+    layout = _land_bronze(spark, sf_dir, root, snapshots=False)
     now = _events(spark, sf_dir).where(F.col("event_id") % 2 == 1) \
         .agg(F.max("ts")).first()[0]
     hours = hours_to_process(now)
@@ -573,7 +575,7 @@ def silver_trades_backfill(spark, sf_dir):
     silver, run twice (the second run must add nothing), then one incremental
     run over the latest two hours (also adds nothing)."""
     root = scratch_path(spark, "silver")
-    layout = _land_bronze(spark, sf_dir, root)
+    layout = _land_bronze(spark, sf_dir, root, snapshots=False)
     create_tables(spark, layout)
 
     def build(hours):
