@@ -72,6 +72,19 @@ def moving_stats_halo(df: DataFrame, by: str = "asset_symbol",
     return out.where(F.col("_bk") == F.col("_home")).drop("_t", "_home", "_bk")
 
 
+def _day_buckets(df: DataFrame, key: str, reach: int,
+                 bucket: int = HALO_BUCKET) -> DataFrame:
+    """Rows tagged with ``_bk`` (bucket copies) and ``_hb`` (home bucket) so a
+    look-back frame of ``reach`` (same unit as ``key``) over ``key`` can be
+    evaluated per (partition key, bucket): each row is also copied into the
+    later buckets whose start lies within ``reach`` after it.  Evaluate the
+    window partitioned by ``_bk`` as well, then keep ``_bk == _hb``."""
+    home = F.floor(F.col(key) / F.lit(bucket)).cast("long")
+    last = F.floor((F.col(key) + F.lit(reach)) / F.lit(bucket)).cast("long")
+    return (df.withColumn("_hb", home)
+              .withColumn("_bk", F.explode(F.sequence(home, F.greatest(home, last)))))
+
+
 def _moments(value: str, w: Window, prefix: str) -> list[Column]:
     """count, mean and M2 (sum of squared deviations) of the non-null values
     over ``w``, as three columns; an empty frame gives (0, 0.0, 0.0)."""
@@ -121,15 +134,19 @@ def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
         F.count("_v").alias("n"),
         F.coalesce(F.avg("_v"), F.lit(0.0)).alias("mean"),
         F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("m2"))
-    wm = Window.partitionBy(by).orderBy("_k").rangeBetween(-(m - 1), -1)
+    # look-back over the slot table, per (key, day) with a halo of m-1 slots
+    slots = _day_buckets(slots.withColumn("_ks", F.col("_k") * slot), "_ks",
+                         (m - 1) * slot)
+    wm = (Window.partitionBy(by, "_bk").orderBy("_k")
+          .rangeBetween(-(m - 1), -1))
     pooled = slots.select(
-        by, "_k",
+        by, "_k", "_bk", "_hb",
         F.sum("n").over(wm).alias("_mid_n"),
         F.sum(F.col("n") * F.col("mean")).over(wm).alias("_s"),
         F.sum("m2").over(wm).alias("_w2"),
         F.collect_list(F.struct("n", "mean")).over(wm).alias("_parts"))
     mid_mean = F.try_divide(F.col("_s"), F.col("_mid_n").cast("double"))
-    middle = pooled.select(
+    middle = pooled.where(F.col("_bk") == F.col("_hb")).select(
         F.col(by).alias("_mby"), F.col("_k").alias("_mk"),
         F.coalesce(F.col("_mid_n"), F.lit(0)).alias("_mid_n"),
         F.coalesce(mid_mean, F.lit(0.0)).alias("_mid_mean"),
@@ -199,8 +216,9 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
         F.coalesce(F.avg("_v"), F.lit(0.0)).alias("_own_mean"),
         F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("_own_m2"))
 
-    # the m-1 groups before, pooled
-    wm = (Window.partitionBy("_by").orderBy("_e")
+    # the m-1 groups before, pooled; per (key, day) with a halo of m-1 groups
+    groups = _day_buckets(groups, "_e", (m - 1) * grid)
+    wm = (Window.partitionBy("_by", "_bk").orderBy("_e")
           .rangeBetween(-(m - 1) * grid, -grid))
     part = F.struct(F.col("_own_n").alias("n"), F.col("_own_mean").alias("mean"))
     pooled = groups.select(
@@ -210,7 +228,7 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
         F.sum("_own_m2").over(wm).alias("_w2"),
         F.collect_list(part).over(wm).alias("_parts"))
     mid_mean = F.try_divide(F.col("_s"), F.col("_mid_n").cast("double"))
-    pooled = pooled.select(
+    pooled = pooled.where(F.col("_bk") == F.col("_hb")).select(
         "_by", "_e", "_tp", "_own_n", "_own_mean", "_own_m2",
         F.coalesce(F.col("_mid_n"), F.lit(0)).alias("_mid_n"),
         F.coalesce(mid_mean, F.lit(0.0)).alias("_mid_mean"),

@@ -36,7 +36,7 @@ def baseline(snapshots: DataFrame, form: str = "sliced", frame: int = FRAME,
 
 def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
                           baseline_form: str = "grid",
-                          asof_form: str = "plain",
+                          asof_form: str = "bucketed",
                           exact_decimal: bool = False,
                           window_minutes: int = WINDOW_MINUTES) -> DataFrame:
     """VWAP windows with the baseline of the newest snapshot at or before the
@@ -45,9 +45,9 @@ def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
     ``baseline_form="grid"`` (default): baselines are computed only for the
     newest snapshot of each window-end grid group
     (:func:`~tidewatch.operators.baseline.baseline_at_grid`); the as-of join
-    then runs between two tables of at most assets x grid points rows, so the
-    union carry-forward per asset is bounded by the time span, not the data.
-    Other forms compute a baseline for every snapshot first.
+    then runs between two tables of at most assets x grid points rows,
+    carried forward per (asset, day).  Other forms compute a baseline for
+    every snapshot first.
     """
     w = tumbling_vwap(trades, width=f"{window_minutes} minutes",
                       exact_decimal=exact_decimal)

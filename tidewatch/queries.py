@@ -120,8 +120,11 @@ def gold_anomalies_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("gold_anomalies_plain", GOLD_SQL)
 def gold_anomalies_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-6 with the reference-shaped forms (plain RANGE window, union as-of)."""
-    return _gold(spark, sf_dir, baseline_form="plain", asof_form="plain")
+    """JOB-6 in the reference's shape — a baseline for every snapshot, then
+    every window joined as-of to it — with the bounded forms: day buckets
+    with a six-hour halo for the baseline, day-bucketed as-of with carry-in
+    (no snapshot reduction)."""
+    return _gold(spark, sf_dir, baseline_form="halo", asof_form="bucketed")
 
 
 # ---------------------------------------------------------------- baseline
@@ -141,8 +144,10 @@ def _baseline(spark, sf_dir, form):
 
 @register("moving_baseline", BASELINE_SQL)
 def moving_baseline(spark, sf_dir):
-    """WIN-1/2 in the plain form: one RANGE window per asset."""
-    return _baseline(spark, sf_dir, "plain")
+    """WIN-1/2 through the operator's default form (``moving_stats``: sliced,
+    one 10-minute slot of one asset per task)."""
+    s = TD.snapshots(_events(spark, sf_dir))
+    return G.rounded(moving_stats(s))
 
 
 @register("baseline_halo", BASELINE_SQL)
@@ -177,28 +182,30 @@ SELECT asset_symbol, window_start, window_end, trade_count,
 FROM joined"""
 
 
-def _asof(spark, sf_dir, form):
+def _asof(spark, sf_dir, grid: bool):
     ev = _events(spark, sf_dir)
     w = tumbling_vwap(TD.trades(ev)).select(
         "asset_symbol", "window_start", "window_end", "trade_count")
-    b = moving_stats(TD.snapshots(ev), form="plain")
-    kw = {"right_grid": 10 * 60 * 1_000_000} if form == "bucketed" else {}
+    b = moving_stats(TD.snapshots(ev), form="sliced")
+    kw = {"right_grid": 10 * 60 * 1_000_000} if grid else {}
     j = asof_join(w, b, "asset_symbol", "window_end", "ingested_at",
-                  ["baseline_mean", "baseline_stddev"], form=form, **kw)
+                  ["baseline_mean", "baseline_stddev"], form="bucketed", **kw)
     return G.rounded(j)
 
 
 @register("asof_baseline", ASOF_SQL)
 def asof_baseline(spark, sf_dir):
-    """JON-3/4, WIN-3, FLT-4: union + carry-forward, one partition per asset
-    (every window kept, matched or not)."""
-    return _asof(spark, sf_dir, "plain")
+    """JON-3/4, WIN-3, FLT-4: general as-of (any left times) — union +
+    carry-forward per (asset, day) with a carry-in table for earlier days;
+    every window kept, matched or not."""
+    return _asof(spark, sf_dir, grid=False)
 
 
 @register("asof_bucketed", ASOF_SQL)
 def asof_bucketed(spark, sf_dir):
-    """JON-3 scale form: grid-reduced snapshots, day buckets + carry-in."""
-    return _asof(spark, sf_dir, "bucketed")
+    """JON-3 on grid times: snapshots first reduced to the newest per
+    (asset, window-end point) by a map-side-combined aggregate."""
+    return _asof(spark, sf_dir, grid=True)
 
 
 # ---------------------------------------------------------------- z-score
