@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.functions.casts import snapshot_asset, to_decimal, trade_asset
-from tidewatch.functions.payload import parse_json, unwrap_envelope
 from tidewatch.functions.time import iso_to_ntz, millis_to_ntz
 
 # Exchange event type kept, and the raw → clean key names.
@@ -20,11 +19,25 @@ RAW_TRADE_KEYS = {"a": "trade_id", "s": "symbol", "p": "price", "q": "quantity",
 
 
 def parse_raw_events(df: DataFrame, col: str = "message") -> DataFrame:
-    """Text messages (bare or inside a ``data`` envelope) → raw event struct
-    columns ``e, s, a, p, q, T, m``; non-JSON messages give null fields."""
-    parsed = parse_json(unwrap_envelope(col), S.RAW_TRADE_EVENT)
-    return df.select("*", parsed.alias("_raw")).select(
-        *[c for c in df.columns if c != col], "_raw.*")
+    """Text messages (bare or inside a ``data`` envelope) → raw event columns
+    ``e, s, a, p, q, T, m``; non-JSON messages and ill-typed values give nulls.
+
+    ``json_tuple`` is a generator: it parses each message once, and a later
+    filter on its outputs cannot be pushed below it (a filter on a
+    ``from_json`` projection is pushed down by inlining the parse, which then
+    runs once per reference).  Enveloped messages are parsed a second time
+    for the ``data`` object."""
+    keys = S.RAW_TRADE_EVENT.fieldNames()
+    keep = [c for c in df.columns if c != col]
+    outer = df.select(*keep, F.json_tuple(F.col(col), *keys, "data")
+                      .alias(*[f"_o{k}" for k in keys], "_data"))
+    inner = outer.select("*", F.json_tuple(F.col("_data"), *keys)
+                         .alias(*[f"_i{k}" for k in keys]))
+    types = {f.name: f.dataType.simpleString() for f in S.RAW_TRADE_EVENT.fields}
+    env = F.col("_data").isNotNull()
+    return inner.select(*keep, *[
+        F.when(env, F.col(f"_i{k}")).otherwise(F.col(f"_o{k}")).try_cast(types[k]).alias(k)
+        for k in keys])
 
 
 def keep_trade_events(df: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
         b = baseline_at_grid(
             snapshots.select("asset_symbol", "ingested_at", "current_price"),
             grid=window_minutes * MICROS_PER_MINUTE)
+        # already one row per (asset, grid point): no further reduction
         return asof_join(w, b, by="asset_symbol", left_ts="window_end",
                          right_ts="grid_point",
                          payload=["baseline_mean", "baseline_stddev"],
