@@ -31,3 +31,13 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["asset_symbol", "window_start", "window_end"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["gold_anomalies", "silver_trades_typed", "lag_breaches"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = QUERIES[name](spark, SF)
+        assert compare(df, con, ORACLES[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
