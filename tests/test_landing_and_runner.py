@@ -118,3 +118,22 @@ def test_snapshot_response_ingest(spark, tmp_dir):
     with open(empty, "w") as f:
         f.write("[]")
     assert ingest_snapshots(spark, empty, os.path.join(tmp_dir, "b2"), NOW)["records"] == 0
+
+
+def test_silver_merge_counts_inserted_rows_and_is_idempotent(spark, tmp_dir):
+    from tidewatch.plans.silver import run_silver_trades
+    from tidewatch.sources.tables import Layout, create_tables, read_table
+    layout = Layout(tmp_dir)
+    land_jsonl(_trades(spark, [1, 2, 3]), layout.bronze_trades, "b1")
+    create_tables(spark, layout)
+    assert run_silver_trades(spark, layout) == 3
+    land_jsonl(_trades(spark, [3, 4]), layout.bronze_trades, "b2")
+    assert run_silver_trades(spark, layout) == 1
+    assert run_silver_trades(spark, layout) == 0
+    assert read_table(spark, layout, "silver_trades").count() == 4
+
+
+def test_many_files_per_batch(spark, tmp_dir):
+    land_jsonl(_trades(spark, range(40)), tmp_dir, "big", files=4)
+    files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=big/*.json")
+    assert 1 < len(files) <= 4

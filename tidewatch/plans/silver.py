@@ -38,16 +38,17 @@ def silver_snapshots_delta(spark: SparkSession, layout: Layout, hours=None,
     return rows_to_insert(target, source, keys)
 
 
-def run_silver_trades(spark: SparkSession, layout: Layout, hours=None, **kw) -> None:
-    """One merge: append the new rows.  An interrupted append is repaired by
-    running again (the anti-join skips whatever already landed)."""
-    append_day_partitioned(silver_trades_delta(spark, layout, hours, **kw),
-                           layout.silver_trades, "ingested_at")
+def run_silver_trades(spark: SparkSession, layout: Layout, hours=None, **kw) -> int:
+    """One merge: append the new rows; returns how many were inserted.  An
+    interrupted append is repaired by running again (the anti-join skips
+    whatever already landed)."""
+    return append_day_partitioned(silver_trades_delta(spark, layout, hours, **kw),
+                                  layout.silver_trades, "ingested_at")
 
 
-def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None, **kw) -> None:
-    append_day_partitioned(silver_snapshots_delta(spark, layout, hours, **kw),
-                           layout.silver_snapshots, "ingested_at")
+def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None, **kw) -> int:
+    return append_day_partitioned(silver_snapshots_delta(spark, layout, hours, **kw),
+                                  layout.silver_snapshots, "ingested_at")
 
 
 def silver_trades_for_gold(spark: SparkSession, layout: Layout) -> DataFrame:
