@@ -190,3 +190,27 @@ def test_gold_edge_cases(spark, forms):
     assert r["baseline_stddev"] == pytest.approx(std)
     assert r["z_score"] == pytest.approx((150 - mean) / std)
     assert r["is_anomaly"] is True
+
+
+def test_incremental_equals_full_from_the_cut(spark):
+    from tidewatch.plans.gold import score_windows_since
+    rnd = random.Random(11)
+    snaps, trades = [], []
+    for a in ("A", "B"):
+        for k in range(400):
+            if a == "B" and 100 < k < 380:
+                continue            # B: last snapshot before the cut is days old
+            snaps.append((a, at(minutes=17 * k + rnd.randrange(17)), rnd.uniform(90, 110)))
+        for k in range(1200):
+            trades.append((a, at(minutes=6 * k + rnd.randrange(6)), rnd.uniform(80, 120),
+                           float(rnd.randrange(1, 5))))
+    S, Tr = snaps_df(spark, snaps), trades_df(spark, trades)
+    cut = at(minutes=17 * 300 + 3)
+    full = {(r["asset_symbol"], r["window_start"]): r
+            for r in score_windows(Tr, S).collect()
+            if r["window_end"] >= at(minutes=(17 * 300 + 3) // 10 * 10)}
+    inc = {(r["asset_symbol"], r["window_start"]): r
+           for r in score_windows_since(Tr, S, cut).collect()}
+    assert set(inc) == set(full) and any(k[0] == "B" for k in inc)
+    for k, r in inc.items():
+        assert r["z_score"] == pytest.approx(full[k]["z_score"], rel=1e-9)

@@ -6,10 +6,12 @@ it into the day-partitioned gold table.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.time import MICROS_PER_MINUTE
+from tidewatch.functions.time import MICROS_PER_MINUTE, ntz_micros
 from tidewatch.operators.asof import asof_join
 from tidewatch.operators.baseline import FRAME, SLOT, baseline_at_grid, moving_stats
 from tidewatch.operators.score import DEFAULT_THRESHOLD, usable_baseline, with_zscore
@@ -71,6 +73,16 @@ def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
                      form=asof_form, **kw)
 
 
+def ntz_literal_micros(value) -> int:
+    """Microseconds since the epoch of a naive (UTC wall-clock) datetime, an
+    aware datetime, or an int already in micros."""
+    if isinstance(value, int):
+        return value
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return (value - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
 def score_windows(trades: DataFrame, snapshots: DataFrame,
                   threshold: float = DEFAULT_THRESHOLD, **kw) -> DataFrame:
     """Scored windows with a usable baseline (``stddev > 0``)."""
@@ -78,6 +90,36 @@ def score_windows(trades: DataFrame, snapshots: DataFrame,
     return with_zscore(usable_baseline(j), threshold=threshold).select(*GOLD_COLS)
 
 
+def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
+                        window_minutes: int = WINDOW_MINUTES,
+                        frame: int = FRAME, **kw) -> DataFrame:
+    """Exactly the rows of :func:`score_windows` whose ``window_end >= since``
+    (``since`` is floored to the window grid), reading only the data they
+    depend on — for an incremental run after new data arrived at or after
+    ``since``:
+
+    * trades from ``since - window``;
+    * snapshots from ``frame + window`` before the earliest snapshot any of
+      these windows can pick: for each asset that is its newest snapshot group
+      before ``since`` (found by a small aggregate; one scalar reaches the
+      driver so the bound becomes a pushed-down literal).
+
+    Windows ending before ``since`` are unchanged by such data, so upserting
+    this result into gold equals a full recompute."""
+    grid = window_minutes * MICROS_PER_MINUTE
+    b = (ntz_literal_micros(since) // grid) * grid
+    ts_micros = ntz_micros("ingested_at")
+    last_before = (snapshots.where(ts_micros < F.lit(b))
+                   .groupBy("asset_symbol").agg(F.max(ts_micros).alias("_m"))
+                   .agg(F.min("_m")).first()[0])
+    earliest_pick = b if last_before is None else min(b, -(-last_before // grid) * grid)
+    lower = earliest_pick - frame - grid
+    t = trades.where(ntz_micros("trade_time") >= F.lit(b - grid))
+    s = snapshots.where(ts_micros > F.lit(lower))
+    out = score_windows(t, s, window_minutes=window_minutes, **kw)
+    return out.where(ntz_micros("window_end") >= F.lit(b))
+
+
 def typed_gold(scored: DataFrame) -> DataFrame:
     """Gold table types: money as DECIMAL(38,8), z as DECIMAL(18,8).  The flag
     is computed from the unrounded double z; a |z| too large for
@@ -106,9 +148,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def run_gold(spark, layout, staging: str, **kw) -> dict:
-    """Full recompute from silver, then upsert into gold by
-    (asset_symbol, window_start).
+def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
+    """Recompute from silver — all windows, or with ``since`` only those
+    ending at or after it (:func:`score_windows_since`) — then upsert into
+    gold by (asset_symbol, window_start).
 
     Affected days = days of the recomputed windows.  Their new content
     (kept target rows + source rows) is written to ``staging`` first, then
@@ -122,8 +165,11 @@ def run_gold(spark, layout, staging: str, **kw) -> dict:
 
     trades = silver_trades_for_gold(spark, layout)
     snaps = silver_snapshots_for_gold(spark, layout)
-    source = add_day(typed_gold(score_windows(trades, snaps, exact_decimal=True, **kw)),
-                     "window_start")
+    if since is None:
+        scored = score_windows(trades, snaps, exact_decimal=True, **kw)
+    else:
+        scored = score_windows_since(trades, snaps, since, exact_decimal=True, **kw)
+    source = add_day(typed_gold(scored), "window_start")
     target = read_table(spark, layout, "gold_anomalies")
     days = source.select("part_day").distinct()
     affected = target.join(days, "part_day", "left_semi")
