@@ -137,3 +137,14 @@ def test_many_files_per_batch(spark, tmp_dir):
     land_jsonl(_trades(spark, range(40)), tmp_dir, "big", files=4)
     files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=big/*.json")
     assert 1 < len(files) <= 4
+
+
+def test_register_views(spark, tmp_dir):
+    from tidewatch.sources.tables import Layout, create_tables, register_views
+    layout = Layout(tmp_dir)
+    land_jsonl(_trades(spark, [1, 2]), layout.bronze_trades, "b1")
+    create_tables(spark, layout)
+    made = register_views(spark, layout)
+    assert {"bronze_trades", "silver_trades", "gold_anomalies"} <= set(made)
+    assert spark.sql("SELECT count(*) FROM bronze_trades WHERE hour = '14'").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM gold_anomalies").first()[0] == 0
