@@ -4,9 +4,7 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from tidewatch import schemas as S
 from tidewatch.plans import runner as R
 from tidewatch.sources.bronze import read_bronze_trades, where_hours
 from tidewatch.sources.landing import land_jsonl, land_snapshots

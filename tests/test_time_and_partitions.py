@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidewatch.functions.time import iso_to_ntz, millis_to_ntz, ntz_micros, partition_parts
 from tidewatch.sources.bronze import hours_to_process

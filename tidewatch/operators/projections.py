@@ -97,7 +97,7 @@ def type_trades(bronze: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def type_snapshots(bronze: DataFrame, strict: bool = True) -> DataFrame:
-    """bronze.coingecko → silver.market_snapshot types (29 columns)."""
+    """bronze.market → silver.market_snapshot types (29 columns)."""
     out = []
     for name in S.SILVER_SNAPSHOT_COLS:
         if name == "asset_symbol":
