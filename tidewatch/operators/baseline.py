@@ -195,9 +195,9 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
     picks for a probe time ``e``.  For that row (time ``t_p``) the frame
     ``[t_p - frame, t_p]`` is: its whole own group, the ``frame/grid - 1``
     groups before it in full, and the rows of group ``e - frame`` from
-    ``t_p - frame`` on.  So only that low edge needs the rows (one shuffle of
-    them, partitioned by (key, group)); everything else is a partially
-    aggregated group summary.  Output: one row per (key, group) with
+    ``t_p - frame`` on.  So only that low edge needs the rows, through an
+    equi-join with one probe per (key, group) and a partial aggregate;
+    everything else is a partially aggregated group summary.  Output: one row per (key, group) with
     ``point_col`` (TIMESTAMP_NTZ of ``e``) and the frame's mean and stddev.
     """
     if frame % grid:
@@ -235,17 +235,20 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
         F.coalesce(F.col("_w2") + F.expr(_SPREAD.format(m="try_divide(_s, CAST(_mid_n AS DOUBLE))")),
                    F.lit(0.0)).alias("_mid_m2"))
 
-    # low edge: rows of group e - frame with ts >= t_p - frame
+    # low edge: rows of group e - frame with ts >= t_p - frame.  Each group
+    # receives exactly one probe, so this is an equi-join on (key, group) plus
+    # a filter and a partial aggregate — no window and no sort.  The probe
+    # table has one row per (key, group): AQE broadcasts it when its measured
+    # size allows, and then the snapshot rows are not shuffled at all.
     probes = pooled.select("_by", (F.col("_e") - frame).alias("_g"),
-                           (F.col("_tp") - frame).alias("_t"),
+                           (F.col("_tp") - frame).alias("_p"),
                            F.col("_e").alias("_home"))
-    reals = rows.select("_by", F.col("_e").alias("_g"), "_t", "_v")
-    ws = (Window.partitionBy("_by", "_g").orderBy(F.col("_t").desc())
-          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    edge = (probes.unionByName(reals, allowMissingColumns=True)
-            .select("_by", "_home", *_moments("_v", ws, "_suf"))
-            .where(F.col("_home").isNotNull())
-            .withColumnRenamed("_home", "_e"))
+    edge = (rows.withColumnRenamed("_e", "_g").join(probes, ["_by", "_g"])
+            .where(F.col("_t") >= F.col("_p"))
+            .groupBy("_by", F.col("_home").alias("_e"))
+            .agg(F.count("_v").alias("_suf_n"),
+                 F.coalesce(F.avg("_v"), F.lit(0.0)).alias("_suf_mean"),
+                 F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("_suf_m2")))
 
     joined = pooled.join(edge, ["_by", "_e"], "left").fillna(
         0, subset=["_suf_n"]).fillna(0.0, subset=["_suf_mean", "_suf_m2"])
