@@ -77,15 +77,17 @@ def asof_join_bucketed(left: DataFrame, right: DataFrame, by: str,
 
     w = (Window.partitionBy("_by", "_b").orderBy("_key", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = (_union(lt, rt)
-           .select("_by", "_b", "_side", "_l",
-                   F.last("_r", ignorenulls=True).over(w).alias("_m"))
-           .where(F.col("_side") == 1))
-
-    # carry-in: last right row of each earlier (key, bucket)
-    last_rb = rt.groupBy("_by", "_b").agg(F.max_by("_r", "_key").alias("_lr"))
-    left_b = lt.select("_by", "_b").distinct()
-    cells = left_b.join(last_rb, ["_by", "_b"], "full")
+    win = (_union(lt, rt)
+           .select("_by", "_b", "_key", "_side", "_l",
+                   F.last("_r", ignorenulls=True).over(w).alias("_m")))
+    inb = win.where(F.col("_side") == 1).select("_by", "_b", "_l", "_m")
+
+    # carry-in: the running value at the end of each (key, bucket) is that
+    # bucket's last right row; carried forward over buckets.  The aggregate
+    # reads the window output, already partitioned by (key, bucket): no
+    # second shuffle, and both inputs are evaluated once.
+    cells = win.groupBy("_by", "_b").agg(
+        F.max_by("_m", F.struct("_key", "_side")).alias("_lr"))
     wc = (Window.partitionBy("_by").orderBy("_b")
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = cells.select("_by", "_b", F.last("_lr", ignorenulls=True).over(wc).alias("_c"))
