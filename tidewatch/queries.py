@@ -511,7 +511,8 @@ def _stream_run(spark, sf_dir, fail_first: bool) -> DataFrame:
     ckpt = f"{root}/checkpoint"
     for _ in range(2):
         q = start_ingest(spark, src, layout, ckpt, max_files_per_trigger=1,
-                         available_now=True, before_write=fail_once)
+                         available_now=True, before_write=fail_once,
+                         state_partitions=spark.sparkContext.defaultParallelism)
         try:
             q.awaitTermination()
             break
