@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.time import MICROS_PER_MINUTE, ntz_micros
+from tidewatch.functions.time import MICROS_PER_MINUTE, micros_to_ntz, ntz_micros
 from tidewatch.operators.asof import asof_join
 from tidewatch.operators.baseline import FRAME, SLOT, baseline_at_grid, moving_stats
 from tidewatch.operators.score import DEFAULT_THRESHOLD, usable_baseline, with_zscore
@@ -90,22 +90,13 @@ def score_windows(trades: DataFrame, snapshots: DataFrame,
     return with_zscore(usable_baseline(j), threshold=threshold).select(*GOLD_COLS)
 
 
-def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
-                        window_minutes: int = WINDOW_MINUTES,
-                        frame: int = FRAME, **kw) -> DataFrame:
-    """Exactly the rows of :func:`score_windows` whose ``window_end >= since``
-    (``since`` is floored to the window grid), reading only the data they
-    depend on — for an incremental run after new data arrived at or after
-    ``since``:
-
-    * trades from ``since - window``;
-    * snapshots from ``frame + window`` before the earliest snapshot any of
-      these windows can pick: for each asset that is its newest snapshot group
-      before ``since`` (found by a small aggregate; one scalar reaches the
-      driver so the bound becomes a pushed-down literal).
-
-    Windows ending before ``since`` are unchanged by such data, so upserting
-    this result into gold equals a full recompute."""
+def incremental_bounds(snapshots: DataFrame, since, window_minutes: int = WINDOW_MINUTES,
+                       frame: int = FRAME) -> tuple[int, int]:
+    """(``b``, ``lower``) in micros: windows ending at or after ``b`` (``since``
+    floored to the window grid) need trades from ``b - window`` and snapshots
+    after ``lower`` = ``frame + window`` before the earliest snapshot any of
+    them can pick — for each asset its newest group before ``b`` (one small
+    aggregate; the scalar reaches the driver so the bound is a literal)."""
     grid = window_minutes * MICROS_PER_MINUTE
     b = (ntz_literal_micros(since) // grid) * grid
     ts_micros = ntz_micros("ingested_at")
@@ -113,9 +104,23 @@ def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
                    .groupBy("asset_symbol").agg(F.max(ts_micros).alias("_m"))
                    .agg(F.min("_m")).first()[0])
     earliest_pick = b if last_before is None else min(b, -(-last_before // grid) * grid)
-    lower = earliest_pick - frame - grid
+    return b, earliest_pick - frame - grid
+
+
+def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
+                        window_minutes: int = WINDOW_MINUTES,
+                        frame: int = FRAME, bounds: tuple[int, int] | None = None,
+                        **kw) -> DataFrame:
+    """Exactly the rows of :func:`score_windows` whose ``window_end >= since``
+    (``since`` is floored to the window grid), reading only the data they
+    depend on (:func:`incremental_bounds`) — for an incremental run after new
+    data arrived at or after ``since``.  Windows ending before ``since`` are
+    unchanged by such data, so upserting this result into gold equals a full
+    recompute."""
+    grid = window_minutes * MICROS_PER_MINUTE
+    b, lower = bounds or incremental_bounds(snapshots, since, window_minutes, frame)
     t = trades.where(ntz_micros("trade_time") >= F.lit(b - grid))
-    s = snapshots.where(ts_micros > F.lit(lower))
+    s = snapshots.where(ntz_micros("ingested_at") > F.lit(lower))
     out = score_windows(t, s, window_minutes=window_minutes, **kw)
     return out.where(ntz_micros("window_end") >= F.lit(b))
 
@@ -168,7 +173,21 @@ def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
     if since is None:
         scored = score_windows(trades, snaps, exact_decimal=True, **kw)
     else:
-        scored = score_windows_since(trades, snaps, since, exact_decimal=True, **kw)
+        # silver is partitioned by ingest day: prune whole days.  Snapshot
+        # partitions follow ingested_at itself (exact); a trade is ingested
+        # after it happened, so its ingest day is >= its trade day (one day of
+        # slack covers clock skew between exchange and consumer).
+        b, lower = incremental_bounds(snaps, since)
+        day = lambda micros: F.to_date(micros_to_ntz(F.lit(micros)))
+        trades = (read_table(spark, layout, "silver_trades")
+                  .where(F.col("part_day") >= F.date_sub(day(b - WINDOW_MINUTES * MICROS_PER_MINUTE), 1))
+                  .drop("part_day"))
+        snaps = (read_table(spark, layout, "silver_snapshots")
+                 .where(F.col("part_day") >= day(lower))
+                 .select("asset_symbol", "ingested_at",
+                         F.col("current_price").cast("double").alias("current_price")))
+        scored = score_windows_since(trades, snaps, since, bounds=(b, lower),
+                                     exact_decimal=True, **kw)
     source = add_day(typed_gold(scored), "window_start")
     target = read_table(spark, layout, "gold_anomalies")
     days = source.select("part_day").distinct()
