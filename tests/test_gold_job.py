@@ -40,6 +40,13 @@ def test_incremental_gold_job_equals_full_recompute(spark, tmp_dir):
     _land(ev.where(ntz_micros("ts") >= F.lit(cut)), layout, "second")
     SV.run_silver_trades(spark, layout)
     SV.run_silver_snapshots(spark, layout)
+    plan = G.gold_source(spark, layout, since=cut)._jdf.queryExecution() \
+        .executedPlan().toString()
+    silver_scans = [ln for ln in plan.splitlines()
+                    if "FileScan parquet" in ln and "silver" in ln]
+    assert silver_scans and all("PartitionFilters: [" in ln and "part_day" in
+                                ln.split("PartitionFilters: [")[1].split("]")[0]
+                                for ln in silver_scans)
     G.run_gold(spark, layout, f"{tmp_dir}/staging-2", since=cut)
     incremental = read_anomalies(spark, layout)
 

@@ -153,18 +153,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
-    """Recompute from silver — all windows, or with ``since`` only those
-    ending at or after it (:func:`score_windows_since`) — then upsert into
-    gold by (asset_symbol, window_start).
-
-    Affected days = days of the recomputed windows.  Their new content
-    (kept target rows + source rows) is written to ``staging`` first, then
-    swapped in with a dynamic day overwrite, so no plan overwrites a path it
-    reads.  If the swap is interrupted, rerunning :func:`swap_in_staging`
-    with the same staging folder finishes it; recomputing alone could lose
-    kept-but-stale rows."""
-    from tidewatch.operators.merge import merge_upsert
+def gold_source(spark, layout, since=None, **kw) -> DataFrame:
+    """The typed gold rows of one run (pure plan): all windows, or with
+    ``since`` only those ending at or after it, reading only the silver day
+    partitions they need."""
     from tidewatch.plans.silver import silver_snapshots_for_gold, silver_trades_for_gold
     from tidewatch.sources.tables import add_day, read_table
 
@@ -189,6 +181,24 @@ def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
         scored = score_windows_since(trades, snaps, since, bounds=(b, lower),
                                      exact_decimal=True, **kw)
     source = add_day(typed_gold(scored), "window_start")
+    return source
+
+
+def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
+    """Recompute from silver — all windows, or with ``since`` only those
+    ending at or after it (:func:`score_windows_since`) — then upsert into
+    gold by (asset_symbol, window_start).
+
+    Affected days = days of the recomputed windows.  Their new content
+    (kept target rows + source rows) is written to ``staging`` first, then
+    swapped in with a dynamic day overwrite, so no plan overwrites a path it
+    reads.  If the swap is interrupted, rerunning :func:`swap_in_staging`
+    with the same staging folder finishes it; recomputing alone could lose
+    kept-but-stale rows."""
+    from tidewatch.operators.merge import merge_upsert
+    from tidewatch.sources.tables import read_table
+
+    source = gold_source(spark, layout, since, **kw)
     target = read_table(spark, layout, "gold_anomalies")
     days = source.select("part_day").distinct()
     affected = target.join(days, "part_day", "left_semi")
