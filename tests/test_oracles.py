@@ -6,10 +6,10 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
+from tidewatch import queries as Q
 
 SF = os.environ.get("TW_ORACLE_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES, ORACLES = Q.QUERIES, Q.ORACLES
 
 
 @pytest.fixture(scope="module")

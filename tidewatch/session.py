@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,14 +43,18 @@ def get_session(master: str | None = None, app: str = "tidewatch",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local tests) is a
-    private folder created and registered.
+    Read from the session.  Only a local master without the setting (tests)
+    gets a private folder; on a cluster executors would not see one, so the
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if sc.master.split("[")[0] != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver "
+                                   "and all executors share")
             current = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()
@@ -59,9 +62,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    """A fresh sub-folder (URI) of the shared checkpoint folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
