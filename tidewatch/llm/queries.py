@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm import exact_dedup, simhash, toxicity
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_simhash": simhash.op3_simhash,
     "op9_bpe": op9_bpe,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.ORACLE,
+}
