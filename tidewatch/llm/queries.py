@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import exact_dedup, simhash, toxicity
+from tidewatch.llm import exact_dedup, mixing, simhash, toxicity, url_filter, warc
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_warc": warc.op2_warc,
     "op3_simhash": simhash.op3_simhash,
+    "op5_url_filter": url_filter.op5_url_filter,
+    "op7_mixing": mixing.op7_mixing,
     "op9_bpe": op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op2_warc": warc.ORACLE,
+    "op5_url_filter": url_filter.oracle(),
+    "op7_mixing": mixing.oracle(),
 }
