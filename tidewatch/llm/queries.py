@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import exact_dedup, mixing, simhash, toxicity, url_filter, warc
+from tidewatch.llm import exact_dedup, line_dedup, mixing, simhash, toxicity, url_filter, warc
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_warc": warc.op2_warc,
     "op3_simhash": simhash.op3_simhash,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
     "op7_mixing": mixing.op7_mixing,
     "op9_bpe": op9_bpe,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op2_warc": warc.ORACLE,
+    "op4_line_dedup": line_dedup.ORACLE,
     "op5_url_filter": url_filter.oracle(),
     "op7_mixing": mixing.oracle(),
 }
