@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import exact_dedup, line_dedup, mixing, simhash, toxicity, url_filter, warc
+from tidewatch.llm import class_lm, exact_dedup, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,9 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": simhash.op3_simhash,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op6_lz_fingerprint": lz_fingerprint.op6_lz_fingerprint,
     "op7_mixing": mixing.op7_mixing,
+    "op8_class_lm": class_lm.op8_class_lm,
     "op9_bpe": op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
 }
