@@ -1,0 +1,76 @@
+import hashlib
+import io
+import random
+
+import pytest
+import zstandard
+
+from helpers import rows, with_clashes
+from tidewatch.llm import warc as W
+
+PAGES = "page_id long, url string, html string"
+
+
+def brute(given):
+    out = []
+    for i, _, h in given:
+        h = (h or "").encode()
+        same = [j for j, _, g in given if (g or "").encode() == h and j is not None]
+        last = max(same, default=None)
+        revisit = len(h) >= 1000 and last is not None and i != last
+        out.append((i, len(h), hashlib.sha1(h).hexdigest(), "revisit" if revisit else "response",
+                    last if revisit else None))
+    return sorted(out, key=str)
+
+
+def cases():
+    big, rnd = "é<p>" * 400, random.Random(4)
+    noise = "".join(chr(rnd.randrange(1, 0x2000)) for _ in range(200_000))
+    return [(1, "http://a/", big), (2, "http://b/\r\nX: y", big), (7, None, big), (None, "http://c", big),
+            (3, "u", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (8, "u", noise),
+            (8, "u", noise), (9, "u", "\r\n\r\nWARC/1.1\r\n" * 200), (10, "u", "x" * 1000),
+            (11, "u", "x" * 1000), (None, "u", "y" * 2000), (None, "u", "y" * 2000)]
+
+
+def test_round_trip_and_edge_cases(spark):
+    given = cases()
+    got = W.archived(with_clashes(spark.createDataFrame(given, PAGES)))
+    assert rows(got) == brute(given)
+
+
+def test_random_access_by_index(spark, tmp_dir):
+    given = [(i, f"http://h/{i}", f"<p>{i} " * (i % 50 + 1)) for i in range(400)]
+    index = W.write_archive(spark.createDataFrame(given, PAGES).repartition(3), tmp_dir,
+                            frame_bytes=4000, bundle_bytes=40_000)
+    found = index.collect()
+    assert len(found) == 400 and len({r.bundle for r in found}) > 3
+    assert max(r.record_at for r in found) > 0
+    for r in random.Random(1).sample(found, 40):
+        head, block = W.read_record(tmp_dir, r.asDict())
+        assert head["WARC-Record-ID"] == f"<{r.record_id}>" and head["X-Page-ID"] == str(r.page_id)
+        assert block.partition(b"\r\n\r\n")[2].decode() == given[r.page_id][2]
+
+
+def test_bundles_are_plain_zstandard_streams(spark, tmp_dir):
+    given = [(i, "u", f"page {i}") for i in range(50)]
+    index = W.write_archive(spark.createDataFrame(given, PAGES).coalesce(1), tmp_dir, 500)
+    name = index.first().bundle
+    with open(f"{tmp_dir}/{name}", "rb") as f:  # skippable frames are passed over
+        data = zstandard.ZstdDecompressor().stream_reader(
+            io.BytesIO(f.read()), read_across_frames=True).read()
+    at, n = 0, 0
+    while at < len(data):
+        _, _, at = W.parse(data, at)
+        n += 1
+    assert n == 50
+
+
+def test_damaged_bundles_are_refused(tmp_dir):
+    with open(f"{tmp_dir}/x", "wb") as f:
+        f.write(b"not a bundle at all")
+    with pytest.raises(ValueError):
+        W.BundleReader(tmp_dir, "x")
+
+
+def test_empty_table(spark):
+    assert W.archived(spark.createDataFrame([], PAGES)).count() == 0

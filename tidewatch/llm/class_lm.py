@@ -229,7 +229,7 @@ def _units(replies: DataFrame) -> tuple[dict[bytes, int], np.ndarray, np.ndarray
     ordered = [END, *sorted((w for w in words if w != END), key=lambda w: (-words[w], w))]
     return ({w: i for i, w in enumerate(ordered)},
             np.concatenate([[words[w] for w in ordered], rare_tokens]),
-            np.concatenate([np.ones(len(ordered), np.int64), rare_kinds]), kinds)
+            np.concatenate([[words[w] > 0 for w in ordered], rare_kinds]).astype(np.int64), kinds)
 
 
 def unit_pairs(blocks: DataFrame, model: ClassModel) -> DataFrame:
@@ -303,7 +303,7 @@ def best_class(mine: int, after: np.ndarray, before: np.ndarray, own: float,
     after, before = after.copy(), before.copy()
     after[mine] -= own
     before[mine] -= own
-    rows, cols = m.sum(1), m.sum(0)
+    rows, cols = m.sum(1) + before, m.sum(0) + after  # wherever the unit goes
     d = np.diagonal(m)
     gain = (_xlogx(m + after) - _xlogx(m)).sum(1) + (_xlogx(m + before[:, None]) - _xlogx(m)).sum(0)
     gain += (_xlogx(d + after + before + own) + _xlogx(d)
@@ -377,7 +377,7 @@ def train(blocks: DataFrame, replies: DataFrame, n_train: int, classes: int = CL
     if n_train:
         model.unit_class, model.pairs = exchange(unit_pairs(blocks, model), start, classes, rounds)
     model.class_tokens = np.bincount(model.unit_class, unit_tokens, classes)
-    model.class_kinds = np.bincount(model.unit_class, unit_kinds if n_train else None, classes)
+    model.class_kinds = np.bincount(model.unit_class, unit_kinds, classes)
     return model
 
 

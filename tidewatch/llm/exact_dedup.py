@@ -115,8 +115,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = written(exact_groups(docs).filter("not kept"), "exact-dropped")
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    names = docs.columns
-    own = docs.select(F.struct(*[docs[c] for c in names]).alias("_doc"),
+    own = docs.select(F.struct("*").alias("_doc"),
                       F.col("doc_id").cast("long").alias("_id"),
                       F.sha2(normalized(text_or_empty()), 256).alias("_sha"))
 

@@ -42,12 +42,18 @@ def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     rows = docs.select(*_row_key(), F.explode(F.array(
         F.transform(lines_of(text_or_empty()), _comparable))).alias("_lines"))
-    rows = rows.filter(F.size("_lines") >= size).select(
-        "doc_id", "_t", "_lines",
-        F.explode(F.sequence(F.lit(0), F.size("_lines") - size)).alias("pos"))
-    part = F.slice("_lines", F.col("pos") + 1, size)
-    return rows.filter(F.exists(part, lambda x: x != "")).select(
-        "doc_id", "_t", "pos", F.xxhash64(part).alias("a"), F.xxhash64(F.lit(1), part).alias("b"))
+    rows = rows.filter(F.size("_lines") >= size)
+
+    def window(at: Column) -> Column:
+        part = [F.get("_lines", at + k) for k in range(size)]
+        return F.struct(at.alias("pos"), F.xxhash64(*part).alias("a"),
+                        F.xxhash64(F.lit(1), *part).alias("b"),
+                        (F.concat(*part) != "").alias("filled"))
+
+    # hashes are made inside the array: an exploded row never carries the lines
+    return rows.select("doc_id", "_t", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("_lines") - size), window)).alias("w")).filter(
+        "w.filled").select("doc_id", "_t", "w.pos", "w.a", "w.b")
 
 
 def repeated_spans(docs: DataFrame, size: int = WINDOW) -> DataFrame:

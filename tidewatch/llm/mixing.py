@@ -43,7 +43,7 @@ def topic_of(text: Column, topics=TOPICS) -> Column:
 def with_cell(docs: DataFrame, topics=TOPICS) -> DataFrame:
     """``docs`` as ``_doc`` with its cell; a null source or language is the empty one."""
     return docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
+        F.struct("*").alias("_doc"),
         F.coalesce(docs["source"].cast("string"), F.lit("")).alias("source"),
         F.coalesce(docs["lang"].cast("string"), F.lit("")).alias("lang"),
         topic_of(text_or_empty(), topics).alias("topic"))

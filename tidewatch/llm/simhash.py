@@ -23,10 +23,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import slices, table, written
+from tidewatch.llm.common import slices, table, text_or_empty, written
 from tidewatch.llm.components import connected_components
 
 SHINGLE_WORDS, RADIUS, BLOCKS, TREE_NODES, ROWS, SEED = 4, 4, 6, 2000, 512, 42
@@ -56,14 +56,19 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id``, ``fp`` for every row."""
+    """``doc_id``, ``text_hash``, ``fp`` for every row."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, ROWS):
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([fingerprint(t, words) for t in b.column(1).to_pylist()],
-                                       pa.int64())], names=["doc_id", "fp"])
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
-        run, "doc_id long, fp long")
+                [b.column(0), b.column(1),
+                 pa.array([fingerprint(t, words) for t in b.column(2).to_pylist()], pa.int64())],
+                names=["doc_id", "text_hash", "fp"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(), "text"
+                       ).mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(text_or_empty()).alias("text_hash")
 
 
 class BkTree:
@@ -188,7 +193,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS,
                     blocks: int = BLOCKS, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` for every row.
+    """``doc_id``, ``text_hash``, ``fp``, ``component_id`` for every row.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links of
     ``radius`` or fewer differing bits, the row itself included.
@@ -208,20 +213,24 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     lows = written(labels.groupBy("label").agg(F.min("low").alias("component_id")),
                    "component-ids")
     ids = written(labels.join(lows, "label").select("fp", "component_id"), "fingerprint-ids")
-    return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return marks.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its group, with all columns.
 
-    Rows that share a ``doc_id`` are one document and stay or go together; a
-    null ``doc_id`` stays only where its whole group has none.
+    Rows that repeat the smallest ``doc_id`` of a group are one document and
+    stay; a null ``doc_id`` stays only where its whole group has none.
     """
     found = near_duplicates(docs, **how)
-    gone = found.groupBy("doc_id").agg(
-        F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")).filter("not stays")
-    gone = written(gone.select(F.col("doc_id").alias("_gone")), "near-duplicates-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = written(
+        found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct(),
+        "near-duplicates-gone")
+    own = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("long").alias("_id"),
+                      _text_hash())
+    return own.join(gone, own["_id"].eqNullSafe(gone["_gone"])
+                    & (own["text_hash"] == gone["_gone_hash"]), "left_anti").select("_doc.*")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

@@ -88,8 +88,8 @@ def telling(rows: list[tuple[set[str], int]], least: float = LEAST_G) -> list[st
 
 
 def fit(rows: list[tuple[set[str], int]], levels: int = 3, l1: float = 0.3,
-        steps: int = 400) -> OrdinalModel:
-    """Fit on (words, grade) rows by proximal gradient steps on the summed loss.
+        steps: int = 800, rate: float = 0.05) -> OrdinalModel:
+    """Fit on (words, grade) rows by proximal steps (Adam's scaling) on the summed loss.
 
     Without rows of both kinds there is nothing to learn: no weights, and
     thresholds that call nothing toxic.
@@ -102,13 +102,13 @@ def fit(rows: list[tuple[set[str], int]], levels: int = 3, l1: float = 0.3,
     lists = [sorted(index[w] for w in x if w in index) for x, _ in rows]
     col = np.fromiter((i for x in lists for i in x), np.int64)
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    w, squares = np.zeros(len(vocabulary)), np.full(len(vocabulary), 1e-6)
+    w, n_words = np.zeros(len(vocabulary)), len(vocabulary)
     share = [(y > k).mean() for k in range(levels)]
     t = np.array([np.log((1 - s + 1e-3) / (s + 1e-3)) for s in share]) + 0.1 * np.arange(levels)
-    t_squares = np.full(levels, 1e-6)
+    mean, square = np.zeros(n_words + levels), np.zeros(n_words + levels)
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
     low = np.concatenate([[-40.0], np.zeros(levels)])  # threshold below grade k
-    for _ in range(steps):
+    for k in range(1, steps + 1):
         eta = np.bincount(row, w[col], len(y))
         low[1:] = t
         a = sigmoid(eta - low[y])
@@ -116,16 +116,16 @@ def fit(rows: list[tuple[set[str], int]], levels: int = 3, l1: float = 0.3,
         a = np.where(y > 0, a, 1.0)
         p = np.maximum(a - b, 1e-9)
         slope = 1 - a - b
-        g = -np.bincount(col, slope[row], len(w))
-        squares += g * g
-        rate = 0.5 / np.sqrt(squares)
-        w = w - rate * g
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1, 0)
-        g_t = np.array([(a * (1 - a) / p)[y == k + 1].sum() - (b * (1 - b) / p)[y == k].sum()
-                        for k in range(levels)])
-        t_squares += g_t * g_t
-        t = t - 0.2 * g_t / np.sqrt(t_squares)
-        t = np.maximum.accumulate(t + 1e-3 * np.arange(levels))
+        at = [(a * (1 - a) / p)[y == j + 1].sum() - (b * (1 - b) / p)[y == j].sum()
+              for j in range(levels)]
+        g = np.append(-np.bincount(col, slope[row], n_words), at)
+        mean = 0.9 * mean + 0.1 * g
+        square = 0.99 * square + 0.01 * g * g
+        step = rate / (np.sqrt(square / (1 - 0.99 ** k)) + 1e-3)
+        move = step * mean / (1 - 0.9 ** k)
+        w = w - move[:n_words]
+        w = np.sign(w) * np.maximum(np.abs(w) - step[:n_words] * l1, 0)
+        t = np.maximum.accumulate(t - move[n_words:] + 1e-3 * np.arange(levels))
     return OrdinalModel({v: float(x) for v, x in zip(vocabulary, w) if abs(x) > 1e-6},
                         [float(x) for x in t])
 
@@ -202,7 +202,8 @@ def keep_clean(docs: DataFrame, model: OrdinalModel) -> DataFrame:
             keep = [m.exceed(words(t))[0] < 0.5 for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # any column name will do
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
