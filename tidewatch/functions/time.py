@@ -1,12 +1,15 @@
 """Time arithmetic on TIMESTAMP_NTZ columns, independent of the session zone.
 
-Spark rejects ``unix_micros`` on TIMESTAMP_NTZ and a cast to TIMESTAMP would
-read the wall clock in the session zone (wrong across DST changes).  The
-``timestampdiff`` / ``timestampadd`` pair is exact and zone-free on NTZ.
+``unix_micros`` and ``timestampdiff`` would cast an NTZ value to a zoned time
+(wrong inside a daylight-saving change), so the distance to the epoch is put
+together from the date and the time of day, which read the wall clock as it
+is.  ``timestampadd`` keeps NTZ values as they are.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +27,11 @@ def _c(col) -> Column:
 
 def ntz_micros(col) -> Column:
     """Microseconds since the epoch of a TIMESTAMP_NTZ wall-clock value."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(col))
+    c = _c(col)
+    days = F.date_diff(F.to_date(c), F.to_date(F.expr(_EPOCH))).cast("long")
+    seconds = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long")
+    micros = (F.extract(F.lit("SECOND"), c) * MICROS_PER_SECOND).cast("long")
+    return days * MICROS_PER_DAY + seconds * MICROS_PER_SECOND + micros
 
 
 def micros_to_ntz(col) -> Column:
@@ -41,15 +48,29 @@ def millis_to_ntz(col) -> Column:
     return F.timestamp_add("MILLISECOND", _c(col), F.expr(_EPOCH))
 
 
-def iso_to_ntz(col) -> Column:
-    """ISO-8601 text with or without offset → UTC wall clock as TIMESTAMP_NTZ.
+_OFFSET = r"[Tt ].*(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
+def iso_to_ntz(col, strict: bool = False) -> Column:
+    """ISO-8601 text → UTC wall clock as TIMESTAMP_NTZ.
 
-    ``Z``, ``+00:00`` and a missing fraction all parse.  The instant is taken
-    through ``unix_micros`` so the session time zone never leaks in; bad text
-    gives null instead of an ANSI error (the input is operator-supplied text).
+    Text with an offset (``Z``, ``+02:00``) is moved to UTC; text without one
+    is taken as UTC already.  Neither depends on the session zone.  Text that
+    is no time gives null, or with ``strict`` fails the job.
     """
-    instant = F.try_to_timestamp(_c(col))
-    return micros_to_ntz(F.unix_micros(instant))
+    c = _c(col)
+
+    def parsed(kind: str) -> Column:
+        return c.cast(kind) if strict else c.try_cast(kind)
+
+    return F.when(c.rlike(_OFFSET), micros_to_ntz(F.unix_micros(parsed("timestamp")))) \
+        .otherwise(parsed("timestamp_ntz"))
+
+
+def iso_utc_text(instant: Column) -> Column:
+    """A zoned instant as ISO-8601 text in UTC, whatever the session zone."""
+    utc = micros_to_ntz(F.unix_micros(instant))
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def ceil_to_grid_micros(micros: Column, grid: int) -> Column:
@@ -61,12 +82,18 @@ def floor_to_grid_micros(micros: Column, grid: int) -> Column:
     return F.floor(micros / F.lit(grid)).cast("long") * F.lit(grid)
 
 
+# Hour partitions, zero-padded; Spark pattern and strftime code.
+PART_FORMATS = {"year": ("yyyy", "%Y"), "month": ("MM", "%m"), "day": ("dd", "%d"),
+                "hour": ("HH", "%H")}
+
+
 def partition_parts(col) -> dict[str, Column]:
     """Zero-padded ``year / month / day / hour`` strings of a timestamp."""
-    c = _c(col)
-    return {
-        "year": F.date_format(c, "yyyy"),
-        "month": F.date_format(c, "MM"),
-        "day": F.date_format(c, "dd"),
-        "hour": F.date_format(c, "HH"),
-    }
+    return {name: F.date_format(_c(col), pattern)
+            for name, (pattern, _) in PART_FORMATS.items()}
+
+
+def partition_of(when: dt.datetime) -> dict[str, str]:
+    """The same partition values of a clock value (UTC if it has no zone)."""
+    utc = when if when.tzinfo is None else when.astimezone(dt.timezone.utc)
+    return {name: utc.strftime(code) for name, (_, code) in PART_FORMATS.items()}

@@ -2,13 +2,15 @@
 window sizes, with the first and last (truncated) window of each asset
 dropped, summarised as min / avg / max per asset and size.
 
-The candidate sizes are generated per row (``explode``), the per-window
-counts are one partially-aggregated ``groupBy``; the edge windows come from a
-second tiny aggregate (keys x sizes rows) joined back — no sort per group.
+Trades are counted once, at the greatest common divisor of the candidate
+sizes; the few counts are then rolled up to every size.  The edge windows
+come from the counts, by an aggregate joined back — no sort per group.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +23,14 @@ CANDIDATE_MINUTES = [5, 10, 15, 20]
 def window_size_diagnostic(trades: DataFrame, by: str = "asset_symbol",
                            ts: str = "trade_time",
                            sizes: list[int] = CANDIDATE_MINUTES) -> DataFrame:
-    t = ntz_micros(ts)
-    exploded = trades.select(
-        F.col(by), t.alias("_t"),
-        F.explode(F.array(*[F.lit(m) for m in sizes])).alias("window_minutes"))
-    bucket = F.floor(F.col("_t") / (F.col("window_minutes") * MICROS_PER_MINUTE)).cast("long")
-    counts = (exploded.groupBy("window_minutes", by, bucket.alias("_b"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+    unit = math.gcd(*sizes) * MICROS_PER_MINUTE
+    fine = trades.groupBy(by, F.floor(ntz_micros(ts) / unit).cast("long").alias("_u")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    counts = (fine.withColumn("window_minutes", F.explode(F.array(*[F.lit(m) for m in sizes])))
+              .groupBy("window_minutes", by, F.floor(
+                  F.col("_u") * unit / (F.col("window_minutes") * MICROS_PER_MINUTE))
+                  .cast("long").alias("_b"))
+              .agg(F.sum("_c").alias("_n")))
     edges = counts.groupBy("window_minutes", by).agg(
         F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
     inner = (counts.join(edges, ["window_minutes", by])

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.time import ntz_micros
+
 # Alarm threshold and period.
 LAG_THRESHOLD_MS = 60_000
 PERIOD = "1 minute"
@@ -23,18 +25,24 @@ CONSECUTIVE = 2
 
 def lag_per_period(df: DataFrame, event_ts: str, arrival_ts: str,
                    period: str = PERIOD) -> DataFrame:
-    lag_ms = F.timestamp_diff("MILLISECOND", F.col(event_ts), F.col(arrival_ts))
+    lag_ms = ((ntz_micros(arrival_ts) - ntz_micros(event_ts)) / 1000).cast("long")
     return (df.groupBy(F.window(arrival_ts, period).start.alias("minute"))
               .agg(F.max(lag_ms).alias("max_lag_ms")))
 
 
 def lag_breaches(df: DataFrame, event_ts: str = "trade_time",
                  arrival_ts: str = "arrived_at",
-                 threshold_ms: int = LAG_THRESHOLD_MS) -> DataFrame:
-    """Periods where the alarm fires, with this and the previous max lag."""
+                 threshold_ms: int = LAG_THRESHOLD_MS,
+                 consecutive: int = CONSECUTIVE) -> DataFrame:
+    """Periods where the alarm fires (the last of ``consecutive`` breaching
+    ones), with this and the previous max lag."""
     per = lag_per_period(df, event_ts, arrival_ts)
     breach = per.where(F.col("max_lag_ms") > threshold_ms)
-    prev = breach.select(
-        F.timestamp_add("MINUTE", F.lit(1), F.col("minute")).alias("minute"),
-        F.col("max_lag_ms").alias("prev_max_lag_ms"))
-    return breach.join(prev, "minute")
+    fired = breach
+    for back in range(1, consecutive):
+        before = breach.select(
+            F.timestamp_add("MINUTE", F.lit(back), F.col("minute")).alias("minute"),
+            F.col("max_lag_ms").alias("prev_max_lag_ms"))
+        fired = (fired.join(before, "minute") if back == 1
+                 else fired.join(before.select("minute"), "minute", "left_semi"))
+    return fired

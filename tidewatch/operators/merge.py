@@ -4,7 +4,9 @@
   rows never change; a rerun adds nothing; a null key never matches, so such
   rows are inserted every time (plain equality, as in SQL MERGE).
 * upsert: matched target rows are replaced by the source row, unmatched
-  source rows are inserted, target rows without a source row are kept.
+  source rows are inserted, target rows without a source row are kept.  The
+  source must hold a key once (a repeated one would be inserted twice, where
+  SQL MERGE refuses); ``dedupe_first`` makes it so.
 
 Only the key columns of the target are read to find matches, and they are
 first reduced to the keys present in the source with a left-semi join: when
@@ -15,6 +17,19 @@ scanned in place without being shuffled.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def within_key_range(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Target rows whose ``key`` lies between the source's smallest and largest.
+
+    The bounds are two numbers read from the source (an action; meant for a
+    staged source) and reach the scan as literals, so files and row groups
+    outside the range are skipped.  Rows left out cannot match."""
+    low, high = source.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return target.where(F.lit(False))
+    return target.where(F.col(key).between(low, high))
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

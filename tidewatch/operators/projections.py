@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.functions.casts import snapshot_asset, to_decimal, trade_asset
-from tidewatch.functions.time import iso_to_ntz, millis_to_ntz
+from tidewatch.functions.time import iso_to_ntz, iso_utc_text, millis_to_ntz
 
 # Exchange event type kept, and the raw → clean key names.
 TRADE_EVENT_TYPE = "aggTrade"
@@ -70,21 +70,25 @@ def stamp_ingested_at(df: DataFrame, now: dt.datetime | None = None,
     if now is not None:
         text = F.lit(now.astimezone(dt.timezone.utc).isoformat())
     else:
-        text = F.concat(F.date_format(F.current_timestamp(),
-                                      "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+        text = iso_utc_text(F.current_timestamp())
     return df.withColumn(col, text)
 
 
-def ingest_time(legacy: bool = True) -> Column:
+def ingest_time(legacy: bool = True, strict: bool = False) -> Column:
     """``COALESCE(ingested_at, _ingested_at)`` parsed to a UTC timestamp."""
     c = F.coalesce(F.col("ingested_at"), F.col("_ingested_at")) if legacy \
         else F.col("ingested_at")
-    return iso_to_ntz(c)
+    return iso_to_ntz(c, strict)
 
 
 def type_trades(bronze: DataFrame, strict: bool = True) -> DataFrame:
-    """bronze.trades → silver.trades types."""
-    return bronze.select(
+    """bronze.trades → silver.trades types.  ``strict``: text that is no number
+    or no time fails the job; otherwise it becomes null."""
+    return bronze.select(*_trade_columns(strict))
+
+
+def _trade_columns(strict: bool) -> list[Column]:
+    return [
         F.col("trade_id").cast("long").alias("trade_id"),
         F.col("symbol"),
         trade_asset("symbol").alias("asset_symbol"),
@@ -92,8 +96,8 @@ def type_trades(bronze: DataFrame, strict: bool = True) -> DataFrame:
         to_decimal("quantity", strict=strict).alias("quantity"),
         millis_to_ntz("trade_time").alias("trade_time"),
         F.col("is_buyer_maker"),
-        ingest_time().alias("ingested_at"),
-    )
+        ingest_time(strict=strict).alias("ingested_at"),
+    ]
 
 
 def type_snapshots(bronze: DataFrame, strict: bool = True) -> DataFrame:
@@ -103,16 +107,37 @@ def type_snapshots(bronze: DataFrame, strict: bool = True) -> DataFrame:
         if name == "asset_symbol":
             out.append(snapshot_asset("symbol").alias(name))
         elif name == "ingested_at":
-            out.append(ingest_time().alias(name))
+            out.append(ingest_time(strict=strict).alias(name))
         elif name in S.SNAPSHOT_MONEY_COLS:
             out.append(to_decimal(name, 38, 8, strict).alias(name))
         elif name in S.SNAPSHOT_PERCENT_COLS:
             out.append(to_decimal(name, 18, 8, strict).alias(name))
         elif name in S.SNAPSHOT_TIME_COLS:
-            out.append(iso_to_ntz(name).alias(name))
+            out.append(iso_to_ntz(name, strict).alias(name))
         elif name == "market_cap_rank":
             out.append(F.col(name).cast("int").alias(name))
         else:
             out.append(F.col(name))
     return bronze.select(*out)
 
+
+def _reason(checks: list[tuple[str, Column]]) -> Column:
+    """Name of the first check that holds; null when none does."""
+    return F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in checks])
+
+
+def quarantine_trades(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed trades, rejects): rows whose key, price, quantity or times cannot
+    be typed are set aside with a ``reason`` and their text, the others go on."""
+    raw = bronze.select(F.struct("*").alias("_raw")).select("_raw", *[
+        F.col(f"_raw.{c}").alias(c) for c in bronze.columns])
+    both = raw.select("_raw", F.struct(*_trade_columns(strict=False)).alias("_t"))
+    marked = both.withColumn("reason", _reason([
+        ("trade_id", F.col("_t.trade_id").isNull()),
+        ("symbol", F.col("_t.symbol").isNull()),
+        ("price", F.col("_t.price").isNull()),
+        ("quantity", F.col("_t.quantity").isNull()),
+        ("trade_time", F.col("_t.trade_time").isNull()),
+        ("ingested_at", F.col("_t.ingested_at").isNull())]))
+    return (marked.where("reason is null").select("_t.*"),
+            marked.where("reason is not null").select("reason", "_raw.*"))

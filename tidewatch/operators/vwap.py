@@ -22,26 +22,31 @@ def tumbling_vwap(trades: DataFrame, by: str = "asset_symbol",
 
     ``exact_decimal``: inputs are DECIMAL(38,8).  Spark types
     ``decimal(38,8) * decimal(38,8)`` as ``decimal(38,6)`` and loses the last
-    digits of tiny quantities, so both factors are narrowed to
-    ``decimal(18,8)``: the product is ``decimal(37,16)``, its sum
-    ``decimal(38,16)`` and the quotient ``decimal(38,8)`` — exact for prices
-    and quantities below 1e10 (larger values fail loudly under ANSI).
+    digits of tiny quantities.  The quantity is therefore split into whole
+    units and fraction, whose products with the price stay exact
+    (``decimal(38,8)`` and ``decimal(27,16)``), and both sums are put together
+    at 16 digits: VWAP is exact to 8 digits for prices below 1e10, quantities
+    below 1e19 and windows of a notional below 1e20.  A larger notional keeps
+    6 digits; a larger price or quantity fails loudly under ANSI.
     A window with zero total quantity gets a null VWAP (``try_divide``).
     """
     p, q = F.col(price), F.col(quantity)
-    if exact_decimal:
-        p, q = p.cast("decimal(18,8)"), q.cast("decimal(18,8)")
     grouped = trades.groupBy(F.col(by), F.window(F.col(ts), width).alias("w"))
-    out = grouped.agg(F.sum(p * q).alias("_notional"),
-                      F.sum(q).alias("volume"),
-                      F.count(F.lit(1)).alias("trade_count"))
-    vwap = F.try_divide(F.col("_notional"), F.col("volume"))
+    count = F.count(F.lit(1)).alias("trade_count")
     if exact_decimal:
-        vwap = vwap.cast("decimal(38,8)")
-        volume = F.col("volume").cast("decimal(38,8)")
+        p, q = p.cast("decimal(18,8)"), q.cast("decimal(27,8)")
+        units = F.floor(q).cast("decimal(19,0)")
+        rest = (q - units).cast("decimal(8,8)")
+        out = grouped.agg(F.sum(p * units).alias("_whole"), F.sum(p * rest).alias("_rest"),
+                          F.sum(q).cast("decimal(38,8)").alias("volume"), count)
+        fine = (F.col("_whole").try_cast("decimal(36,16)")
+                + F.col("_rest").try_cast("decimal(36,16)")).try_cast("decimal(38,16)")
+        coarse = F.col("_whole") + F.col("_rest").cast("decimal(38,8)")
+        vwap = F.when(fine.isNotNull(), F.try_divide(fine, F.col("volume")).cast("decimal(38,8)")) \
+            .otherwise(F.try_divide(coarse, F.col("volume")).cast("decimal(38,8)"))
     else:
-        volume = F.col("volume")
+        out = grouped.agg(F.sum(p * q).alias("_notional"), F.sum(q).alias("volume"), count)
+        vwap = F.try_divide(F.col("_notional"), F.col("volume"))
     return out.select(
-        F.col(by), F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"), vwap.alias("vwap"),
-        volume.alias("volume"), F.col("trade_count"))
+        F.col(by), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        vwap.alias("vwap"), "volume", "trade_count")

@@ -11,7 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.time import MICROS_PER_MINUTE, micros_to_ntz, ntz_micros
+from tidewatch.functions.time import (
+    MICROS_PER_MINUTE, ceil_to_grid_micros, floor_to_grid_micros, micros_to_ntz, ntz_micros,
+)
 from tidewatch.operators.asof import asof_join
 from tidewatch.operators.baseline import FRAME, SLOT, baseline_at_grid, moving_stats
 from tidewatch.operators.score import DEFAULT_THRESHOLD, usable_baseline, with_zscore
@@ -90,39 +92,74 @@ def score_windows(trades: DataFrame, snapshots: DataFrame,
     return with_zscore(usable_baseline(j), threshold=threshold).select(*GOLD_COLS)
 
 
-def incremental_bounds(snapshots: DataFrame, since, window_minutes: int = WINDOW_MINUTES,
-                       frame: int = FRAME) -> tuple[int, int]:
-    """(``b``, ``lower``) in micros: windows ending at or after ``b`` (``since``
-    floored to the window grid) need trades from ``b - window`` and snapshots
-    after ``lower`` = ``frame + window`` before the earliest snapshot any of
-    them can pick — for each asset its newest group before ``b`` (one small
-    aggregate; the scalar reaches the driver so the bound is a literal)."""
+def rescoring_cuts(trade_lows: DataFrame, snapshot_lows: DataFrame,
+                   window_minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """``asset_symbol``, ``cut``: for every asset with new rows, the smallest
+    window end (micros) whose score they can change.
+
+    ``*_lows``: ``asset_symbol``, ``low`` = the oldest trade time, or snapshot
+    time, among the asset's new rows.  A trade changes the window it lies in;
+    a snapshot at ``t`` is picked by, or lies in the frame of, windows ending
+    at or after ``t`` only."""
+    grid = window_minutes * MICROS_PER_MINUTE
+    low = ntz_micros("low")
+    ends = trade_lows.where("low is not null").select(
+        "asset_symbol", (floor_to_grid_micros(low, grid) + grid).alias("_end")).unionByName(
+        snapshot_lows.where("low is not null").select(
+            "asset_symbol", ceil_to_grid_micros(low, grid).alias("_end")))
+    return ends.groupBy("asset_symbol").agg(F.min("_end").alias("cut"))
+
+
+def score_touched(trades: DataFrame, snapshots: DataFrame, cuts: DataFrame,
+                  window_minutes: int = WINDOW_MINUTES, frame: int = FRAME, **kw) -> DataFrame:
+    """Exactly the rows of :func:`score_windows` with ``window_end >= cut`` of
+    their asset (:func:`rescoring_cuts`), reading only what they depend on.
+
+    An asset needs its trades from one window before its cut on, and its
+    snapshots from one frame before the earliest snapshot that a window may
+    pick: its newest one at or before the cut, however old.  Assets without a
+    cut are not read, so an idle asset does not widen the others' range.  The
+    smallest of the bounds is also a literal on the time column, which the
+    scans use to skip files and row groups."""
     grid = window_minutes * MICROS_PER_MINUTE
-    b = (ntz_literal_micros(since) // grid) * grid
-    ts_micros = ntz_micros("ingested_at")
-    last_before = (snapshots.where(ts_micros < F.lit(b))
-                   .groupBy("asset_symbol").agg(F.max(ts_micros).alias("_m"))
-                   .agg(F.min("_m")).first()[0])
-    earliest_pick = b if last_before is None else min(b, -(-last_before // grid) * grid)
-    return b, earliest_pick - frame - grid
+    cuts = cuts.select(F.col("asset_symbol").alias("_a"), F.col("cut").alias("_cut"))
+    t, s = ntz_micros("trade_time"), ntz_micros("ingested_at")
+    newest = (snapshots.select("asset_symbol", "ingested_at")
+              .join(cuts, F.col("asset_symbol") == F.col("_a"))
+              .where(s <= F.col("_cut")).groupBy("_a").agg(F.max(s).alias("_last")))
+    lows = cuts.join(newest, "_a", "left").select(
+        "_a", "_cut",
+        (F.coalesce(ceil_to_grid_micros(F.col("_last"), grid), F.col("_cut")) - frame - grid)
+        .alias("_low"))
+    bounds = lows.agg(F.min("_cut"), F.min("_low")).first()  # two numbers
+    if bounds[0] is None:
+        return score_windows(trades.where(F.lit(False)), snapshots.where(F.lit(False)),
+                             window_minutes=window_minutes, **kw)
+    first_trade, first_snapshot = (micros_to_ntz(F.lit(x)) for x in (bounds[0] - grid, bounds[1]))
+    some_trades = (trades.where(F.col("trade_time") >= first_trade)
+                   .join(cuts, F.col("asset_symbol") == F.col("_a"))
+                   .where(t >= F.col("_cut") - grid).select(*trades.columns))
+    some_snapshots = (snapshots.where(F.col("ingested_at") > first_snapshot)
+                      .join(lows, F.col("asset_symbol") == F.col("_a"))
+                      .where(s > F.col("_low")).select(*snapshots.columns))
+    # the first window of an asset may miss trades; it ends before the cut
+    out = score_windows(some_trades, some_snapshots, window_minutes=window_minutes, **kw)
+    return (out.join(cuts, F.col("asset_symbol") == F.col("_a"))
+            .where(ntz_micros("window_end") >= F.col("_cut")).select(*out.columns))
 
 
 def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
                         window_minutes: int = WINDOW_MINUTES,
-                        frame: int = FRAME, bounds: tuple[int, int] | None = None,
-                        **kw) -> DataFrame:
-    """Exactly the rows of :func:`score_windows` whose ``window_end >= since``
-    (``since`` is floored to the window grid), reading only the data they
-    depend on (:func:`incremental_bounds`) — for an incremental run after new
-    data arrived at or after ``since``.  Windows ending before ``since`` are
-    unchanged by such data, so upserting this result into gold equals a full
-    recompute."""
+                        frame: int = FRAME, **kw) -> DataFrame:
+    """The rows of :func:`score_windows` whose ``window_end >= since``
+    (``since`` floored to the window grid), for every asset: what changes
+    when all new rows are *timed* at or after ``since``.  New rows that may be
+    older (late arrivals) need :func:`score_touched`."""
     grid = window_minutes * MICROS_PER_MINUTE
-    b, lower = bounds or incremental_bounds(snapshots, since, window_minutes, frame)
-    t = trades.where(ntz_micros("trade_time") >= F.lit(b - grid))
-    s = snapshots.where(ntz_micros("ingested_at") > F.lit(lower))
-    out = score_windows(t, s, window_minutes=window_minutes, **kw)
-    return out.where(ntz_micros("window_end") >= F.lit(b))
+    cut = (ntz_literal_micros(since) // grid) * grid
+    assets = trades.select("asset_symbol").where("asset_symbol is not null").distinct()
+    return score_touched(trades, snapshots, assets.withColumn("cut", F.lit(cut)),
+                         window_minutes, frame, **kw)
 
 
 def typed_gold(scored: DataFrame) -> DataFrame:
@@ -155,61 +192,66 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def gold_source(spark, layout, since=None, **kw) -> DataFrame:
     """The typed gold rows of one run (pure plan): all windows, or with
-    ``since`` only those ending at or after it, reading only the silver day
-    partitions they need."""
+    ``since`` those that a merge into silver at or after ``since`` touched,
+    however old the merged rows are (:func:`score_touched`)."""
     from tidewatch.plans.silver import silver_snapshots_for_gold, silver_trades_for_gold
-    from tidewatch.sources.tables import add_day, read_table
+    from tidewatch.sources.tables import add_day, read_changes
 
     trades = silver_trades_for_gold(spark, layout)
     snaps = silver_snapshots_for_gold(spark, layout)
     if since is None:
         scored = score_windows(trades, snaps, exact_decimal=True, **kw)
     else:
-        # silver is partitioned by ingest day: prune whole days.  Snapshot
-        # partitions follow ingested_at itself (exact); a trade is ingested
-        # after it happened, so its ingest day is >= its trade day (one day of
-        # slack covers clock skew between exchange and consumer).
-        b, lower = incremental_bounds(snaps, since)
-        day = lambda micros: F.to_date(micros_to_ntz(F.lit(micros)))
-        trades = (read_table(spark, layout, "silver_trades")
-                  .where(F.col("part_day") >= F.date_sub(day(b - WINDOW_MINUTES * MICROS_PER_MINUTE), 1))
-                  .drop("part_day"))
-        snaps = (read_table(spark, layout, "silver_snapshots")
-                 .where(F.col("part_day") >= day(lower))
-                 .select("asset_symbol", "ingested_at",
-                         F.col("current_price").cast("double").alias("current_price")))
-        scored = score_windows_since(trades, snaps, since, bounds=(b, lower),
-                                     exact_decimal=True, **kw)
-    source = add_day(typed_gold(scored), "window_start")
-    return source
+        notes = read_changes(spark, layout, since)
+        cuts = rescoring_cuts(notes.where("source = 'silver_trades'"),
+                              notes.where("source = 'silver_snapshots'"))
+        scored = score_touched(trades, snaps, cuts, exact_decimal=True, **kw)
+    return add_day(typed_gold(scored), "window_start")
 
 
 def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
-    """Recompute from silver — all windows, or with ``since`` only those
-    ending at or after it (:func:`score_windows_since`) — then upsert into
+    """Recompute from silver — all windows, or with ``since`` those touched by
+    merges that ran at or after it (:func:`gold_source`) — then upsert into
     gold by (asset_symbol, window_start).
 
-    Affected days = days of the recomputed windows.  Their new content
-    (kept target rows + source rows) is written to ``staging`` first, then
-    swapped in with a dynamic day overwrite, so no plan overwrites a path it
-    reads.  If the swap is interrupted, rerunning :func:`swap_in_staging`
-    with the same staging folder finishes it; recomputing alone could lose
-    kept-but-stale rows."""
+    The rows of the run are written to ``staging`` once; everything after
+    reads them from there.  Affected days = their day partitions, which become
+    literals of the gold scan.  The days' new content (kept target rows +
+    source rows) is written to ``staging`` too and then swapped in with a
+    dynamic day overwrite, so no plan overwrites a path it reads.  If the swap
+    is interrupted, rerunning :func:`swap_in_staging` with the same staging
+    folder finishes it; recomputing alone could lose kept-but-stale rows.
+
+    As in the table merge of the reference, gold rows without a source row
+    stay.  The report counts flagged rows whose z-score is too large for the
+    stored type."""
+    from tidewatch import schemas as S
+    from tidewatch.sources.tables import DAY, with_day
+
+    rows, content = f"{staging}/rows", f"{staging}/content"
+    schema = with_day(S.GOLD_ANOMALIES)
+    (gold_source(spark, layout, since, **kw).write.mode("errorifexists")
+     .partitionBy(DAY).parquet(rows))
+    source = spark.read.schema(schema).parquet(rows)
+    days = [r[0] for r in source.select(DAY).distinct().collect()]  # one per day
+    gold_content(spark, layout, source, days).write.mode("errorifexists").option(
+        "partitionOverwriteMode", "static").partitionBy(DAY).parquet(content)
+    unstored = source.where("is_anomaly and z_score is null").count()
+    return swap_in_staging(spark, layout, staging) | {"days": len(days), "z_not_stored": unstored}
+
+
+def gold_content(spark, layout, source: DataFrame, days: list) -> DataFrame:
+    """New content of the affected gold days (literal day filter on the scan)."""
     from tidewatch.operators.merge import merge_upsert
-    from tidewatch.sources.tables import read_table
+    from tidewatch.sources.tables import DAY, read_table
 
-    source = gold_source(spark, layout, since, **kw)
     target = read_table(spark, layout, "gold_anomalies")
-    days = source.select("part_day").distinct()
-    affected = target.join(days, "part_day", "left_semi")
-    new_content = merge_upsert(affected, source, GOLD_KEYS)
-    (new_content.write.mode("overwrite").partitionBy("part_day").parquet(staging))
-    return swap_in_staging(spark, layout, staging)
+    return merge_upsert(target.where(F.col(DAY).isin(days)), source, GOLD_KEYS)
 
 
 def swap_in_staging(spark, layout, staging: str) -> dict:
     from tidewatch.sources.tables import overwrite_days, with_day
     from tidewatch import schemas as S
-    staged = spark.read.schema(with_day(S.GOLD_ANOMALIES)).parquet(staging)
+    staged = spark.read.schema(with_day(S.GOLD_ANOMALIES)).parquet(f"{staging}/content")
     overwrite_days(staged, layout.gold_anomalies)
     return {"statusCode": 200}

@@ -3,14 +3,17 @@ inside the source, insert-only merge into the day-partitioned silver table."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.dedupe import dedupe_first
-from tidewatch.operators.merge import rows_to_insert
+from tidewatch.operators.merge import rows_to_insert, within_key_range
 from tidewatch.operators.projections import type_snapshots, type_trades
+from tidewatch.session import scratch_path
 from tidewatch.sources.bronze import read_bronze_snapshots, read_bronze_trades, where_hours
-from tidewatch.sources.tables import Layout, append_day_partitioned, read_table
+from tidewatch.sources.tables import Layout, append_day_partitioned, note_changes, read_table
 
 # Merge keys.  The reference keys trades by ``trade_id`` alone although ids
 # are numbered per symbol; ``("symbol", "trade_id")`` is the safer option.
@@ -18,37 +21,56 @@ TRADE_KEYS = ["trade_id"]
 SNAPSHOT_KEYS = ["id", "last_updated"]
 
 
-def silver_trades_delta(spark: SparkSession, layout: Layout, hours=None,
-                        keys: list[str] = TRADE_KEYS, strict: bool = True) -> DataFrame:
-    """Rows the next silver.trades merge inserts (pure plan)."""
+def trade_source(spark: SparkSession, layout: Layout, hours=None,
+                 keys: list[str] = TRADE_KEYS, strict: bool = True) -> DataFrame:
+    """Typed trades of the hours, one row per key (pure plan, one bronze scan)."""
     bronze = where_hours(read_bronze_trades(spark, layout.bronze_trades), hours)
-    typed = type_trades(bronze, strict=strict)
-    source = dedupe_first(typed, keys, ["ingested_at", "trade_time"])
-    target = read_table(spark, layout, "silver_trades")
-    return rows_to_insert(target, source, keys)
+    return dedupe_first(type_trades(bronze, strict=strict), keys, ["ingested_at", "trade_time"])
 
 
-def silver_snapshots_delta(spark: SparkSession, layout: Layout, hours=None,
-                           keys: list[str] = SNAPSHOT_KEYS,
-                           strict: bool = True) -> DataFrame:
+def snapshot_source(spark: SparkSession, layout: Layout, hours=None,
+                    keys: list[str] = SNAPSHOT_KEYS, strict: bool = True) -> DataFrame:
     bronze = where_hours(read_bronze_snapshots(spark, layout.bronze_snapshots), hours)
-    typed = type_snapshots(bronze, strict=strict)
-    source = dedupe_first(typed, keys, ["ingested_at"])
-    target = read_table(spark, layout, "silver_snapshots")
+    return dedupe_first(type_snapshots(bronze, strict=strict), keys, ["ingested_at"])
+
+
+def silver_delta(spark: SparkSession, layout: Layout, table: str, source: DataFrame,
+                 keys: list[str]) -> DataFrame:
+    """Rows of a staged ``source`` that the merge into ``table`` inserts: one
+    scan of the target's keys, bounded by the source's key range."""
+    target = within_key_range(read_table(spark, layout, table), source, keys[-1])
     return rows_to_insert(target, source, keys)
 
 
-def run_silver_trades(spark: SparkSession, layout: Layout, hours=None, **kw) -> int:
+def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, keys: list[str],
+           changed_at: str, now: dt.datetime | None) -> int:
+    """Stage the source (bronze is parsed once), append what is new, and note
+    from which time on each asset may have changed."""
+    path = scratch_path(spark, f"{table}-source")
+    source.write.parquet(path)
+    staged = spark.read.schema(source.schema).parquet(path)
+    inserted = append_day_partitioned(silver_delta(spark, layout, table, staged, keys),
+                                      getattr(layout, table), "ingested_at")
+    note_changes(layout, table, staged.groupBy("asset_symbol").agg(F.min(changed_at).alias("low")),
+                 now)
+    return inserted
+
+
+def run_silver_trades(spark: SparkSession, layout: Layout, hours=None,
+                      keys: list[str] = TRADE_KEYS, strict: bool = True,
+                      now: dt.datetime | None = None) -> int:
     """One merge: append the new rows; returns how many were inserted.  An
     interrupted append is repaired by running again (the anti-join skips
     whatever already landed)."""
-    return append_day_partitioned(silver_trades_delta(spark, layout, hours, **kw),
-                                  layout.silver_trades, "ingested_at")
+    return _merge(spark, layout, "silver_trades",
+                  trade_source(spark, layout, hours, keys, strict), keys, "trade_time", now)
 
 
-def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None, **kw) -> int:
-    return append_day_partitioned(silver_snapshots_delta(spark, layout, hours, **kw),
-                                  layout.silver_snapshots, "ingested_at")
+def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None,
+                         keys: list[str] = SNAPSHOT_KEYS, strict: bool = True,
+                         now: dt.datetime | None = None) -> int:
+    return _merge(spark, layout, "silver_snapshots",
+                  snapshot_source(spark, layout, hours, keys, strict), keys, "ingested_at", now)
 
 
 def silver_trades_for_gold(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -8,9 +8,12 @@ sides; floating values are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewatch import schemas as S
 from tidewatch.operators.asof import asof_join
 from tidewatch.operators.baseline import moving_stats
 from tidewatch.operators.score import with_zscore
@@ -44,13 +47,13 @@ trades AS (
          value AS price,
          CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DOUBLE) AS quantity,
          ts AS trade_time
-  FROM events WHERE event_id % 2 = 1
+  FROM events
 )"""
 
 SQL_SNAPS = """
 snaps AS (
   SELECT event_type AS asset_symbol, value AS current_price, ts AS ingested_at
-  FROM events WHERE event_id % 2 = 0
+  FROM events
 )"""
 
 SQL_BASELINE = """
@@ -122,8 +125,7 @@ def gold_anomalies_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_anomalies_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOB-6 in the reference's shape — a baseline for every snapshot, then
     every window joined as-of to it — with the bounded forms: day buckets
-    with a six-hour halo for the baseline, day-bucketed as-of with carry-in
-    (no snapshot reduction)."""
+    with a six-hour halo for the baseline, day-bucketed as-of with carry-in."""
     return _gold(spark, sf_dir, baseline_form="halo", asof_form="bucketed")
 
 
@@ -144,6 +146,49 @@ def gold_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.rounded(merge_upsert(stale, fresh, G.GOLD_KEYS))
 
 
+def _sql_arrived(ctes: str, every: int, hours: int) -> str:
+    """The same relation over the events that had arrived at the cut."""
+    late = f"CASE WHEN event_id % {every} = 0 THEN {hours * 3_600_000_000} ELSE 0 END"
+    return ctes.replace("FROM events", f"FROM events, cut WHERE epoch_us(ts) + {late} < c")
+
+
+# as a full recompute merged into the same stale gold: rows never go
+GOLD_LATE_SQL = f"""
+WITH cut AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS c FROM events),
+now_gold AS ({GOLD_SQL}),
+stale AS ({_with(_sql_arrived(SQL_TRADES, 7, 10), _sql_arrived(SQL_SNAPS, 11, 3),
+                 SQL_BASELINE, SQL_AGG, SQL_JOINED)} {SQL_GOLD_SELECT})
+SELECT * FROM now_gold
+UNION ALL
+SELECT * FROM stale s WHERE NOT EXISTS (
+  SELECT 1 FROM now_gold n
+  WHERE n.asset_symbol = s.asset_symbol AND n.window_start = s.window_start)"""
+
+
+@register("gold_incremental_late", GOLD_LATE_SQL)
+def gold_incremental_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-6 incremental with late arrivals: every seventh trade arrives ten
+    hours and every eleventh snapshot three hours after its own time.  Gold as
+    it stood at a cut in *arrival* time, upserted with the windows that the
+    rows arriving after it touch, equals the same gold upserted with a full
+    recompute."""
+    from tidewatch.functions.time import ntz_micros
+    from tidewatch.operators.merge import merge_upsert
+    ev = _events(spark, sf_dir)
+    lo, hi = ev.agg(F.min(ntz_micros("ts")), F.max(ntz_micros("ts"))).first()
+    cut = F.lit((lo + hi) // 2)
+    trade, snap = ntz_micros(TD.trade_arrival()) < cut, ntz_micros(TD.snapshot_arrival()) < cut
+    stale = G.score_windows(TD.trades(ev.where(trade)), TD.snapshots(ev.where(snap)))
+
+    def lows(df: DataFrame, ts: str) -> DataFrame:
+        return df.groupBy("asset_symbol").agg(F.min(ts).alias("low"))
+
+    cuts = G.rescoring_cuts(lows(TD.trades(ev.where(~trade)), "trade_time"),
+                            lows(TD.snapshots(ev.where(~snap)), "ingested_at"))
+    fresh = G.score_touched(TD.trades(ev), TD.snapshots(ev), cuts)
+    return G.rounded(merge_upsert(stale, fresh, G.GOLD_KEYS))
+
+
 # ---------------------------------------------------------------- baseline
 SQL_BASELINE_SELECT = """
 SELECT asset_symbol, ingested_at, current_price,
@@ -261,7 +306,7 @@ SELECT event_id AS trade_id,
        make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time,
        user_id % 2 = 0 AS is_buyer_maker,
        ts AS ingested_at
-FROM events WHERE event_id % 2 = 1"""
+FROM events"""
 
 
 @register("silver_trades_typed", SQL_SILVER_TRADES)
@@ -270,32 +315,56 @@ def silver_trades_typed(spark, sf_dir):
     return P.type_trades(TD.bronze_trades(_events(spark, sf_dir)))
 
 
-SQL_SILVER_SNAPS = """
+_MONEY = {"current_price": "value", "market_cap": "value * 1000.0",
+          "fully_diluted_valuation": "value * 1100.0", "total_volume": "value * 10.0",
+          "high_24h": "value + 1.0", "low_24h": "value - 1.0", "price_change_24h": "value - 2.0",
+          "market_cap_change_24h": "value * 3.0", "circulating_supply": "value * 7.0",
+          "total_supply": "value * 8.0", "max_supply": "value * 9.0", "ath": "value + 100.0",
+          "atl": "value / 10.0"}
+_PERCENT = {"price_change_percentage_24h": "value / 100.0",
+            "market_cap_change_percentage_24h": "value / 50.0",
+            "ath_change_percentage": "value / 200.0", "atl_change_percentage": "value / 4.0",
+            "price_change_percentage_1h_in_currency": "value / 1000.0",
+            "price_change_percentage_24h_in_currency": "value / 500.0",
+            "price_change_percentage_7d_in_currency": "value / 20.0"}
+
+
+def _sql_snapshots(source: str) -> str:
+    """All silver snapshot columns over an ``events``-like relation."""
+    money = ", ".join(f"CAST({x} AS DECIMAL(38,8)) AS {n}" for n, x in _MONEY.items())
+    percent = ", ".join(f"CAST({x} AS DECIMAL(18,8)) AS {n}" for n, x in _PERCENT.items())
+    return f"""
 SELECT event_type AS id, event_type AS symbol, upper(event_type) AS asset_symbol,
-       CAST(value AS DECIMAL(38,8)) AS current_price,
-       CAST(value * 1000.0 AS DECIMAL(38,8)) AS market_cap,
+       upper(event_type[1]) || lower(event_type[2:]) AS name,
+       {money}, {percent},
        CAST(user_id % 100 + 1 AS INTEGER) AS market_cap_rank,
-       CAST(value * 10.0 AS DECIMAL(38,8)) AS total_volume,
-       CAST(value + 1.0 AS DECIMAL(38,8)) AS high_24h,
-       CAST(value - 1.0 AS DECIMAL(38,8)) AS low_24h,
-       CAST(value / 100.0 AS DECIMAL(18,8)) AS price_change_percentage_24h,
-       date_trunc('millisecond', ts) AS last_updated,
-       ts AS ingested_at
-FROM events WHERE event_id % 2 = 0"""
+       ts - INTERVAL 30 DAY AS ath_date, date_trunc('second', ts) AS atl_date,
+       date_trunc('millisecond', ts) AS last_updated, ts AS ingested_at
+FROM {source}"""
 
 
-@register("silver_snapshots_typed", SQL_SILVER_SNAPS)
+@register("silver_snapshots_typed", _sql_snapshots("events"))
 def silver_snapshots_typed(spark, sf_dir):
-    """PRJ-5/7, FUN-2/5/8: 29-column snapshot typing (the populated columns)."""
-    s = P.type_snapshots(TD.bronze_snapshots(_events(spark, sf_dir)))
-    return s.select("id", "symbol", "asset_symbol", "current_price", "market_cap",
-                    "market_cap_rank", "total_volume", "high_24h", "low_24h",
-                    "price_change_percentage_24h", "last_updated", "ingested_at")
+    """PRJ-5/7, FUN-2/5/8: snapshot typing, all columns."""
+    return P.type_snapshots(TD.bronze_snapshots(_events(spark, sf_dir)))
+
+
+@register("typing_rejects", """
+SELECT event_id, CASE WHEN event_id % 19 = 0 THEN 'trade_id' WHEN event_id % 13 = 0 THEN 'price'
+                      WHEN event_id % 17 = 0 THEN 'ingested_at' END AS reason
+FROM events""")
+def typing_rejects(spark, sf_dir):
+    """SNK-4, FUN-5: rows with a bad price, a bad time or no key are set aside
+    with a reason, the others are typed."""
+    good, bad = P.quarantine_trades(TD.flawed_bronze_trades(_events(spark, sf_dir)))
+    return good.select(F.col("trade_id").alias("event_id"),
+                       F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("event_id", "reason"))
 
 
 @register("legacy_column_fallback", """
 SELECT event_id AS trade_id, ts AS ingested_at, event_id % 7 = 0 AS used_legacy
-FROM events WHERE event_id % 2 = 1""")
+FROM events""")
 def legacy_column_fallback(spark, sf_dir):
     """PRJ-8: ``COALESCE(ingested_at, _ingested_at)``."""
     b = TD.bronze_trades(_events(spark, sf_dir))
@@ -308,7 +377,7 @@ SELECT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
        CAST(value AS VARCHAR) AS price,
        CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS VARCHAR) AS quantity,
        epoch_us(ts) // 1000 AS trade_time, user_id % 2 = 0 AS is_buyer_maker
-FROM events WHERE event_id % 2 = 1""")
+FROM events""")
 def normalize_raw_trades(spark, sf_dir):
     """SRC-8, FLT-1, PRJ-1: envelope unwrap, event-type filter, renames."""
     raw = P.parse_raw_events(TD.raw_trade_events(_events(spark, sf_dir)))
@@ -317,7 +386,7 @@ def normalize_raw_trades(spark, sf_dir):
 
 @register("partition_key", """
 SELECT event_id AS trade_id, upper(event_type) || 'USDT-' || event_id AS partition_key
-FROM events WHERE event_id % 2 = 1""")
+FROM events""")
 def partition_key_query(spark, sf_dir):
     """PRJ-2, FUN-13: ``symbol-tradeId`` distribution key, hash-partitioned on it."""
     t = TD.trades(_events(spark, sf_dir))
@@ -382,15 +451,11 @@ def merge_source_dedup(spark, sf_dir):
 
 SQL_SNAP_ROLES = """
 mx AS (SELECT max(event_id) AS m FROM events),
-snap_t AS (SELECT e.* FROM events e, mx WHERE e.event_id % 2 = 0 AND e.event_id * 10 < mx.m * 6),
+snap_t AS (SELECT e.* FROM events e, mx WHERE e.event_id * 10 < mx.m * 6),
 snap_s AS (SELECT e.* REPLACE (value + 1 AS value) FROM events e, mx
-           WHERE e.event_id % 2 = 0 AND e.event_id * 10 >= mx.m * 4),
-typed_t AS (SELECT event_type AS id, upper(event_type) AS asset_symbol,
-                   CAST(value AS DECIMAL(38,8)) AS current_price,
-                   date_trunc('millisecond', ts) AS last_updated, ts AS ingested_at FROM snap_t),
-typed_s AS (SELECT event_type AS id, upper(event_type) AS asset_symbol,
-                   CAST(value AS DECIMAL(38,8)) AS current_price,
-                   date_trunc('millisecond', ts) AS last_updated, ts AS ingested_at FROM snap_s)"""
+           WHERE e.event_id * 10 >= mx.m * 4),
+typed_t AS (""" + _sql_snapshots("snap_t") + """),
+typed_s AS (""" + _sql_snapshots("snap_s") + """)"""
 
 
 @register("merge_insert_only_composite", _with(SQL_SNAP_ROLES) + """
@@ -400,32 +465,38 @@ SELECT * FROM typed_s s WHERE NOT EXISTS (
   SELECT 1 FROM typed_t t WHERE t.id = s.id AND t.last_updated = s.last_updated)""")
 def merge_insert_only_composite(spark, sf_dir):
     """JON-2: insert-only merge of typed snapshots on ``(id, last_updated)``."""
-    ev = _events(spark, sf_dir).where(F.col("event_id") % 2 == 0)
-    t_ev, s_ev = TD.merge_roles(ev)
-    cols = ["id", "asset_symbol", "current_price", "last_updated", "ingested_at"]
-    target = P.type_snapshots(TD.bronze_snapshots(t_ev)).select(*cols)
-    source = P.type_snapshots(TD.bronze_snapshots(s_ev)).select(*cols)
+    t_ev, s_ev = TD.merge_roles(_events(spark, sf_dir))
+    target = P.type_snapshots(TD.bronze_snapshots(t_ev))
+    source = P.type_snapshots(TD.bronze_snapshots(s_ev))
     return merge_insert_only(target, source, ["id", "last_updated"])
 
 
 # ---------------------------------------------------------------- decimal VWAP
 @register("vwap_decimal", """
 WITH typed AS (
-  SELECT upper(event_type) AS asset_symbol, ts AS trade_time,
-         CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price,
-         CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS DECIMAL(38,8)) AS quantity
-  FROM events WHERE event_id % 2 = 1)
+  SELECT upper(event_type) AS asset_symbol,
+         make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time,
+         CAST(CAST(value AS DECIMAL(18,2)) * 100 AS HUGEINT) * 1000000
+           + (event_id * 104729) % 1000000 AS p,
+         CASE WHEN event_id % 5 = 0 THEN CAST(20000000000 + event_id AS HUGEINT) * 100000000
+              ELSE 0 END + (event_id * 7919) % 100000000 AS q
+  FROM events)
 SELECT asset_symbol, time_bucket(INTERVAL 10 MINUTE, trade_time) AS window_start,
-       round(CAST(sum(price * quantity) AS DOUBLE)
-             / CAST(sum(quantity) AS DOUBLE), 6) AS vwap,
-       round(CAST(sum(quantity) AS DOUBLE), 6) AS volume, count(*) AS trade_count
+       CAST((2 * sum(p * q) + sum(q)) // (2 * sum(q)) AS VARCHAR) AS vwap_e8,
+       CAST(sum(q) AS VARCHAR) AS volume_e8, count(*) AS trade_count
 FROM typed GROUP BY 1, 2""")
 def vwap_decimal(spark, sf_dir):
-    """AGG-2 with T1: exact decimal VWAP from silver-typed trades."""
-    typed = P.type_trades(TD.bronze_trades(_events(spark, sf_dir)))
+    """AGG-2 with T1: exact decimal VWAP from silver-typed trades with
+    eight-digit prices, tiny quantities and quantities above 1e10; compared to
+    the last of the eight digits (as units of 1e-8)."""
+    typed = P.type_trades(TD.fine_bronze_trades(_events(spark, sf_dir)))
     w = tumbling_vwap(typed, exact_decimal=True)
-    return G.rounded(w.select("asset_symbol", "window_start", "vwap", "volume",
-                              "trade_count"))
+
+    def units(c: str):
+        return F.replace(F.col(c).cast("string"), F.lit("."), F.lit("")).cast(
+            "decimal(38,0)").cast("string").alias(f"{c}_e8")
+
+    return w.select("asset_symbol", "window_start", units("vwap"), units("volume"), "trade_count")
 
 
 # ---------------------------------------------------------------- diagnostic
@@ -449,7 +520,7 @@ def window_size_diagnostic_query(spark, sf_dir):
 # ---------------------------------------------------------------- lag report
 @register("lag_breaches", """
 WITH t AS (SELECT ts AS trade_time, ts + to_seconds(user_id) AS arrived_at
-           FROM events WHERE event_id % 2 = 1),
+           FROM events),
 per AS (SELECT date_trunc('minute', arrived_at) AS minute,
                max((epoch_us(arrived_at) - epoch_us(trade_time)) // 1000) AS max_lag_ms
         FROM t GROUP BY 1),
@@ -464,9 +535,9 @@ def lag_breaches_query(spark, sf_dir):
 # ---------------------------------------------------------------- dead letter
 @register("dead_letter_split", """
 WITH recs AS (
-  SELECT event_id, 0 AS copy FROM events WHERE event_id % 2 = 1
+  SELECT event_id, 0 AS copy FROM events
   UNION ALL
-  SELECT event_id, 1 AS copy FROM events WHERE event_id % 2 = 1 AND event_id % 10 = 1)
+  SELECT event_id, 1 AS copy FROM events WHERE event_id % 10 = 1)
 SELECT printf('%012d-%d', event_id, copy) AS sequence_number,
        CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS trade_id,
        event_id % 11 = 0 AS is_rejected
@@ -482,60 +553,80 @@ def dead_letter_split(spark, sf_dir):
 from tidewatch.session import scratch_path  # noqa: E402
 from tidewatch.sources.bronze import read_bronze_trades  # noqa: E402
 from tidewatch.sources.tables import Layout  # noqa: E402
-from tidewatch.streaming.ingest import start_ingest  # noqa: E402
+from tidewatch.streaming.ingest import read_records, start_ingest  # noqa: E402
 
 SQL_LANDED = """
 SELECT DISTINCT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
        CAST(value AS VARCHAR) AS price,
        CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS VARCHAR) AS quantity,
        epoch_us(ts) // 1000 AS trade_time, user_id % 2 = 0 AS is_buyer_maker
-FROM events WHERE event_id % 2 = 1 AND event_id % 11 <> 0"""
-
-STREAM_FILES = 4
+FROM events WHERE event_id % 11 <> 0"""
 
-
-def _stream_run(spark, sf_dir, fail_first: bool) -> DataFrame:
+def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False) -> DataFrame:
+    """Ingest ``sendings`` (records, arrival time) one after the other, each by
+    a run of the same query; the first run may fail once after its good rows
+    have landed."""
     root = scratch_path(spark, "stream")
-    src, layout = f"{root}/source", Layout(f"{root}/lake")
-    recs = TD.stream_records(_events(spark, sf_dir)).drop("event_id")
-    # repeats carry another sequence number, so they mostly land in other
-    # files (other micro-batches) and exercise the cross-batch dedup state
-    recs.repartition(STREAM_FILES, "sequence_number").write.json(src)
+    src, layout, ckpt = f"{root}/source", Layout(f"{root}/lake"), f"{root}/checkpoint"
+    schema = T.StructType(S.STREAM_RECORD.fields + [T.StructField("arrived_at", T.StringType())])
     failed = []
 
-    def fail_once(batch_id):
-        if fail_first and not failed:
+    def fail(batch_id):
+        if fail_once and not failed:
             failed.append(batch_id)
             raise RuntimeError("injected sink failure")
 
-    ckpt = f"{root}/checkpoint"
-    for _ in range(2):
-        q = start_ingest(spark, src, layout, ckpt, max_files_per_trigger=1,
-                         available_now=True, before_write=fail_once,
-                         state_partitions=spark.sparkContext.defaultParallelism)
+    def run():
+        records = read_records(spark, src, schema=schema).withColumn(
+            "arrived_at", F.to_timestamp("arrived_at"))
+        start_ingest(spark, records, layout, ckpt, available_now=True, arrival_col="arrived_at",
+                     between_writes=fail,
+                     state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+
+    for records, arrived_at in sendings:
+        (records.drop("event_id").withColumn("arrived_at", F.lit(f"{arrived_at}+00:00"))
+         .write.mode("append").json(src))
         try:
-            q.awaitTermination()
-            break
-        except Exception:
-            if not fail_first or len(failed) != 1:
+            run()
+        except StreamingQueryException:
+            if len(failed) != 1:
                 raise
+            run()
     landed = read_bronze_trades(spark, layout.bronze_trades)
     return landed.select("trade_id", "symbol", "price", "quantity", "trade_time",
                          "is_buyer_maker")
 
 
-@register("stream_dedup_ttl", SQL_LANDED)
+@register("stream_dedup_ttl", SQL_LANDED.replace("SELECT DISTINCT", "SELECT") + """
+UNION ALL
+SELECT event_id, upper(event_type) || 'USDT', CAST(CAST(value AS DECIMAL(18,2)) + 200 AS VARCHAR),
+       CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS VARCHAR),
+       epoch_us(ts) // 1000, user_id % 2 = 0
+FROM events WHERE event_id % 10 = 1 AND event_id % 11 <> 0""")
 def stream_dedup_ttl(spark, sf_dir):
-    """JOB-7, STR-1/2/3/6, SNK-1/3/4: repeats inside and across micro-batches
-    land once, malformed records go to rejects."""
-    return _stream_run(spark, sf_dir, fail_first=False)
+    """JOB-7, STR-1/2/3/6, SNK-1/3/4: a repeat with another price one hour
+    later is dropped (the first wins); once arrivals have run past the six
+    hours, another repeat is accepted; malformed records go to rejects."""
+    ev = _events(spark, sf_dir)
+    part, again = F.col("event_id") % 5, F.col("event_id") % 10 == 1
+    return _stream_run(spark, sf_dir, [
+        (TD.stream_copy(ev.where(part < 3), 0), "2026-06-10T00:00:00"),
+        (TD.stream_copy(ev.where(again), 1), "2026-06-10T01:00:00"),
+        (TD.stream_copy(ev.where(part == 3), 0), "2026-06-10T13:00:00"),
+        (TD.stream_copy(ev.where(part == 4), 0), "2026-06-10T13:10:00"),
+        (TD.stream_copy(ev.where(again), 2), "2026-06-10T13:20:00")])
 
 
 @register("stream_retry_atomic", SQL_LANDED)
 def stream_retry_atomic(spark, sf_dir):
-    """STR-4: the sink fails on the first batch; the restarted query replays it
-    with the old dedup state and every trade lands exactly once."""
-    return _stream_run(spark, sf_dir, fail_first=True)
+    """STR-4: the sink fails after the good rows of the first batch landed and
+    before its rejects did; the restarted query replays the batch with the old
+    dedup state and every trade lands exactly once."""
+    ev = _events(spark, sf_dir)
+    return _stream_run(spark, sf_dir, [
+        (TD.stream_copy(ev, 0), "2026-06-10T00:00:00"),
+        (TD.stream_copy(ev.where(F.col("event_id") % 10 == 1), 1), "2026-06-10T01:00:00")],
+        fail_once=True)
 
 
 # ---------------------------------------------------------------- bronze / jobs
@@ -546,13 +637,14 @@ from tidewatch.sources.landing import land_jsonl  # noqa: E402
 from tidewatch.sources.tables import create_tables, read_table  # noqa: E402
 
 
-def _land_bronze(spark, sf_dir, root: str, snapshots: bool = True) -> Layout:
+def _land_bronze(spark, sf_dir, root: str, snapshots: bool = True,
+                 trades: bool = True) -> Layout:
     """Land the bronze text forms as JSON lines under the hour partitions of
     their arrival stamp (one landing batch)."""
     ev = _events(spark, sf_dir)
     layout = Layout(root)
     stamp = F.coalesce(F.col("ingested_at"), F.col("_ingested_at"))
-    tables = [(TD.bronze_trades(ev), layout.bronze_trades)]
+    tables = [(TD.bronze_trades(ev), layout.bronze_trades)] if trades else []
     if snapshots:
         tables.append((TD.bronze_snapshots(ev), layout.bronze_snapshots))
     for df, path in tables:
@@ -566,8 +658,8 @@ WITH t AS (
          CAST(value AS VARCHAR) AS price,
          strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
          strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
-  FROM events WHERE event_id % 2 = 1),
-m AS (SELECT max(ts) AS mx FROM events WHERE event_id % 2 = 1),
+  FROM events),
+m AS (SELECT max(ts) AS mx FROM events),
 h AS (SELECT strftime(mx, '%Y') AS y, strftime(mx, '%m') AS mo,
              strftime(mx, '%d') AS d, strftime(mx, '%H') AS hr FROM m
       UNION ALL
@@ -583,35 +675,45 @@ def hour_partition_filter(spark, sf_dir):
     and the hour before (partition-pruned scan)."""
     root = scratch_path(spark, "bronze")
     layout = _land_bronze(spark, sf_dir, root, snapshots=False)
-    now = _events(spark, sf_dir).where(F.col("event_id") % 2 == 1) \
-        .agg(F.max("ts")).first()[0]
+    now = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
     hours = hours_to_process(now)
     bronze = where_hours(read_bronze_trades(spark, layout.bronze_trades), hours)
     return bronze.select("trade_id", "symbol", "price", "year", "month", "day", "hour")
 
 
-@register("silver_trades_backfill", """
-SELECT DISTINCT event_id AS trade_id, upper(event_type) AS asset_symbol,
-       CAST(CAST(value AS VARCHAR) AS DECIMAL(38,8)) AS price,
-       make_timestamp((epoch_us(ts) // 1000) * 1000) AS trade_time, ts AS ingested_at
-FROM events WHERE event_id % 2 = 1""")
-def silver_trades_backfill(spark, sf_dir):
-    """JOB-2/4, JOB-1 mode switch: backfill merge of landed bronze trades into
-    silver, run twice (the second run must add nothing), then one incremental
-    run over the latest two hours (also adds nothing)."""
-    root = scratch_path(spark, "silver")
-    layout = _land_bronze(spark, sf_dir, root, snapshots=False)
+def _backfill(spark, sf_dir, trades: bool) -> DataFrame:
+    """A backfill run twice, then an incremental run over the latest two hours:
+    only the first may add rows."""
+    layout = _land_bronze(spark, sf_dir, scratch_path(spark, "silver"), snapshots=not trades,
+                          trades=trades)
     create_tables(spark, layout)
+    inserted = []
 
-    def build(hours):
-        SV.run_silver_trades(spark, layout, hours)
+    def merge(hours):
+        job = SV.run_silver_trades if trades else SV.run_silver_snapshots
+        inserted.append(job(spark, layout, hours))
 
-    R.handle({"backfill": True}, build)
-    R.handle({"backfill": True}, build)
-    now = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
-    R.handle({}, build, now=now)
-    return read_table(spark, layout, "silver_trades").select(
-        "trade_id", "asset_symbol", "price", "trade_time", "ingested_at")
+    R.run({"backfill": True}, merge)
+    R.run({"backfill": True}, merge)
+    R.run({}, merge, now=_events(spark, sf_dir).agg(F.max("ts")).first()[0])
+    if any(inserted[1:]):
+        raise AssertionError(f"a repeated merge added rows: {inserted}")
+    return read_table(spark, layout, "silver_trades" if trades else "silver_snapshots").drop(
+        "part_day")
+
+
+@register("silver_trades_backfill", SQL_SILVER_TRADES)
+def silver_trades_backfill(spark, sf_dir):
+    """JOB-2/4, JOB-1 mode switch: landed bronze trades merged into silver."""
+    return _backfill(spark, sf_dir, trades=True)
+
+
+@register("silver_snapshots_backfill", "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER ("
+          "PARTITION BY id, last_updated ORDER BY ingested_at, name, current_price) AS rn FROM ("
+          + _sql_snapshots("events") + ")) WHERE rn = 1")
+def silver_snapshots_backfill(spark, sf_dir):
+    """JOB-2/5: landed bronze snapshots merged into silver on (id, last_updated)."""
+    return _backfill(spark, sf_dir, trades=False)
 
 
 SQL_GOLD_TYPED = _with(
@@ -666,7 +768,7 @@ SELECT event_type AS id, value AS current_price,
        date_trunc('millisecond', ts) AS last_updated,
        '{INGEST_CLOCK}' AS ingested_at, '2026' AS year, '06' AS month, '10' AS day,
        '14' AS hour
-FROM events WHERE event_id % 2 = 0""")
+FROM events""")
 def snapshot_ingest_batch(spark, sf_dir):
     """JOB-8, SNK-2/3, SRC-2/3/5, PRJ-3: market responses (JSON lines with
     undeclared keys) are stamped with one ingest time, landed and read back
@@ -679,8 +781,9 @@ def snapshot_ingest_batch(spark, sf_dir):
         "image", F.concat(F.lit("https://img/"), F.col("id")))
     resp.write.json(f"{root}/response")
     now = dt.datetime.fromisoformat(INGEST_CLOCK)
-    res = ingest_snapshots(spark, f"{root}/response", f"{root}/bronze", now, multiline=False)
-    assert res["statusCode"] == 200
+    # the second landing lies outside the visible years
+    for clock in (now, now.replace(year=2031)):
+        ingest_snapshots(spark, f"{root}/response", f"{root}/bronze", clock, multiline=False)
     got = read_bronze_snapshots(spark, f"{root}/bronze", year_range=(2026, 2030))
     return got.select("id", "current_price",
                       iso_to_ntz("last_updated").alias("last_updated"),

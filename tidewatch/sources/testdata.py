@@ -1,14 +1,16 @@
 """Role mapping of the driver's parquet tables onto the engine's inputs.
 
 The driver supplies an ``events(event_id, ts, user_id, event_type, value,
-props)`` table; every row takes exactly one role, so the whole table is used:
+props)`` table.  Every row is both
 
-* odd ``event_id``  → a trade: ``trade_id = event_id``, asset = ``event_type``,
+* a trade: ``trade_id = event_id``, asset = ``event_type``,
   ``symbol = upper(event_type) || 'USDT'``, ``price = value``,
   ``quantity = props.k + 1``, ``trade_time = ts``,
-  ``is_buyer_maker = user_id is even``;
-* even ``event_id`` → a market snapshot of asset ``event_type`` with
-  ``current_price = value`` taken at ``ingested_at = ts``.
+  ``is_buyer_maker = user_id is even``; and
+* a market snapshot of asset ``event_type`` with ``current_price = value``
+  taken at ``ingested_at = ts``,
+
+so a query over trades, or over snapshots, works on the whole table.
 
 Bronze text forms render those rows the way the landing jobs write them:
 price and quantity as text, trade time as epoch millis, ingest stamps as
@@ -30,7 +32,7 @@ LEGACY_STAMP_EVERY = 7          # event_id % 7 = 0 → only _ingested_at is set
 DUPLICATE_EVERY = 10            # id % 10 = 1 → row repeated in a source
 DUPLICATE_RESIDUE = 1
 MALFORMED_EVERY = 11            # event_id % 11 = 0 → payload is not JSON
-MALFORMED_PAYLOAD = "quebrado"
+MALFORMED_PAYLOAD = "%% not json %%"
 TARGET_SHARE = 0.6
 SOURCE_SHARE = 0.4
 
@@ -39,17 +41,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _is_trade() -> Column:
-    return F.col("event_id") % 2 == 1
-
-
 def _quantity() -> Column:
     return F.get_json_object("props", "$.k").cast("long") + 1
 
 
 def trades(events: DataFrame) -> DataFrame:
     """Typed trades in double precision (the flagship query's input)."""
-    return events.where(_is_trade()).select(
+    return events.select(
         F.col("event_id").alias("trade_id"),
         F.concat(F.upper("event_type"), F.lit(TRADE_QUOTE)).alias("symbol"),
         F.col("event_type").alias("asset_symbol"),
@@ -63,7 +61,7 @@ def trades(events: DataFrame) -> DataFrame:
 
 def snapshots(events: DataFrame) -> DataFrame:
     """Market snapshots: asset, price and the time they were taken."""
-    return events.where(~_is_trade()).select(
+    return events.select(
         F.col("event_type").alias("asset_symbol"),
         F.col("value").alias("current_price"),
         F.col("ts").alias("ingested_at"),
@@ -90,7 +88,7 @@ def _parts(ts: Column) -> list[Column]:
 def bronze_trades(events: DataFrame) -> DataFrame:
     """Trades as landed in bronze (text price/quantity, epoch-millis time)."""
     ts = F.col("ts")
-    return events.where(_is_trade()).select(
+    return events.select(
         F.col("event_id").alias("trade_id"),
         F.concat(F.upper("event_type"), F.lit(TRADE_QUOTE)).alias("symbol"),
         F.col("value").cast("string").alias("price"),
@@ -103,9 +101,8 @@ def bronze_trades(events: DataFrame) -> DataFrame:
 
 def bronze_snapshots(events: DataFrame) -> DataFrame:
     """Snapshots as landed in bronze; the fields the feed would carry are
-    derived from ``value`` / ``user_id``, the rest are absent (null)."""
+    derived from ``value`` / ``user_id`` / ``ts``."""
     ts, v = F.col("ts"), F.col("value")
-    nul_d, nul_s = F.lit(None).cast("double"), F.lit(None).cast("string")
     cols = {
         "id": F.col("event_type"),
         "symbol": F.col("event_type"),
@@ -113,29 +110,32 @@ def bronze_snapshots(events: DataFrame) -> DataFrame:
         "current_price": v,
         "market_cap": v * F.lit(1000.0),
         "market_cap_rank": (F.col("user_id") % 100 + 1).cast("int"),
-        "fully_diluted_valuation": nul_d,
+        "fully_diluted_valuation": v * F.lit(1100.0),
         "total_volume": v * F.lit(10.0),
         "high_24h": v + F.lit(1.0),
         "low_24h": v - F.lit(1.0),
-        "price_change_24h": nul_d,
+        "price_change_24h": v - F.lit(2.0),
         "price_change_percentage_24h": v / F.lit(100.0),
-        "market_cap_change_24h": nul_d,
-        "market_cap_change_percentage_24h": nul_d,
-        "circulating_supply": nul_d,
-        "total_supply": nul_d,
-        "max_supply": nul_d,
-        "ath": nul_d,
-        "ath_change_percentage": nul_d,
-        "ath_date": nul_s,
-        "atl": nul_d,
-        "atl_change_percentage": nul_d,
-        "atl_date": nul_s,
+        "market_cap_change_24h": v * F.lit(3.0),
+        "market_cap_change_percentage_24h": v / F.lit(50.0),
+        "circulating_supply": v * F.lit(7.0),
+        "total_supply": v * F.lit(8.0),
+        "max_supply": v * F.lit(9.0),
+        "ath": v + F.lit(100.0),
+        "ath_change_percentage": v / F.lit(200.0),
+        "ath_date": iso_text(F.timestamp_add("DAY", F.lit(-30), ts)),
+        "atl": v / F.lit(10.0),
+        "atl_change_percentage": v / F.lit(4.0),
+        # offset text, and text without any offset, in turn
+        "atl_date": F.when(F.col("event_id") % 2 == 0, F.concat(F.date_format(
+            F.timestamp_add("HOUR", F.lit(2), ts), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
+        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")),
         "last_updated": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
-        "price_change_percentage_1h_in_currency": nul_d,
-        "price_change_percentage_24h_in_currency": nul_d,
-        "price_change_percentage_7d_in_currency": nul_d,
+        "price_change_percentage_1h_in_currency": v / F.lit(1000.0),
+        "price_change_percentage_24h_in_currency": v / F.lit(500.0),
+        "price_change_percentage_7d_in_currency": v / F.lit(20.0),
     }
-    return events.where(~_is_trade()).select(
+    return events.select(
         *[c.alias(n) for n, c in cols.items()], *_stamps(ts), *_parts(ts))
 
 
@@ -164,11 +164,12 @@ def with_replays(df: DataFrame, id_col: str = "event_id",
 
 
 def raw_trade_events(events: DataFrame) -> DataFrame:
-    """Exchange messages for every event: trades as ``aggTrade`` events, the
-    other rows as another event type; every third one wrapped in a
-    ``{"stream": ..., "data": ...}`` envelope.  Column ``message`` is text."""
+    """Exchange messages for every event: one ``aggTrade`` and one of another
+    type; every third event's are wrapped in a ``{"stream": ..., "data": ...}``
+    envelope.  Column ``message`` is text."""
+    rows = events.withColumn("_e", F.explode(F.array(F.lit("aggTrade"), F.lit("markPrice"))))
     inner = F.to_json(F.struct(
-        F.when(_is_trade(), F.lit("aggTrade")).otherwise(F.lit("markPrice")).alias("e"),
+        F.col("_e").alias("e"),
         F.concat(F.upper("event_type"), F.lit(TRADE_QUOTE)).alias("s"),
         F.col("event_id").alias("a"),
         F.col("value").cast("string").alias("p"),
@@ -176,44 +177,80 @@ def raw_trade_events(events: DataFrame) -> DataFrame:
         F.floor(ntz_micros("ts") / 1000).cast("long").alias("T"),
         (F.col("user_id") % 2 == 0).alias("m"),
     ))
-    wrapped = F.concat(F.lit('{"stream":"'), F.lower("event_type"),
-                       F.lit('@aggTrade","data":'), inner, F.lit("}"))
-    return events.select(
+    wrapped = F.concat(F.lit('{"stream":"'), F.lower("event_type"), F.lit("@"), F.col("_e"),
+                       F.lit('","data":'), inner, F.lit("}"))
+    return rows.select(
         "event_id",
         F.when(F.col("event_id") % 3 == 0, wrapped).otherwise(inner).alias("message"))
 
 
-def stream_records(events: DataFrame) -> DataFrame:
-    """Stream records (base64 payload + sequence number) for every trade, with
-    in-source repeats (``id % 10 = 1`` sent twice) and non-JSON payloads for
-    ``id % 11 = 0``."""
-    t = events.where(_is_trade())
+def flawed_bronze_trades(events: DataFrame) -> DataFrame:
+    """Bronze trades of which some have a bad price, a bad ingest time or no
+    key (fixed residues of the id); ``event_id`` names the row."""
+    i = F.col("trade_id")
+    return bronze_trades(events).select("*", i.alias("event_id")).withColumns({
+        "price": F.when(i % 13 == 0, F.lit("n/a")).otherwise(F.col("price")),
+        "ingested_at": F.when(i % 17 == 0, F.lit("yesterday")).otherwise(F.col("ingested_at")),
+        "trade_id": F.when(i % 19 != 0, i)})
+
+
+def fine_bronze_trades(events: DataFrame) -> DataFrame:
+    """Bronze trades with eight-digit prices, tiny quantities, and for every
+    fifth event a quantity above 1e10."""
+    i = F.col("trade_id")
+    digits = F.lpad(F.pmod(i * 7919, F.lit(100_000_000)).cast("string"), 8, "0")
+    return bronze_trades(events).withColumns({
+        "price": F.concat(F.col("price").cast("decimal(18,2)").cast("string"),
+                          F.lpad(F.pmod(i * 104_729, F.lit(1_000_000)).cast("string"), 6, "0")),
+        "quantity": F.concat(F.when(i % 5 == 0, (F.lit(20_000_000_000) + i).cast("string"))
+                             .otherwise(F.lit("0")), F.lit("."), digits)})
+
+
+def trade_arrival() -> Column:
+    """When an event's trade reaches silver: every seventh is ten hours late."""
+    late = F.when(F.col("event_id") % 7 == 0, F.lit(10)).otherwise(F.lit(0))
+    return F.timestamp_add("HOUR", late, F.col("ts"))
+
+
+def snapshot_arrival() -> Column:
+    """When its snapshot is merged: every eleventh three hours after it was taken."""
+    late = F.when(F.col("event_id") % 11 == 0, F.lit(3)).otherwise(F.lit(0))
+    return F.timestamp_add("HOUR", late, F.col("ts"))
+
+
+def stream_copy(events: DataFrame, copy: int) -> DataFrame:
+    """Stream records (base64 payload + sequence number) of one sending of
+    every event's trade; a repeat (``copy`` above 0) carries another price.
+    Payloads of ``id % 11 = 0`` are not JSON."""
+    price = F.col("value").cast("string")
+    if copy:
+        price = (F.col("value").cast("decimal(18,2)") + 100 * copy).cast("string")
     payload = F.to_json(F.struct(
         F.col("event_id").alias("trade_id"),
         F.concat(F.upper("event_type"), F.lit(TRADE_QUOTE)).alias("symbol"),
-        F.col("value").cast("string").alias("price"),
+        price.alias("price"),
         _quantity().cast("string").alias("quantity"),
         F.floor(ntz_micros("ts") / 1000).cast("long").alias("trade_time"),
         (F.col("user_id") % 2 == 0).alias("is_buyer_maker"),
     ))
     bad = F.col("event_id") % MALFORMED_EVERY == 0
     text = F.when(bad, F.lit(MALFORMED_PAYLOAD)).otherwise(payload)
-    rec = t.select(
+    return events.select(
         F.base64(F.encode(text, "UTF-8")).alias("data"),
-        F.col("event_id"), F.lit(0).alias("copy"))
-    again = (rec.where(F.col("event_id") % DUPLICATE_EVERY == DUPLICATE_RESIDUE)
-             .withColumn("copy", F.lit(1)))
-    both = rec.unionByName(again)
-    return both.select(
-        "data",
-        F.format_string("%012d-%d", F.col("event_id"), F.col("copy")).alias("sequence_number"),
+        F.format_string("%012d-%d", F.col("event_id"), F.lit(copy)).alias("sequence_number"),
         "event_id")
 
 
+def stream_records(events: DataFrame) -> DataFrame:
+    """One record per event, and a second one for ``id % 10 = 1``."""
+    return stream_copy(events, 0).unionByName(
+        stream_copy(events.where(F.col("event_id") % DUPLICATE_EVERY == DUPLICATE_RESIDUE), 1))
+
+
 def trade_arrivals(events: DataFrame) -> DataFrame:
     """Trades with an arrival time for the lag report: a trade of user ``u``
     reaches the consumer ``u`` seconds after it happened."""
-    return events.where(_is_trade()).select(
+    return events.select(
         F.col("event_id").alias("trade_id"),
         F.col("event_type").alias("asset_symbol"),
         F.col("ts").alias("trade_time"),
