@@ -89,7 +89,8 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     found = written(repeated_spans(docs, size), "line-spans").select(
         F.col("doc_id").alias("_id"), F.col("_t").alias("_key"), "spans")
     rows = docs.select(*_row_key(), text_or_empty().alias("text"))
-    rows = rows.join(found, rows["doc_id"].eqNullSafe(found["_id"])
+    # the spans grow with the corpus: no broadcast, so cost grows alike at every size
+    rows = rows.join(found.hint("merge"), rows["doc_id"].eqNullSafe(found["_id"])
                      & (rows["_t"] == found["_key"]), "left")
     rows = rows.select("doc_id", "text", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})"))
                        .alias("spans"), F.explode(F.array(lines_of(F.col("text")))).alias("_lines"))
