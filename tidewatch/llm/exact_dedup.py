@@ -127,7 +127,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
                            F.col("text_sha256").alias("_mark_sha")).distinct()
 
     copies = pairs(groups.filter(~same))
-    kept = own.join(copies, hit(copies), "left_anti")
+    # the copies grow with the corpus: no broadcast, so cost grows alike at every size
+    kept = own.join(copies.hint("merge"), hit(copies), "left_anti")
     if groups.filter(same).isEmpty():
         return kept.select("_doc.*")
     repeated = pairs(groups.filter(same))  # rows that repeat doc_id and text: one of each stays

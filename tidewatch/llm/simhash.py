@@ -229,7 +229,8 @@ def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
         "near-duplicates-gone")
     own = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("long").alias("_id"),
                       _text_hash())
-    return own.join(gone, own["_id"].eqNullSafe(gone["_gone"])
+    # what goes grows with the corpus: no broadcast, so cost grows alike at every size
+    return own.join(gone.hint("merge"), own["_id"].eqNullSafe(gone["_gone"])
                     & (own["text_hash"] == gone["_gone_hash"]), "left_anti").select("_doc.*")
 
 
