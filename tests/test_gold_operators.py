@@ -48,11 +48,11 @@ def test_vwap_volume_count(spark):
 
 def test_exact_decimal_vwap(spark):
     df = spark.createDataFrame(
-        [("BTC", at(minutes=1), D("67800.50000001"), D("0.00000001"))],
+        [("BTC", at(minutes=1), D("41250.30000007"), D("0.00000003"))],
         "asset_symbol string, trade_time timestamp_ntz, price decimal(38,8), "
         "quantity decimal(38,8)")
     r = tumbling_vwap(df, exact_decimal=True).first()
-    assert r["vwap"] == D("67800.50000001")
+    assert r["vwap"] == D("41250.30000007")
 
 
 def test_zero_quantity_gives_null_vwap_not_error(spark):

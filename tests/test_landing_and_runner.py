@@ -15,7 +15,7 @@ NOW = dt.datetime(2026, 6, 10, 14, 30, tzinfo=UTC)
 
 def _trades(spark, ids, stamp="2026-06-10T14:30:00+00:00"):
     return spark.createDataFrame(
-        [(i, "BTCUSDT", "67800.50000001", "0.00000001", 1672515782136, False, stamp, None)
+        [(i, "BTCUSDT", "41250.30000007", "0.00000003", 1707994496789, False, stamp, None)
          for i in ids],
         "trade_id long, symbol string, price string, quantity string, trade_time long, "
         "is_buyer_maker boolean, ingested_at string, _ingested_at string")
@@ -29,7 +29,7 @@ def test_one_file_per_batch_hive_layout_and_precision(spark, tmp_dir):
     lines = open(files[0], encoding="utf-8").read().splitlines()
     assert len(lines) == 3
     first = json.loads(lines[0])
-    assert first["price"] == "67800.50000001" and first["quantity"] == "0.00000001"
+    assert first["price"] == "41250.30000007" and first["quantity"] == "0.00000003"
 
 
 def test_replayed_batch_overwrites_only_itself(spark, tmp_dir):
@@ -69,34 +69,46 @@ def test_snapshot_landing_empty_writes_nothing(spark, tmp_dir):
     assert os.listdir(tmp_dir) == []
 
 
-def test_incremental_isolates_failures():
-    seen = []
+CLOCK = dt.datetime(2025, 11, 3, 9, 41, tzinfo=UTC)
 
-    def build(hours):
-        seen.append(hours[0]["hour"])
-        if len(seen) == 1:
-            raise RuntimeError("boom")
 
-    with pytest.raises(RuntimeError, match="1 partition"):
-        R.process_incremental(build, dt.datetime(2026, 7, 16, 14, 30, tzinfo=UTC))
-    assert seen == ["14", "13"]
+def test_a_failed_hour_does_not_stop_the_others():
+    tried = []
 
+    def merge(hours):
+        tried.append(hours)
+        if len(tried) == 2:
+            raise OSError("disk gone")
 
-def test_modes_from_payload():
+    with pytest.raises(R.HoursFailed) as told:
+        R.incremental(merge, CLOCK, lookback_hours=3)
+    report = told.value.report
+    assert [h[0]["hour"] for h in tried] == ["09", "08", "07", "06"]
+    assert [h["hour"] for h in report.merged] == ["09", "07", "06"] and not report.complete
+    assert list(report.causes) == ["year=2025/month=11/day=03/hour=08"]
+    assert isinstance(told.value.__cause__, OSError) and "disk gone" in str(told.value)
+
+
+@pytest.mark.parametrize("payload", [None, {}, {"backfill": False}, {"other": 1}])
+def test_payload_without_backfill_is_incremental(payload):
     calls = []
-    build = calls.append
-    now = dt.datetime(2026, 7, 16, 14, 30, tzinfo=UTC)
-    assert R.handle(None, build, now)["mode"] == "incremental"
-    assert R.handle({}, build, now)["partitions_processed"] == 2
-    assert R.handle({"backfill": True}, build) == {"statusCode": 200, "mode": "backfill"}
-    assert calls[-1] is None and len(calls) == 5
+    report = R.run(payload, calls.append, CLOCK)
+    assert report.mode == "incremental" and report.complete
+    assert [c[0]["hour"] for c in calls] == ["09", "08"]
 
 
-def test_backfill_propagates_errors():
-    def build(hours):
-        raise ValueError("bad")
-    with pytest.raises(ValueError, match="bad"):
-        R.process_backfill(build)
+def test_backfill_is_one_merge_whose_error_comes_through():
+    calls = []
+    assert R.run({"backfill": True}, calls.append) == R.RunReport("backfill")
+    assert calls == [None]
+    with pytest.raises(ZeroDivisionError):
+        R.run({"backfill": True}, lambda hours: 1 / 0)
+
+
+def test_an_empty_hour_list_reads_nothing(spark, tmp_dir):
+    land_jsonl(_trades(spark, [1, 2]), tmp_dir, "b1")
+    df = read_bronze_trades(spark, tmp_dir)
+    assert where_hours(df, []).count() == 0 and where_hours(df, None).count() == 2
 
 
 def test_snapshot_response_ingest(spark, tmp_dir):
@@ -131,6 +143,16 @@ def test_silver_merge_counts_inserted_rows_and_is_idempotent(spark, tmp_dir):
     assert read_table(spark, layout, "silver_trades").count() == 4
 
 
+def test_large_snapshot_landing_uses_several_writers(spark, tmp_dir, monkeypatch):
+    from tidewatch.sources import landing
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 100)
+    df = spark.range(1000).selectExpr("cast(id as string) AS id", "1.5D AS current_price")
+    assert land_snapshots(df, tmp_dir, NOW)["records"] == 1000
+    files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=*/*.json")
+    assert 5 < len(files) <= 10
+    assert sum(len(open(f).read().splitlines()) for f in files) == 1000
+
+
 def test_many_files_per_batch(spark, tmp_dir):
     land_jsonl(_trades(spark, range(40)), tmp_dir, "big", files=4)
     files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=big/*.json")

@@ -4,12 +4,20 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from tidewatch import queries as Q
+from tidewatch.plans import silver
+from tidewatch.sources import testdata as TD
+from tidewatch.sources.landing import land_jsonl
+from tidewatch.sources.tables import Layout, create_tables
 
 SF = "/root/testdata/sf0.001"
 WRITERS = {"stream_dedup_ttl", "stream_retry_atomic", "hour_partition_filter",
-           "silver_trades_backfill", "gold_upsert_job", "snapshot_ingest_batch"}
-PURE = sorted(set(E.queries()) - WRITERS)
+           "silver_trades_backfill", "silver_snapshots_backfill", "gold_upsert_job",
+           "snapshot_ingest_batch"}
+PURE = sorted(set(Q.QUERIES) - WRITERS)
 
 
 def _plan(df) -> str:
@@ -44,20 +52,46 @@ def test_scans_read_only_needed_columns(spark):
     assert schemas and all("user_id" not in s for s in schemas)
 
 
-def test_merge_reads_target_keys_only(spark, tmp_dir):
-    from tidewatch.plans.silver import silver_trades_delta
-    from tidewatch.sources import testdata as TD
-    from tidewatch.sources.landing import land_jsonl
-    from tidewatch.sources.tables import Layout, create_tables
-    from pyspark.sql import functions as F
+def _landed(spark, tmp_dir):
     layout = Layout(tmp_dir)
     ev = TD.load(spark, SF, "events").where(F.col("event_id") < 40)
-    land_jsonl(TD.bronze_trades(ev).drop("year", "month", "day", "hour"),
-               layout.bronze_trades, "b", F.coalesce("ingested_at", "_ingested_at"))
+    for df, path in ((TD.bronze_trades(ev), layout.bronze_trades),
+                     (TD.bronze_snapshots(ev), layout.bronze_snapshots)):
+        land_jsonl(df.drop("year", "month", "day", "hour"), path, "b",
+                   F.coalesce("ingested_at", "_ingested_at"))
     create_tables(spark, layout)
-    plan = silver_trades_delta(spark, layout)._jdf.queryExecution().executedPlan().toString()
-    silver_scans = [s for s in re.findall(r"FileScan parquet[^\n]*", plan)]
-    assert silver_scans
-    for scan in silver_scans:
-        assert re.search(r"ReadSchema: struct<trade_id:bigint>", scan), scan
-    assert "LeftSemi" in plan and "LeftAnti" in plan
+    return layout
+
+
+def _scans(df, kind: str) -> list[str]:
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.maxMetadataStringLength", "4000")  # whole paths
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.unset("spark.sql.maxMetadataStringLength")
+    return re.findall(rf"FileScan {kind}[^\n]*", plan)
+
+
+@pytest.mark.parametrize("make", [silver.trade_source, silver.snapshot_source])
+def test_silver_source_scans_bronze_once(spark, tmp_dir, make):
+    assert len(_scans(make(spark, _landed(spark, tmp_dir)), "json")) == 1
+
+
+@pytest.mark.parametrize("table,make,keys", [
+    ("silver_trades", silver.trade_source, silver.TRADE_KEYS),
+    ("silver_snapshots", silver.snapshot_source, silver.SNAPSHOT_KEYS)])
+def test_merge_scans_target_keys_once_within_the_source_range(spark, tmp_dir, table, make, keys):
+    layout = _landed(spark, tmp_dir)
+    source = make(spark, layout)
+    source.write.parquet(f"{tmp_dir}/staged")
+    staged = spark.read.schema(source.schema).parquet(f"{tmp_dir}/staged")
+    delta = silver.silver_delta(spark, layout, table, staged, keys)
+    target = [x for x in _scans(delta, "parquet") if "/silver/" in x]
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert len(target) == 1 and all(f"{op}({keys[-1]}," in target[0]
+                                    for op in ("GreaterThanOrEqual", "LessThanOrEqual"))
+    fields = re.search(r"ReadSchema: struct<([^>]*)>", target[0])[1].split(",")
+    assert sorted(f.split(":")[0] for f in fields) == sorted(keys)
+    assert "LeftSemi" in plan and "LeftAnti" in plan and not _scans(delta, "json")
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

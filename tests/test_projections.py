@@ -11,8 +11,8 @@ D = decimal.Decimal
 
 
 def _bronze_trade(spark, **over):
-    row = {"trade_id": 1, "symbol": "BTCUSDT", "price": "67800.50000001",
-           "quantity": "0.00000001", "trade_time": 1672515782136,
+    row = {"trade_id": 1, "symbol": "BTCUSDT", "price": "41250.30000007",
+           "quantity": "0.00000003", "trade_time": 1707994496789,
            "is_buyer_maker": False, "ingested_at": "2026-06-10T14:30:00+00:00",
            "_ingested_at": None, "year": "2026", "month": "06", "day": "10",
            "hour": "14"}
@@ -28,18 +28,18 @@ def test_asset_suffix_only_trailing(spark):
 
 
 def test_decimal_half_up_and_quarantine(spark):
-    df = spark.createDataFrame([("0.123456785",), ("bad",)], "s string")
+    df = spark.createDataFrame([("0.908176785",), ("bad",)], "s string")
     got = df.select(to_decimal("s", strict=False).alias("d")).collect()
-    assert got[0]["d"] == D("0.12345679")
+    assert got[0]["d"] == D("0.90817679")
     assert got[1]["d"] is None
 
 
 def test_type_trades_keeps_precision_and_millis(spark):
     t = P.type_trades(_bronze_trade(spark)).first()
-    assert t["price"] == D("67800.50000001")
-    assert t["quantity"] == D("0.00000001")
+    assert t["price"] == D("41250.30000007")
+    assert t["quantity"] == D("0.00000003")
     assert t["asset_symbol"] == "BTC"
-    assert t["trade_time"] == dt.datetime(2022, 12, 31, 19, 43, 2, 136000)
+    assert t["trade_time"] == dt.datetime(2024, 2, 15, 10, 54, 56, 789000)
     assert t["ingested_at"] == dt.datetime(2026, 6, 10, 14, 30)
 
 
@@ -71,8 +71,8 @@ def test_type_snapshots_columns_and_types(spark):
 
 def test_normalize_raw_events(spark):
     msgs = [
-        '{"e":"aggTrade","s":"BTCUSDT","a":12345,"p":"67800.50000001",'
-        '"q":"0.00000001","T":1672515782136,"m":true}',
+        '{"e":"aggTrade","s":"BTCUSDT","a":90817,"p":"41250.30000007",'
+        '"q":"0.00000003","T":1707994496789,"m":true}',
         '{"stream":"btcusdt@aggTrade","data":{"e":"aggTrade","s":"ETHUSDT","a":7,'
         '"p":"1.5","q":"2","T":1,"m":false}}',
         '{"e":"markPrice","s":"BTCUSDT","a":1}',
@@ -82,10 +82,10 @@ def test_normalize_raw_events(spark):
     df = spark.createDataFrame([(m,) for m in msgs], "message string")
     out = P.normalize_trades(P.keep_trade_events(P.parse_raw_events(df)))
     rows = sorted(out.collect(), key=lambda r: r["trade_id"])
-    assert [r["trade_id"] for r in rows] == [7, 12345]
-    assert rows[1].asDict() == {"trade_id": 12345, "symbol": "BTCUSDT",
-                                "price": "67800.50000001", "quantity": "0.00000001",
-                                "trade_time": 1672515782136, "is_buyer_maker": True}
+    assert [r["trade_id"] for r in rows] == [7, 90817]
+    assert rows[1].asDict() == {"trade_id": 90817, "symbol": "BTCUSDT",
+                                "price": "41250.30000007", "quantity": "0.00000003",
+                                "trade_time": 1707994496789, "is_buyer_maker": True}
 
 
 def test_partition_key(spark):
@@ -100,3 +100,27 @@ def test_stamp_is_one_value_per_batch(spark):
     now = dt.datetime(2026, 6, 10, 14, 30, tzinfo=dt.timezone.utc)
     out = P.stamp_ingested_at(df.withColumn("ingested_at", F.lit("old")), now)
     assert {r["ingested_at"] for r in out.collect()} == {"2026-06-10T14:30:00+00:00"}
+
+
+def test_strict_typing_fails_and_quarantine_keeps_the_rest(spark):
+    import pytest
+    flawed = _bronze_trade(spark, ingested_at="noonish")
+    with pytest.raises(Exception, match="noonish"):
+        P.type_trades(flawed).collect()
+    assert P.type_trades(flawed, strict=False).first()["ingested_at"] is None
+    rows = flawed.unionByName(_bronze_trade(spark, trade_id=None)).unionByName(
+        _bronze_trade(spark, price="1,5")).unionByName(_bronze_trade(spark, trade_id=9))
+    good, bad = P.quarantine_trades(rows)
+    assert [r["trade_id"] for r in good.collect()] == [9]
+    assert sorted(r["reason"] for r in bad.collect()) == ["ingested_at", "price", "trade_id"]
+    assert {r["price"] for r in bad.collect()} == {"41250.30000007", "1,5"}
+
+
+def test_stamp_is_utc_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        text = P.stamp_ingested_at(spark.range(1)).first()["ingested_at"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    gap = dt.datetime.fromisoformat(text) - dt.datetime.now(dt.timezone.utc)
+    assert abs(gap) < dt.timedelta(minutes=2)
