@@ -728,12 +728,11 @@ SQL_GOLD_TYPED = _with(
                     "CAST(sum(price * quantity) / sum(quantity) AS DECIMAL(38,8)) AS vwap"),
     SQL_JOINED) + """
 SELECT asset_symbol, window_start, window_end,
-       round(CAST(vwap AS DOUBLE), 6) AS vwap, round(CAST(volume AS DOUBLE), 6) AS volume,
-       trade_count,
-       round(CAST(CAST(baseline_mean AS DECIMAL(38,8)) AS DOUBLE), 6) AS baseline_mean,
-       round(CAST(CAST(baseline_stddev AS DECIMAL(38,8)) AS DOUBLE), 6) AS baseline_stddev,
-       round(CAST(CAST((CAST(vwap AS DOUBLE) - baseline_mean) / baseline_stddev
-                       AS DECIMAL(18,8)) AS DOUBLE), 6) AS z_score,
+       CAST(vwap AS VARCHAR) AS vwap, CAST(CAST(volume AS DECIMAL(38,8)) AS VARCHAR) AS volume,
+       trade_count, CAST(CAST(baseline_mean AS DECIMAL(38,8)) AS VARCHAR) AS baseline_mean,
+       CAST(CAST(baseline_stddev AS DECIMAL(38,8)) AS VARCHAR) AS baseline_stddev,
+       CAST(CAST((CAST(vwap AS DOUBLE) - baseline_mean) / baseline_stddev AS DECIMAL(18,8))
+            AS VARCHAR) AS z_score,
        coalesce(abs((CAST(vwap AS DOUBLE) - baseline_mean) / baseline_stddev) > 3, false)
          AS is_anomaly
 FROM joined WHERE baseline_stddev > 0"""
@@ -752,7 +751,9 @@ def gold_upsert_job(spark, sf_dir):
     for i in range(2):
         G.run_gold(spark, layout, f"{root}/staging-{i}")
     from tidewatch.sources.tables import read_anomalies
-    return G.rounded(read_anomalies(spark, layout))
+    gold = read_anomalies(spark, layout)  # decimals as text: all eight digits are compared
+    return gold.withColumns({c: F.col(c).cast("string") for c, kind in gold.dtypes
+                             if kind.startswith("decimal")})
 
 
 # ---------------------------------------------------------------- snapshot ingest
