@@ -789,3 +789,43 @@ def snapshot_ingest_batch(spark, sf_dir):
     return got.select("id", "current_price",
                       iso_to_ntz("last_updated").alias("last_updated"),
                       "ingested_at", "year", "month", "day", "hour")
+
+
+# ---------------------------------------------------------------- bulk rows
+@register("vwap_lineitem_daily", """
+SELECT l_returnflag || l_linestatus AS asset_symbol, date_trunc('day', l_shipdate)::TIMESTAMP AS window_start,
+       date_trunc('day', l_shipdate)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+       CAST(floor(sum(l_extendedprice / l_quantity * l_quantity) / sum(l_quantity) * 1e6 + 0.3)
+            AS BIGINT) AS vwap_e6,
+       round(sum(l_quantity), 6) AS volume, count(*) AS trade_count
+FROM lineitem GROUP BY ALL""")
+def vwap_lineitem_daily(spark, sf_dir):
+    """AGG-1..4 over bulk rows: daily VWAP of every line item by status."""
+    rows = TD.load(spark, sf_dir, "lineitem").select(
+        F.concat("l_returnflag", "l_linestatus").alias("asset_symbol"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("trade_time"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.col("l_quantity").alias("quantity"))
+    # quotients of small whole quantities often lie halfway between two rounded
+    # values, so the digits are cut elsewhere
+    return G.rounded(tumbling_vwap(rows, width="1 day")
+                     .withColumn("vwap_e6", F.floor(F.col("vwap") * 1e6 + 0.3).cast("long"))
+                     .drop("vwap"))
+
+
+@register("merge_lineitem_upsert", """
+WITH mx AS (SELECT max(l_orderkey) AS m FROM lineitem),
+roles AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, m FROM lineitem, mx),
+target AS (SELECT * EXCLUDE (m) FROM roles WHERE l_orderkey * 10 < m * 6),
+source AS (SELECT * EXCLUDE (m) REPLACE (l_quantity + 1 AS l_quantity) FROM roles
+           WHERE l_orderkey * 10 >= m * 4)
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM source s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)
+UNION ALL
+SELECT * FROM source""")
+def merge_lineitem_upsert(spark, sf_dir):
+    """JON-5 over bulk rows: upsert of line items on (order, line number)."""
+    rows = TD.load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    target, source = TD.merge_roles(rows, id_col="l_orderkey", value_col="l_quantity")
+    return merge_upsert(target, source, ["l_orderkey", "l_linenumber"])
