@@ -6,8 +6,8 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline as P
 from compare import compare, duck
-from helpers import docs
-from tidewatch.llm import queries as Q, simhash
+from helpers import docs, with_clashes
+from tidewatch.llm import exact_dedup, mixing, queries as Q, simhash, url_filter
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +58,39 @@ def test_stages_accept_an_empty_table(spark):
     empty = docs(spark, [])
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_stages_accept_odd_rows(spark):
+    """Nulls everywhere, repeated rows, a very long text, extra columns with the operators' names."""
+    odd = with_clashes(docs(spark, [
+        (1, None, None, None), (None, None, None, None), (None, "words of no one", "en", None),
+        (2, "", "en", "s"), (3, "a b c " * 40_000), (4, "same text here"), (4, "same text here"),
+        (5, "same  text here"), (6, "x"), (7, "\n \t"), (8, "copyright é 中文 🙂")]))
+    kept = odd
+    for name, stage in P.STAGES:
+        out = stage(spark, kept, SF)
+        if name != "bpe":
+            assert out.columns == odd.columns
+        kept = spark.createDataFrame(out.collect(), out.schema)
+    texts = [r.doc_id for r in kept.collect()]
+    assert len(texts) == len(set(texts))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+def test_no_query_pairs_everything(spark, name):
+    plan = _plan(Q.QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("make", [
+    lambda s, d: exact_dedup.exact_groups(d), lambda s, d: exact_dedup.chunk_store(d),
+    lambda s, d: exact_dedup.drop_exact_copies(d), lambda s, d: mixing.mix(d),
+    lambda s, d: mixing.sampled(d),
+    lambda s, d: url_filter.judge(s.read.parquet(f"{SF}/pages.parquet"))])
+def test_native_operators_plan_no_python(spark, make):
+    plan = _plan(make(spark, spark.read.parquet(f"{SF}/documents.parquet")))
+    assert not re.search("Python|Pandas|InArrow", plan)

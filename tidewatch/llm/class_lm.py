@@ -178,7 +178,7 @@ def corpus_counts(blocks: DataFrame, parts: int, n_train: int,
                         _pack_numbers([total.get(w, 0) for w in _words(words)]),
                         None, None, None, None))
         out[0] = (*out[0][:3], len(total),
-                  _pack(b"\n".join(w + b"\t%d" % total[w] for w in common)),
+                  _pack(b"\n".join(w + b"\t%d" % total[w] for w in common)) if common else None,
                   rare_tokens.tolist(), rare_kinds.tolist())
         return pd.DataFrame(out, columns=[x.split()[0] for x in REPLIES.split(", ")])
 
@@ -213,19 +213,18 @@ class ClassModel:
 
 def _units(replies: DataFrame) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, int]:
     """Frequent words, tokens and kinds per unit, and the number of distinct words."""
-    rows = replies.filter("kinds is not null").select(
-        "kinds", "frequent", "rare_tokens", "rare_kinds")
-    words: dict[bytes, int] = {END: 0}
+    firsts = replies.filter("kinds is not null")
+    kinds = firsts.agg(F.sum("kinds")).first()[0] or 0
     rare_tokens, rare_kinds = np.zeros(RARE_UNITS, np.int64), np.zeros(RARE_UNITS, np.int64)
-    kinds = 0
-    for r in rows.toLocalIterator():  # one row per word range, frequent words only
-        kinds += r.kinds
-        rare_tokens += np.array(r.rare_tokens)
-        rare_kinds += np.array(r.rare_kinds)
-        for line in _unpack(r.frequent).split(b"\n"):
-            if line:
-                word, n = line.rsplit(b"\t", 1)
-                words[word] = int(n)
+    for r in (firsts.select(F.posexplode(F.arrays_zip("rare_tokens", "rare_kinds")))
+              .groupBy("pos").agg(F.sum("col.rare_tokens").alias("tokens"),
+                                  F.sum("col.rare_kinds").alias("kinds")).collect()):
+        rare_tokens[r.pos], rare_kinds[r.pos] = r.tokens, r.kinds  # RARE_UNITS rows
+    words: dict[bytes, int] = {END: 0}
+    for r in firsts.filter("frequent is not null").select("frequent").toLocalIterator():
+        for line in _unpack(r.frequent).split(b"\n"):  # at most 1 / FREQUENT words in all
+            word, n = line.rsplit(b"\t", 1)
+            words[word] = int(n)
     ordered = [END, *sorted((w for w in words if w != END), key=lambda w: (-words[w], w))]
     return ({w: i for i, w in enumerate(ordered)},
             np.concatenate([[words[w] for w in ordered], rare_tokens]),
