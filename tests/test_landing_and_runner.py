@@ -168,3 +168,20 @@ def test_register_views(spark, tmp_dir):
     assert {"bronze_trades", "silver_trades", "gold_anomalies"} <= set(made)
     assert spark.sql("SELECT count(*) FROM bronze_trades WHERE hour = '14'").first()[0] == 2
     assert spark.sql("SELECT count(*) FROM gold_anomalies").first()[0] == 0
+
+
+def test_catalog_tables(spark, tmp_dir):
+    from tidewatch.sources.tables import CATALOG, Layout, create_catalog
+    layout = Layout(tmp_dir)
+    land_jsonl(_trades(spark, [1, 2]), layout.bronze_trades, "b1")
+    made = create_catalog(spark, layout, prefix="tw_")
+    try:
+        assert made == [f"tw_{n}" for n in CATALOG]
+        assert [spark.table(t).count() for t in made] == [2, 0, 0, 0, 0]
+        assert spark.sql("SELECT trade_id FROM tw_bronze.trades WHERE hour = '14'").count() == 2
+        land_jsonl(_trades(spark, [3]), layout.bronze_trades, "b2")
+        create_catalog(spark, layout, prefix="tw_")
+        assert spark.table("tw_bronze.trades").count() == 3
+    finally:
+        for name in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS tw_{name} CASCADE")
