@@ -48,6 +48,19 @@ def test_equals_brute_force(spark, given):
     assert sorted(map(tuple, got), key=str) == expected(given)
 
 
+def test_ids_beyond_doubles_keep_every_row(spark):
+    """Percentiles of 64-bit ids are rounded, range starts must not be."""
+    rnd = random.Random(5)
+    given = [(rnd.randrange(-(1 << 63), 1 << 63), f"text {i} " * (i % 5)) for i in range(500)]
+    given += [((1 << 62) + i, f"near {i}") for i in range(200)] + [(None, "no id")]
+    df = docs(spark, given)
+    keys = {i if i is not None else -(1 << 63) for i, _ in given}
+    starts = Z._ranges(df.selectExpr("coalesce(doc_id, -9223372036854775807L - 1) as k"), 32)
+    assert len(starts) > 16 and keys.issuperset(starts)
+    got = Z.with_successor(df).collect()
+    assert sorted(map(tuple, got), key=str) == expected(given)
+
+
 def test_plain_fingerprints_agree(spark):
     df = docs(spark, [(1, "some text"), (2, None), (3, "some text")])
     got = {r.doc_id: r.fingerprint for r in Z.fingerprints(df).collect()}

@@ -98,11 +98,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _ranges(rows: DataFrame, n: int) -> list[int]:
-    """Ascending first keys of at most ``n`` ranges of ``rows``; each is the key of a row."""
+    """Ascending first keys of at most ``n`` ranges of ``rows``; each is the key of a row.
+
+    Percentiles are doubles, so a cut beyond 2**53 may be no row's key; the
+    smallest key at or above it is."""
     at = [i / n for i in range(1, n)]
     got = rows.agg(F.min("k").alias("low"),
                    F.percentile_approx("k", at or [0.5], 100 * n).alias("cuts")).first()
-    return [] if got.low is None else sorted({got.low, *(got.cuts if at else [])})
+    if got.low is None:
+        return []
+    cuts = np.array(sorted({got.low, *(got.cuts if at else [])}), np.int64)
+
+    @F.pandas_udf("long")
+    def range_of(k: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, k.to_numpy(), side="right"))
+
+    firsts = rows.groupBy(range_of("k").alias("range")).agg(F.min("k").alias("k"))
+    return sorted(r.k for r in firsts.collect())  # at most n numbers
 
 
 def with_successor(docs: DataFrame) -> DataFrame:
