@@ -98,6 +98,24 @@ def test_probabilities_sum_to_one(spark):
         assert p + (m.transitions()[k] @ (0.5 / space)) == pytest.approx(1)
 
 
+def test_words_of_few_tokens_are_units_however_large_the_corpus(spark):
+    """Words far below 1e-4 of all tokens, with one ending, in two contexts that never mix."""
+    rnd = random.Random(4)
+    given = [(i, "far " * 12_000) for i in range(60)]
+    for i in range(60, 120):
+        a, b = ("an", "zu") if i % 2 else ("ke", "lo")
+        given.append((i, " ".join(f"{rnd.choice((a, b))}{rnd.randint(0, 2)}end {a}" for _ in range(8))))
+    df = docs(spark, given)
+    blocks = L.blocks_of(df)
+    n = sum(r.n_train for r in blocks.collect())
+    m = L.train(blocks, L.corpus_counts(blocks, 8, n), n, classes=4)
+    count = Counter(w for i, t in given if not held(i) for w in brute_tokens(t))
+    words = [f"{p}{k}end" for p in ("an", "zu", "ke", "lo") for k in range(3)]
+    assert all(L.LEAST <= count[w] < 1e-4 * n for w in words)
+    cls = [int(m.unit_class[u]) for u in m.unit_of([w.encode() for w in words])]
+    assert set(cls[:6]).isdisjoint(cls[6:])
+
+
 def test_nothing_to_learn(spark):
     assert L.score_documents(docs(spark, [])).count() == 0
     only_held = [(i, "a b") for i in range(200) if held(i)][:5]
