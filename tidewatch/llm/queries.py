@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import class_lm, exact_dedup, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
+from tidewatch.llm import class_lm, collocations, exact_dedup, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op8_class_lm": class_lm.op8_class_lm,
     "op9_bpe": op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_collocations": collocations.op12_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -30,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_url_filter": url_filter.oracle(),
     "op7_mixing": mixing.oracle(),
+    "op12_collocations": collocations.oracle(),
 }
