@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import class_lm, collocations, exact_dedup, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
+from tidewatch.llm import class_lm, collocations, exact_dedup, lexical_search, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
     "op12_collocations": collocations.op12_collocations,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +33,5 @@ ORACLES: dict[str, str] = {
     "op5_url_filter": url_filter.oracle(),
     "op7_mixing": mixing.oracle(),
     "op12_collocations": collocations.oracle(),
+    "op13_lexical_search": lexical_search.ORACLE,
 }
