@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import class_lm, collocations, exact_dedup, lexical_search, line_dedup, lz_fingerprint, mixing, simhash, toxicity, url_filter, warc
+from tidewatch.llm import (
+    class_lm, collocations, exact_dedup, lexical_search, line_dedup, lz_fingerprint, mixing, simhash,
+    topk_search, toxicity, url_filter, warc,
+)
 from tidewatch.llm.bpe import op9_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op8_class_lm": class_lm.op8_class_lm,
     "op9_bpe": op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_topk_search": topk_search.op11_topk_search,
     "op12_collocations": collocations.op12_collocations,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
@@ -32,6 +36,7 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_url_filter": url_filter.oracle(),
     "op7_mixing": mixing.oracle(),
+    "op11_topk_search": topk_search.ORACLE,
     "op12_collocations": collocations.oracle(),
     "op13_lexical_search": lexical_search.ORACLE,
 }
