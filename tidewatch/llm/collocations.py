@@ -9,9 +9,9 @@ whole pieces in the shared folder.  One step
    phrases that overlap in all but one word make a phrase of ``k + 1`` words;
 2. counts the groups: a block sends each of its distinct pairs once, with its
    number of occurrences, and Spark adds them up;
-3. keeps the groups with enough occurrences as the table ``items`` of phrases,
-   and semi-joins each block's pairs with it, before the next step extends
-   what is left.
+3. keeps each block's rows of the groups with enough occurrences (where the
+   groups are counted, so the semi-join costs no further shuffle), as the table
+   ``items`` of phrases and, block by block, as what the next step extends.
 
 Phrases are counted by language.  A word's number is its row in ``items`` of
 step one, a longer phrase is the pair of its prefix and suffix, so keys are
@@ -33,7 +33,7 @@ from tidewatch.llm.common import slices, table, written
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A phrase goes if a longer one has at least this share of its occurrences, in per cent.
 COVERED, SCALE = 80, 2_000_000
-BLOCK_WORDS, ROWS = 1_000_000, 256
+BLOCK_WORDS, ROWS = 3_000_000, 256
 
 BLOCKS = "block long, langs array<string>, tokens array<long>, lang binary, words binary, counts binary, place binary, item binary"
 WORDS = "block long, code int, lang string, word string, n long"
@@ -197,9 +197,16 @@ def extended(occurrences: DataFrame, kept: DataFrame) -> DataFrame:
         run, OCCURRENCES), "setm-occurrences")
 
 
-def _numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written with a number ``id`` for each row."""
-    return written(df.withColumn("id", F.monotonically_increasing_id()), name)
+def _frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """The ``rows`` (``n`` occurrences of a group in a block) of groups with at least
+    ``least`` occurrences ``a``, with a number ``id`` for each group; written once.
+
+    The rows meet in one shuffle, where each group has a row per block; a join
+    with the counted groups would send them all a second time."""
+    group = Window.partitionBy(*keys)
+    return written(rows.repartition(*keys).withColumn("_row", F.monotonically_increasing_id())
+                   .withColumn("a", F.sum("n").over(group)).where(F.col("a") >= least)
+                   .withColumn("id", F.min("_row").over(group)).drop("_row", "n"), name)
 
 
 def phrase_levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
@@ -214,36 +221,30 @@ def phrase_levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     sizes = (blocks.select(F.explode(F.arrays_zip(F.col("langs").alias("lang"),
                                                   F.col("tokens").alias("n"))).alias("x"))
              .groupBy(F.col("x.lang").alias("lang")).agg(F.sum("x.n").alias("n")))
-    words = block_words(blocks)
-    many = F.col("a") >= least
-    items = _numbered(words.groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("a"))
-                      .where(many).select("lang", "phrase", F.col("phrase").alias("last"), "a",
-                                          F.array("a").alias("heads"), F.array("a").alias("tails")),
-                      "setm-items")
-    levels = [items]
-    occurrences = None
+    kept = _frequent(block_words(blocks), ["lang", "word"], least, "setm-words")
+    a = F.array("a")
+    items = written(kept.groupBy("id").agg(F.first("lang").alias("lang"),
+                                           F.first("word").alias("phrase"), F.first("a").alias("a"))
+                    .select("id", "lang", "phrase", F.col("phrase").alias("last"), "a",
+                            a.alias("heads"), a.alias("tails")), "setm-items")
+    levels, occurrences = [items], None
     for _ in range(1, longest):
         if occurrences is None:
-            occurrences = frequent_words_in(blocks, words.join(
-                items.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
-                .select("block", "code", "id"))
+            occurrences = frequent_words_in(blocks, kept.select("block", "code", "id"))
         else:
-            occurrences = extended(occurrences, pairs.join(
-                found.select("prefix", "suffix", "id"), ["prefix", "suffix"])
-                .select("block", "prefix", "suffix", "id"))
-        pairs = adjacent_pairs(occurrences)
-        found = _numbered(pairs.groupBy("prefix", "suffix").agg(F.sum("n").alias("a")).where(many),
-                          "setm-pairs")
+            occurrences = extended(occurrences, kept.drop("a"))
+        kept = _frequent(adjacent_pairs(occurrences), ["prefix", "suffix"], least, "setm-pairs")
+        found = kept.groupBy("id").agg(*[F.first(c).alias(c) for c in ("prefix", "suffix", "a")])
         begin, end = items.alias("p"), items.alias("s")
         a = F.array(F.col("f.a"))
-        levels.append(written(
+        items = written(
             found.alias("f").join(begin, F.col("f.prefix") == F.col("p.id"))
             .join(end, F.col("f.suffix") == F.col("s.id"))
             .select("f.id", "f.prefix", "f.suffix", "p.lang",
                     F.concat_ws(" ", "p.phrase", "s.last").alias("phrase"), "s.last", "f.a",
                     F.concat("p.heads", a).alias("heads"), F.concat("s.tails", a).alias("tails")),
-            "setm-items"))
-        items = levels[-1]
+            "setm-items")
+        levels.append(items)
     return levels, sizes
 
 
