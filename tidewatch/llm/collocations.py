@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import slices, table, written
+from tidewatch.llm.common import discard, slices, table, written
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A phrase goes if a longer one has at least this share of its occurrences, in per cent.
@@ -204,7 +204,10 @@ def _frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFr
     The rows meet in one shuffle, where each group has a row per block; a join
     with the counted groups would send them all a second time."""
     group = Window.partitionBy(*keys)
-    return written(rows.repartition(*keys).withColumn("_row", F.monotonically_increasing_id())
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.monotonically_increasing_id()  # partition and place, as one small number
+    number = row.bitwiseAND((1 << 33) - 1) * parts + F.shiftright(row, 33)
+    return written(rows.repartition(*keys).withColumn("_row", number)
                    .withColumn("a", F.sum("n").over(group)).where(F.col("a") >= least)
                    .withColumn("id", F.min("_row").over(group)).drop("_row", "n"), name)
 
@@ -221,6 +224,7 @@ def phrase_levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     sizes = (blocks.select(F.explode(F.arrays_zip(F.col("langs").alias("lang"),
                                                   F.col("tokens").alias("n"))).alias("x"))
              .groupBy(F.col("x.lang").alias("lang")).agg(F.sum("x.n").alias("n")))
+    sizes = written(sizes, "setm-sizes")
     kept = _frequent(block_words(blocks), ["lang", "word"], least, "setm-words")
     a = F.array("a")
     items = written(kept.groupBy("id").agg(F.first("lang").alias("lang"),
@@ -231,8 +235,10 @@ def phrase_levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     for _ in range(1, longest):
         if occurrences is None:
             occurrences = frequent_words_in(blocks, kept.select("block", "code", "id"))
+            discard(blocks, kept)
         else:
-            occurrences = extended(occurrences, kept.drop("a"))
+            shorter, occurrences = occurrences, extended(occurrences, kept.drop("a"))
+            discard(shorter, kept)
         kept = _frequent(adjacent_pairs(occurrences), ["prefix", "suffix"], least, "setm-pairs")
         found = kept.groupBy("id").agg(*[F.first(c).alias(c) for c in ("prefix", "suffix", "a")])
         begin, end = items.alias("p"), items.alias("s")

@@ -31,6 +31,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of ``written`` frames that nothing will read again.
+
+    Only for frames whose every result is itself written: a lost executor then
+    never needs them.  A folder that pyarrow cannot open stays."""
+    from pyarrow.fs import FileSystem
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            try:
+                fs, path = FileSystem.from_uri(folder)
+                fs.delete_dir(path)
+            except (pa.ArrowException, OSError):
+                pass
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
