@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.time import ntz_micros
 from tidewatch.plans import gold as G
 from tidewatch.plans import silver as SV
+from tidewatch.sources import journal
 from tidewatch.sources import testdata as TD
 from tidewatch.sources.landing import land_jsonl
 from tidewatch.sources.tables import Layout, create_tables, read_anomalies
@@ -36,18 +37,17 @@ def test_incremental_gold_job_equals_full_recompute(spark, tmp_dir):
     lo, hi = ev.agg(F.min(ntz_micros("ts")), F.max(ntz_micros("ts"))).first()
     late = (ntz_micros("ts") >= F.lit((lo + hi) // 2)) | (F.col("event_id") % 37 == 0)
     layout = Layout(tmp_dir)
-    first_run, second_run = (dt.datetime(2024, 2, d, tzinfo=dt.timezone.utc) for d in (1, 2))
     _land(ev.where(~late), layout, "first")
     create_tables(spark, layout)
-    SV.run_silver_trades(spark, layout, now=first_run)
-    SV.run_silver_snapshots(spark, layout, now=first_run)
+    SV.run_silver_trades(spark, layout)
+    SV.run_silver_snapshots(spark, layout)
     assert G.run_gold(spark, layout, f"{tmp_dir}/staging-1")["days"] > 3
 
     _land(ev.where(late), layout, "second")
-    SV.run_silver_trades(spark, layout, now=second_run)
-    SV.run_silver_snapshots(spark, layout, now=second_run)
+    SV.run_silver_trades(spark, layout)
+    SV.run_silver_snapshots(spark, layout)
     before = _rows(read_anomalies(spark, layout))
-    G.run_gold(spark, layout, f"{tmp_dir}/staging-2", since=second_run)
+    G.run_gold(spark, layout, f"{tmp_dir}/staging-2", incremental=True)
     incremental = _rows(read_anomalies(spark, layout))
     full = _rows(G.typed_gold(G.score_windows(
         SV.silver_trades_for_gold(spark, layout),
@@ -62,7 +62,6 @@ def test_gold_source_reads_from_the_bounds_on(spark, tmp_dir):
     """New rows of one asset: only its range is read, though another has been idle for years."""
     layout = Layout(tmp_dir)
     create_tables(spark, layout)
-    now = dt.datetime(2026, 5, 1, tzinfo=dt.timezone.utc)
     t0 = dt.datetime(2026, 4, 30, 8)
     snaps = [("IDLE", dt.datetime(2019, 12, 31), 5.0 + i) for i in range(2)] + [
         ("BTC", t0 + dt.timedelta(minutes=i), 100.0 + i % 3) for i in range(60)]
@@ -71,11 +70,15 @@ def test_gold_source_reads_from_the_bounds_on(spark, tmp_dir):
         F.col("p").cast("decimal(38,8)").alias("current_price"),
         F.to_date("ingested_at").alias("part_day")).write.mode("append").partitionBy(
         "part_day").parquet(layout.silver_snapshots)
-    spark.createDataFrame([("BTC", t0.replace(hour=9), "silver_trades", now.replace(tzinfo=None))],
-                          "asset_symbol string, low timestamp_ntz, source string, "
-                          "merged_at timestamp_ntz").write.mode("append").parquet(
-        layout.silver_changes)
-    plan = G.gold_source(spark, layout, since=now)._jdf.queryExecution().sparkPlan().toString()
+    spark.createDataFrame(
+        [(a, d, t) for a, d, t in [("IDLE", dt.date(2019, 12, 31), dt.datetime(2019, 12, 31)),
+                                   ("BTC", t0.date(), t0 + dt.timedelta(minutes=59))]],
+        "asset_symbol string, part_day date, last timestamp_ntz").write.parquet(layout.silver_newest)
+    journal.open_note(spark, layout, "silver_trades", spark.createDataFrame(
+        [("BTC", t0.replace(hour=9))], "asset_symbol string, low timestamp_ntz"))
+    plan = G.gold_source(spark, layout, incremental=True)._jdf.queryExecution().sparkPlan().toString()
+    snapshots = [x for x in _silver_scans(plan) if "market_snapshot" in x]
+    assert snapshots and all("part_day" in x.split("PartitionFilters")[1] for x in snapshots)
     bounded = [x for x in _silver_scans(plan) if "GreaterThan" in x]
     assert any("trade_time,2026-04-30T08:" in x or "trade_time" in x for x in bounded)
     assert not any("2019" in x for x in bounded)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.time import (
-    MICROS_PER_MINUTE, ceil_to_grid_micros, floor_to_grid_micros, micros_to_ntz, ntz_micros,
+    MICROS_PER_DAY, MICROS_PER_MINUTE, ceil_to_grid_micros, floor_to_grid_micros, micros_to_ntz, ntz_micros,
 )
 from tidewatch.operators.asof import asof_join
 from tidewatch.operators.baseline import FRAME, SLOT, baseline_at_grid, moving_stats
@@ -162,6 +162,85 @@ def score_windows_since(trades: DataFrame, snapshots: DataFrame, since,
                          window_minutes, frame, **kw)
 
 
+_LAST = (1 << 63) - 1
+
+
+def changed_windows(trade_lows: DataFrame, slot: int, window_minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """``asset_symbol``, ``window_end`` (micros): windows that meet the slots of
+    ``slot`` micros beginning at ``low``."""
+    grid, low = window_minutes * MICROS_PER_MINUTE, ntz_micros("low")
+    ends = F.sequence(floor_to_grid_micros(low, grid) + grid,
+                      floor_to_grid_micros(low + (slot - 1), grid) + grid, F.lit(grid).cast("long"))
+    return trade_lows.where("low is not null").select(
+        "asset_symbol", F.explode(ends).alias("window_end")).distinct()
+
+
+def score_changed(trades: DataFrame, snapshots: DataFrame, windows: DataFrame, cuts: DataFrame,
+                  newest: DataFrame, window_minutes: int = WINDOW_MINUTES, frame: int = FRAME,
+                  **kw) -> DataFrame:
+    """Exactly the rows of :func:`score_windows` for ``windows``
+    (:func:`changed_windows`) and for all windows of an asset from its ``cut`` on
+    (:func:`rescoring_cuts` of new snapshots), reading only what they depend on.
+
+    Trades: those of the windows, and from a cut on.  Snapshots of an asset: from
+    one frame before the earliest snapshot that one of its windows may pick, to
+    its last window.  That snapshot comes from ``newest`` (``asset_symbol``,
+    ``last``: the newest snapshot of each day), not from the snapshots: the newest
+    day's last one at or before the asset's first window end, or the beginning of
+    that window end's day.  ``newest`` may lack snapshots that lie less than a
+    window before the first window end or after it (of a merge that is not
+    closed): those are read anyway."""
+    grid = window_minutes * MICROS_PER_MINUTE
+    windows = windows.select(F.col("asset_symbol").alias("_a"), F.col("window_end").alias("_e"))
+    cuts = cuts.select(F.col("asset_symbol").alias("_a"), F.col("cut").alias("_cut"))
+    spans = (windows.select("_a", F.col("_e").alias("_first"), F.col("_e").alias("_last"))
+             .unionByName(cuts.select("_a", F.col("_cut").alias("_first"),
+                                      F.lit(_LAST).alias("_last")))
+             .groupBy("_a").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")))
+    day = F.floor(F.col("_first") / MICROS_PER_DAY).cast("long") * MICROS_PER_DAY
+    last = ntz_micros("last")
+    picks = (newest.join(spans.select("_a", "_first"), F.col("asset_symbol") == F.col("_a"))
+             .groupBy("_a").agg(
+                 F.max(F.when(last <= F.col("_first"), last)).alias("_pick"),
+                 F.max(F.when(F.floor(last / MICROS_PER_DAY) * MICROS_PER_DAY == day, day))
+                 .alias("_day")))
+    pick = F.coalesce(F.col("_pick"), F.col("_day"), F.col("_first") - grid)
+    spans = spans.join(picks, "_a", "left").select(
+        "_a", "_first", "_last",
+        (ceil_to_grid_micros(F.least(pick, F.col("_first")), grid) - frame - grid).alias("_low"))
+    bounds = spans.agg(F.min("_first"), F.min("_low"), F.max("_last")).first()  # three numbers
+    if bounds[0] is None:
+        return score_windows(trades.where(F.lit(False)), snapshots.where(F.lit(False)),
+                             window_minutes=window_minutes, **kw)
+
+    def within(df: DataFrame, ts: str, low: int) -> DataFrame:
+        """Literal bounds, which the scan uses to skip files and row groups."""
+        df = df.where(F.col(ts) >= micros_to_ntz(F.lit(low)))
+        return df if bounds[2] == _LAST else df.where(F.col(ts) <= micros_to_ntz(F.lit(bounds[2])))
+
+    t = ntz_micros("trade_time")
+    some_trades = (
+        within(trades, "trade_time", bounds[0] - grid)
+        .withColumn("_end", floor_to_grid_micros(t, grid) + grid)
+        .join(windows.select(F.col("_a").alias("_w"), F.col("_e").alias("_hit")),
+              (F.col("asset_symbol") == F.col("_w")) & (F.col("_end") == F.col("_hit")), "left")
+        .join(cuts, F.col("asset_symbol") == F.col("_a"), "left")
+        .where(F.col("_hit").isNotNull() | (t >= F.col("_cut") - grid))
+        .select(*trades.columns))
+    s = ntz_micros("ingested_at")
+    some_snapshots = within(snapshots, "ingested_at", bounds[1])
+    if "part_day" in snapshots.columns:  # the day of ingested_at: whole folders are skipped
+        some_snapshots = some_snapshots.where(
+            F.col("part_day") >= F.to_date(micros_to_ntz(F.lit(bounds[1]))))
+        if bounds[2] != _LAST:
+            some_snapshots = some_snapshots.where(
+                F.col("part_day") <= F.to_date(micros_to_ntz(F.lit(bounds[2]))))
+    some_snapshots = (some_snapshots.join(spans, F.col("asset_symbol") == F.col("_a"))
+                      .where((s > F.col("_low")) & (s <= F.col("_last")))
+                      .select(*snapshots.columns))
+    return score_windows(some_trades, some_snapshots, window_minutes=window_minutes, **kw)
+
+
 def typed_gold(scored: DataFrame) -> DataFrame:
     """Gold table types: money as DECIMAL(38,8), z as DECIMAL(18,8).  The flag
     is computed from the unrounded double z; a |z| too large for
@@ -190,37 +269,66 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def gold_source(spark, layout, since=None, **kw) -> DataFrame:
-    """The typed gold rows of one run (pure plan): all windows, or with
-    ``since`` those that a merge into silver at or after ``since`` touched,
-    however old the merged rows are (:func:`score_touched`)."""
-    from tidewatch.plans.silver import silver_snapshots_for_gold, silver_trades_for_gold
-    from tidewatch.sources.tables import add_day, read_changes
+def gold_source(spark, layout, incremental: bool = False, window_minutes: int = WINDOW_MINUTES,
+                **kw) -> DataFrame:
+    """The typed gold rows of one run (pure plan): all windows, or the
+    ``incremental`` ones that unconsumed notes of the journal touch, however old
+    the merged rows are (:func:`score_changed`)."""
+    from tidewatch.plans import silver as SV
+    from tidewatch.sources import journal
+    from tidewatch.sources.tables import add_day
 
-    trades = silver_trades_for_gold(spark, layout)
-    snaps = silver_snapshots_for_gold(spark, layout)
-    if since is None:
-        scored = score_windows(trades, snaps, exact_decimal=True, **kw)
+    kw = {"window_minutes": window_minutes, "exact_decimal": True} | kw
+    if not incremental:
+        scored = score_windows(SV.silver_trades_for_gold(spark, layout),
+                               SV.silver_snapshots_for_gold(spark, layout), **kw)
     else:
-        notes = read_changes(spark, layout, since)
-        cuts = rescoring_cuts(notes.where("source = 'silver_trades'"),
-                              notes.where("source = 'silver_snapshots'"))
-        scored = score_touched(trades, snaps, cuts, exact_decimal=True, **kw)
+        trade_lows = journal.lows_of(spark, layout, "silver_trades")
+        snapshot_lows = journal.lows_of(spark, layout, "silver_snapshots")
+        scored = score_lows(spark, layout, trade_lows, snapshot_lows, **kw)
     return add_day(typed_gold(scored), "window_start")
 
 
-def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
-    """Recompute from silver — all windows, or with ``since`` those touched by
-    merges that ran at or after it (:func:`gold_source`) — then upsert into
-    gold by (asset_symbol, window_start).
+def score_lows(spark, layout, trade_lows: DataFrame, snapshot_lows: DataFrame,
+               window_minutes: int = WINDOW_MINUTES, **kw) -> DataFrame:
+    """The windows that new silver rows touch (:func:`silver.trade_changes`,
+    :func:`silver.snapshot_changes`), scored from the silver tables."""
+    from tidewatch.plans import silver as SV
+    return score_changed(
+        SV.silver_trades_for_gold(spark, layout), SV.silver_snapshots_for_gold(spark, layout),
+        changed_windows(trade_lows, SV.SLOT, window_minutes),
+        rescoring_cuts(trade_lows.where(F.lit(False)), snapshot_lows, window_minutes),
+        SV.read_newest(spark, layout), window_minutes, **kw)
+
+
+def run_gold(spark, layout, staging: str, incremental: bool = False, **kw) -> dict:
+    """Recompute from silver — all windows, or the ``incremental`` ones that
+    merges have touched since the journal was last consumed
+    (:func:`gold_source`) — then upsert into gold by (asset_symbol,
+    window_start) and store how far the journal is consumed.
+
+    The journal is read before silver, so what it calls settled is in the rows
+    read; it is consumed after the rows are in gold, so a run that dies is made
+    up for by the next one.  See :func:`upsert_rows` for the upsert."""
+    from tidewatch.sources import journal
+
+    marks = journal.settled(spark, layout)
+    report = upsert_rows(spark, layout, gold_source(spark, layout, incremental, **kw), staging)
+    journal.consume(spark, layout, marks)
+    journal.compact(spark, layout)
+    return report
+
+
+def upsert_rows(spark, layout, rows: DataFrame, staging: str) -> dict:
+    """Upsert typed gold rows (with their day) into the gold table.
 
-    The rows of the run are written to ``staging`` once; everything after
-    reads them from there.  Affected days = their day partitions, which become
-    literals of the gold scan.  The days' new content (kept target rows +
-    source rows) is written to ``staging`` too and then swapped in with a
-    dynamic day overwrite, so no plan overwrites a path it reads.  If the swap
-    is interrupted, rerunning :func:`swap_in_staging` with the same staging
-    folder finishes it; recomputing alone could lose kept-but-stale rows.
+    They are written to ``staging`` once; everything after reads them from
+    there.  Affected days = their day partitions, which become literals of the
+    gold scan.  The days' new content (kept target rows + source rows) is
+    written to ``staging`` too and then swapped in with a dynamic day
+    overwrite, so no plan overwrites a path it reads.  If the swap is
+    interrupted, rerunning :func:`swap_in_staging` with the same staging folder
+    finishes it; recomputing alone could lose kept-but-stale rows.
 
     As in the table merge of the reference, gold rows without a source row
     stay.  The report counts flagged rows whose z-score is too large for the
@@ -228,12 +336,13 @@ def run_gold(spark, layout, staging: str, since=None, **kw) -> dict:
     from tidewatch import schemas as S
     from tidewatch.sources.tables import DAY, with_day
 
-    rows, content = f"{staging}/rows", f"{staging}/content"
+    at, content = f"{staging}/rows", f"{staging}/content"
     schema = with_day(S.GOLD_ANOMALIES)
-    (gold_source(spark, layout, since, **kw).write.mode("errorifexists")
-     .partitionBy(DAY).parquet(rows))
-    source = spark.read.schema(schema).parquet(rows)
+    rows.write.mode("errorifexists").partitionBy(DAY).parquet(at)
+    source = spark.read.schema(schema).parquet(at)
     days = [r[0] for r in source.select(DAY).distinct().collect()]  # one per day
+    if not days:
+        return {"statusCode": 200, "days": 0, "z_not_stored": 0}
     gold_content(spark, layout, source, days).write.mode("errorifexists").option(
         "partitionOverwriteMode", "static").partitionBy(DAY).parquet(content)
     unstored = source.where("is_anomaly and z_score is null").count()

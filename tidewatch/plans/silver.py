@@ -3,22 +3,29 @@ inside the source, insert-only merge into the day-partitioned silver table."""
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.time import (
+    MICROS_PER_MINUTE, floor_to_grid_micros, micros_to_ntz, ntz_micros,
+)
 from tidewatch.operators.dedupe import dedupe_first
 from tidewatch.operators.merge import rows_to_insert, within_key_range
 from tidewatch.operators.projections import type_snapshots, type_trades
 from tidewatch.session import scratch_path
+from tidewatch.sources import journal
 from tidewatch.sources.bronze import read_bronze_snapshots, read_bronze_trades, where_hours
-from tidewatch.sources.tables import Layout, append_day_partitioned, note_changes, read_table
+from tidewatch.sources.tables import DAY, Layout, add_day, append_day_partitioned, read_table
 
 # Merge keys.  The reference keys trades by ``trade_id`` alone although ids
 # are numbered per symbol; ``("symbol", "trade_id")`` is the safer option.
 TRADE_KEYS = ["trade_id"]
 SNAPSHOT_KEYS = ["id", "last_updated"]
+#: Changed trades are noted by slots of this length.
+SLOT = 10 * MICROS_PER_MINUTE
 
 
 def trade_source(spark: SparkSession, layout: Layout, hours=None,
@@ -42,35 +49,95 @@ def silver_delta(spark: SparkSession, layout: Layout, table: str, source: DataFr
     return rows_to_insert(target, source, keys)
 
 
+def trade_changes(trades: DataFrame) -> DataFrame:
+    """``asset_symbol``, ``low``: the slots of the window grid that hold the trades."""
+    low = micros_to_ntz(floor_to_grid_micros(ntz_micros("trade_time"), SLOT))
+    return trades.select("asset_symbol", low.alias("low")).distinct()
+
+
+def snapshot_changes(snapshots: DataFrame) -> DataFrame:
+    """``asset_symbol``, ``low``: the oldest of the snapshots."""
+    return snapshots.groupBy("asset_symbol").agg(F.min("ingested_at").alias("low"))
+
+
+def note_newest(layout: Layout, snapshots: DataFrame) -> None:
+    """Append the newest of these snapshots per asset and day to the last-snapshot
+    state (``silver/newest``).
+
+    Written after the rows themselves, so it never names a snapshot that is not in
+    the table; what a dead merge left out is added by the next one."""
+    (add_day(snapshots, "ingested_at").groupBy("asset_symbol", DAY)
+     .agg(F.max("ingested_at").alias("last")).coalesce(1)
+     .write.mode("append").parquet(layout.silver_newest))  # a row per asset and day
+
+
+def read_newest(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``asset_symbol``, ``last``: the newest snapshot of each day."""
+    schema = f"asset_symbol string, {DAY} date, last timestamp_ntz"
+    try:
+        rows = spark.read.schema(schema).parquet(layout.silver_newest)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+    return rows.groupBy("asset_symbol", DAY).agg(F.max("last").alias("last")).select(
+        "asset_symbol", "last")
+
+
 def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, keys: list[str],
-           changed_at: str, now: dt.datetime | None) -> int:
-    """Stage the source (bronze is parsed once), append what is new, and note
-    from which time on each asset may have changed."""
-    path = scratch_path(spark, f"{table}-source")
-    source.write.parquet(path)
-    staged = spark.read.schema(source.schema).parquet(path)
-    inserted = append_day_partitioned(silver_delta(spark, layout, table, staged, keys),
-                                      getattr(layout, table), "ingested_at")
-    note_changes(layout, table, staged.groupBy("asset_symbol").agg(F.min(changed_at).alias("low")),
-                 now)
+           changes: Callable[[DataFrame], DataFrame],
+           step: Callable[[str], None] | None = None) -> int:
+    """Stage the source (bronze is parsed once) and what of it is new; note the
+    change, append, close the note (:mod:`tidewatch.sources.journal`).
+
+    ``step`` is called after each of these: ``noted``, ``appended``, ``closed``.
+    Notes that an earlier merge left open are closed too: a table has one merge at
+    a time, so their merges are over."""
+    path = scratch_path(spark, f"{table}-merge")
+    tell = step or (lambda name: None)
+    source.write.parquet(f"{path}/source")
+    staged = spark.read.schema(source.schema).parquet(f"{path}/source")
+    delta = silver_delta(spark, layout, table, staged, keys)
+    delta.write.parquet(f"{path}/delta")
+    delta = spark.read.schema(delta.schema).parquet(f"{path}/delta")
+    left, inserted, own = journal.open_notes(spark, layout, table), 0, []
+    if not delta.isEmpty():
+        own = [journal.open_note(spark, layout, table, changes(delta))]
+        tell("noted")
+        inserted = append_day_partitioned(delta, getattr(layout, table), "ingested_at")
+        tell("appended")
+    if table == "silver_snapshots":
+        if inserted:
+            note_newest(layout, delta)
+        if left:  # what dead merges may have appended without saying so
+            lows = journal.lows_of(spark, layout, table, left).groupBy("asset_symbol").agg(
+                F.min("low").alias("_low"))
+            first = lows.agg(F.min("_low")).first()[0]
+            if first is not None:
+                rows = read_table(spark, layout, table).where(
+                    F.col(DAY) >= F.to_date(F.lit(str(first)))).join(lows, "asset_symbol")
+                note_newest(layout, rows.where("ingested_at >= _low").select(
+                    "asset_symbol", "ingested_at"))
+    journal.close_notes(spark, layout, table, left + own)
+    tell("closed")
     return inserted
 
 
 def run_silver_trades(spark: SparkSession, layout: Layout, hours=None,
                       keys: list[str] = TRADE_KEYS, strict: bool = True,
-                      now: dt.datetime | None = None) -> int:
+                      step: Callable[[str], None] | None = None) -> int:
     """One merge: append the new rows; returns how many were inserted.  An
-    interrupted append is repaired by running again (the anti-join skips
+    interrupted merge is repaired by running again (the anti-join skips
     whatever already landed)."""
     return _merge(spark, layout, "silver_trades",
-                  trade_source(spark, layout, hours, keys, strict), keys, "trade_time", now)
+                  trade_source(spark, layout, hours, keys, strict), keys, trade_changes, step)
 
 
 def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None,
                          keys: list[str] = SNAPSHOT_KEYS, strict: bool = True,
-                         now: dt.datetime | None = None) -> int:
+                         step: Callable[[str], None] | None = None) -> int:
     return _merge(spark, layout, "silver_snapshots",
-                  snapshot_source(spark, layout, hours, keys, strict), keys, "ingested_at", now)
+                  snapshot_source(spark, layout, hours, keys, strict), keys, snapshot_changes, step)
 
 
 def silver_trades_for_gold(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -78,6 +145,7 @@ def silver_trades_for_gold(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def silver_snapshots_for_gold(spark: SparkSession, layout: Layout) -> DataFrame:
+    """With the day column, by which a bounded read skips folders."""
     return (read_table(spark, layout, "silver_snapshots")
             .select("asset_symbol", "ingested_at",
-                    F.col("current_price").cast("double").alias("current_price")))
+                    F.col("current_price").cast("double").alias("current_price"), DAY))

@@ -751,11 +751,113 @@ def gold_upsert_job(spark, sf_dir):
     for i in range(2):
         G.run_gold(spark, layout, f"{root}/staging-{i}")
     from tidewatch.sources.tables import read_anomalies
-    gold = read_anomalies(spark, layout)  # decimals as text: all eight digits are compared
+    return _gold_text(read_anomalies(spark, layout))
+
+
+def _gold_text(gold: DataFrame) -> DataFrame:
+    """Decimals as text: all eight digits are compared."""
     return gold.withColumns({c: F.col(c).cast("string") for c, kind in gold.dtypes
                              if kind.startswith("decimal")})
 
 
+class _MergeDied(Exception):
+    pass
+
+
+_SQL_GOLD_EARLY = SQL_GOLD_TYPED.replace(
+    "ts AS ingested_at\n  FROM events", "ts AS ingested_at\n  FROM events WHERE event_id % 4 <> 2")
+# gold rows never go: a window that late snapshots leave without a baseline keeps its old row
+SQL_GOLD_LATE_TYPED = f"""
+WITH now_gold AS ({SQL_GOLD_TYPED}),
+before AS ({_SQL_GOLD_EARLY})
+SELECT * FROM now_gold
+UNION ALL
+SELECT * FROM before b WHERE NOT EXISTS (
+  SELECT 1 FROM now_gold n
+  WHERE n.asset_symbol = b.asset_symbol AND n.window_start = b.window_start)"""
+
+
+@register("gold_incremental_journal", SQL_GOLD_LATE_TYPED)
+def gold_incremental_journal(spark, sf_dir):
+    """JOB-4/5/6, JON-5 through the jobs and the change journal.  Every third
+    trade and every fourth snapshot come late, all over history: the merge of
+    those trades dies after its append (gold runs before and after the rerun),
+    and a gold run falls into the middle of the merge of the snapshots."""
+    from tidewatch.sources.tables import read_anomalies
+    root = scratch_path(spark, "journal")
+    layout = Layout(f"{root}/lake")
+    create_tables(spark, layout)
+    ev = _events(spark, sf_dir)
+    late_trade, late_snap = F.col("event_id") % 3 == 1, F.col("event_id") % 4 == 2
+    runs = iter(range(10))
+
+    def land(trades: DataFrame | None, snapshots: DataFrame | None, hour: int) -> None:
+        stamp = F.lit(f"2026-06-10T{hour:02d}:05:00+00:00")  # all of a landing in one hour
+        for df, path in ((trades, layout.bronze_trades), (snapshots, layout.bronze_snapshots)):
+            if df is not None:
+                land_jsonl(df.drop("year", "month", "day", "hour"), path, f"landing-{hour}", stamp)
+
+    def gold(incremental: bool = True) -> None:
+        G.run_gold(spark, layout, f"{root}/staging-{next(runs)}", incremental)
+
+    def dies(step: str) -> None:
+        if step == "appended":
+            raise _MergeDied
+
+    land(TD.bronze_trades(ev.where(~late_trade)), TD.bronze_snapshots(ev.where(~late_snap)), 14)
+    SV.run_silver_trades(spark, layout)
+    SV.run_silver_snapshots(spark, layout)
+    gold(incremental=False)
+    land(TD.bronze_trades(ev.where(late_trade)), None, 15)
+    try:
+        SV.run_silver_trades(spark, layout, step=dies)
+    except _MergeDied:
+        gold()
+    SV.run_silver_trades(spark, layout)  # adds no row, closes the note
+    land(None, TD.bronze_snapshots(ev.where(late_snap)), 16)
+    SV.run_silver_snapshots(spark, layout, step=lambda step: gold() if step == "noted" else None)
+    gold()
+    return _gold_text(read_anomalies(spark, layout))
+
+
+@register("gold_stream", SQL_GOLD_TYPED)
+def gold_stream(spark, sf_dir):
+    """JOB-6, JON-5 as a stream over silver (``streaming/gold.py``): three
+    batches of rows out of order, late snapshots among them; the second batch
+    fails after its upsert and is replayed."""
+    from tidewatch.sources.tables import append_day_partitioned, read_anomalies
+    from tidewatch.streaming.gold import start_gold_stream
+    root = scratch_path(spark, "gold-stream")
+    layout = Layout(f"{root}/lake")
+    create_tables(spark, layout)
+    ev = _events(spark, sf_dir)
+    failed = []
+
+    def fail(batch_id: int) -> None:
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("injected failure after the upsert")
+
+    def run() -> None:
+        start_gold_stream(spark, layout, f"{root}/checkpoint", f"{root}/staging",
+                          available_now=True, before_commit=fail).awaitTermination()
+
+    for part in (2, 0, 1):
+        rows = ev.where(F.col("event_id") % 3 == part)
+        snapshots = P.type_snapshots(TD.bronze_snapshots(rows))
+        SV.note_newest(layout, snapshots)
+        append_day_partitioned(snapshots, layout.silver_snapshots, "ingested_at")
+        append_day_partitioned(P.type_trades(TD.bronze_trades(rows)), layout.silver_trades,
+                               "ingested_at")
+        try:
+            run()
+        except StreamingQueryException:
+            if len(failed) != 1:
+                raise
+            run()
+    return _gold_text(read_anomalies(spark, layout))
+
+
 # ---------------------------------------------------------------- snapshot ingest
 from tidewatch.functions.time import iso_to_ntz  # noqa: E402
 from tidewatch.plans.snapshot_ingest import ingest_snapshots  # noqa: E402
