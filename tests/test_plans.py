@@ -14,7 +14,7 @@ from tidewatch.sources.landing import land_jsonl
 from tidewatch.sources.tables import Layout, create_tables
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"stream_dedup_ttl", "stream_retry_atomic", "hour_partition_filter",
+WRITERS = {"gold_incremental_journal", "gold_stream", "stream_dedup_ttl", "stream_retry_atomic", "hour_partition_filter",
            "silver_trades_backfill", "silver_snapshots_backfill", "gold_upsert_job",
            "snapshot_ingest_batch"}
 PURE = sorted(set(Q.QUERIES) - WRITERS)
