@@ -36,15 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import slices, table, written
+from tidewatch.llm.common import discard, slices, table, written
 
 CLASSES, ROUNDS, MIX = 64, 10, 0.9
 LEAST, RARE_UNITS, SUFFIX_BYTES = 5, 256, 3
 #: Rare units per word range; their ranges are -1, -2, ...
 RARE_TOGETHER = 16
-BLOCK_TOKENS, ROWS, FOLDS, HELD_OUT = 1_000_000, 256, 5, 1
-#: Word ranges per shuffle partition.
-PARTS_PER_PARTITION = 4
+BLOCK_TOKENS, ROWS, FOLDS, HELD_OUT = 2_000_000, 256, 5, 1
+#: Packed words that the blocks ask one word range for; the ranges follow from it.
+RANGE_BYTES = 4 << 20
 #: The end of a text; words are never empty.
 END = b""
 
@@ -481,14 +481,18 @@ def exchange(trained: DataFrame, replies: DataFrame, start: DataFrame, classes:
     state, best = measured(start)
     pairs, best_value, misses = best[2], likelihood(best[2]), 0
     for r in range(rounds):
-        state, got = measured(_moved(state, pairs, classes, r % 2))
+        moved = _moved(state, pairs, classes, r % 2)
+        discard(state)  # the moved classes are written: nothing reads it again
+        state, got = measured(moved)
         pairs, value = got[2], likelihood(got[2])
         if value > best_value + 1e-9 * abs(best_value):
+            discard(best[0])
             best, best_value, misses = got, value, 0
         else:
             misses += 1
             if misses == 2:
                 break
+    discard(state)
     return best
 
 
@@ -612,7 +616,8 @@ def score_documents(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUND
     spark = docs.sparkSession
     blocks = blocks_of(docs, block_tokens)
     n_train = blocks.agg(F.sum("n_train")).first()[0] or 0
-    parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = blocks.agg(F.sum(F.length("words"))).first()[0] or 0
+    parts = max(1, -(-asked // RANGE_BYTES))
     replies = corpus_counts(blocks, parts, n_train, least)
     _release(spark)
     model = train(blocks, replies, n_train, classes, rounds)
