@@ -28,6 +28,10 @@ CASES = [
     (19, "http://h.net/", LINK.format("mailto:x@shop.com")), (None, "http://x.com/de/", ""),
     (20, "a://b://c.org/es/", ""), (21, "", ""), (1, "http://a.net/x", None),
     (22, "http://i.net/", LINK.format("#top") + LINK.format("https://shop.com/de/")),
+    (23, "http://j.net/", "<link rel=canonical>" + LINK.format("https://shop.com/de/j")),
+    (24, "http://k.net/", LINK.format("http://other.net/") + LINK.format("https://shop.com/de/k")),
+    (25, "http://l.net/", HOP.format("/away") + HOP.format("https://shop.com/de/l")),
+    (26, "http://m.net/" + "p/" * 20_000, "<p>" * 100_000 + LINK.format("https://shop.com/de/m")),
 ]
 
 
@@ -50,6 +54,7 @@ def test_verdicts(found):
     verdict = {k[0]: (r.rule, r.verdict, r.by) for k, r in found.items()}
     blocked_alias, free = (None, "block", "alias"), (None, "allow", "default")
     assert verdict[1] == verdict[2] == verdict[4] == verdict[8] == verdict[9] == blocked_alias
+    assert verdict[22] == verdict[23] == verdict[24] == verdict[25] == verdict[26] == blocked_alias
     assert verdict[3] == verdict[10] == verdict[11] == verdict[12] == verdict[14] == verdict[19] == free
     assert verdict[5] == ("com/fr/", "allow", "rule")
     assert verdict[6] == (None, "allow", "alias")

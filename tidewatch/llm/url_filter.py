@@ -96,17 +96,19 @@ def resolved(base: Column, target: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """``a``, ``b``: nodes joined by a canonical link or a meta-refresh redirect of a page."""
+    """``a``, ``b``: nodes joined by a canonical link or a meta-refresh redirect of a
+    page; every such tag of a page counts."""
     shown = pages.filter(F.col("html").rlike("(?i)canonical|http-equiv")).select(
         "url", F.explode(F.array(F.regexp_replace("html", HIDDEN, ""))).alias("html"))
 
-    def first(tag: str, test: str, value: str) -> Column:
+    def named(tag: str, test: str, value: str) -> Column:
+        """The targets of all matching tags of the page."""
         tags = F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)),
                         lambda x: x.rlike(test))
-        return F.nullif(F.regexp_extract(F.get(tags, F.lit(0)), value, 1), F.lit(""))
+        return F.transform(tags, lambda x: F.regexp_extract(x, value, 1))
 
-    targets = shown.select("url", F.explode(F.array(
-        first(LINK_TAG, IS_CANONICAL, HREF), first(META_TAG, IS_REFRESH, REFRESH_URL))
+    targets = shown.select("url", F.explode(F.array_distinct(F.concat(
+        named(LINK_TAG, IS_CANONICAL, HREF), named(META_TAG, IS_REFRESH, REFRESH_URL)))
     ).alias("target"))
     return targets.select(node_of(F.col("url")).alias("a"),
                           node_of(resolved(F.col("url"), F.col("target"))).alias("b")
@@ -171,9 +173,10 @@ def oracle() -> str:
         return (f"CASE WHEN contains({u}, '://') THEN lower(regexp_extract({u}, '(?s)^(.*?://)', 1))"
                 f" || {host(u)} || regexp_extract({u}, '(?s)^.*?://[^/?#]*([^#]*)', 1) END")
 
-    def first(tag: str, test: str, value: str) -> str:
-        return (f"nullif(regexp_extract(list_filter(regexp_extract_all(h, {quoted(tag)}), "
-                f"lambda x: regexp_matches(x, {quoted(test)}))[1], {quoted(value)}, 1), '')")
+    def named(tag: str, test: str, value: str) -> str:
+        return (f"list_transform(list_filter(regexp_extract_all(h, {quoted(tag)}), "
+                f"lambda x: regexp_matches(x, {quoted(test)})), "
+                f"lambda x: regexp_extract(x, {quoted(value)}, 1))")
 
     absolute = "'^[A-Za-z][A-Za-z0-9+.\\-]*://'"
     site = f"regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || {host('url')}"
@@ -182,8 +185,8 @@ WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {rules}),
 shown AS (SELECT url, regexp_replace(html, {quoted(HIDDEN)}, '', 'g') AS h FROM pages
           WHERE regexp_matches(html, '(?i)canonical|http-equiv')),
 targets AS (
-  SELECT url, replace(unnest([{first(LINK_TAG, IS_CANONICAL, HREF)},
-                      {first(META_TAG, IS_REFRESH, REFRESH_URL)}]), '&amp;', '&') AS t FROM shown),
+  SELECT url, replace(unnest(list_concat({named(LINK_TAG, IS_CANONICAL, HREF)},
+                      {named(META_TAG, IS_REFRESH, REFRESH_URL)})), '&amp;', '&') AS t FROM shown),
 full_targets AS (
   SELECT url, CASE
     WHEN t IS NULL OR t = '' OR starts_with(t, '#') THEN NULL
