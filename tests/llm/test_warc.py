@@ -74,3 +74,17 @@ def test_damaged_bundles_are_refused(tmp_dir):
 
 def test_empty_table(spark):
     assert W.archived(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_frames_are_read_back_by_many_tasks(spark, tmp_dir, monkeypatch):
+    """Bundle names are few bytes; the frames behind them are not."""
+    from pyspark.sql import functions as F
+    given = [(i, f"http://a/{i}", f"<p>{i}</p>" * 40) for i in range(400)]
+    index = W.write_archive(spark.createDataFrame(given, PAGES).repartition(4), tmp_dir, 500)
+    frames = index.select("bundle", "frame").distinct().count()
+    per_task = W.read_archive(index, tmp_dir).groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 150
+    monkeypatch.setattr(W, "FRAMES_PER_TASK", 4)
+    tasks = W.read_archive(index, tmp_dir).select(F.spark_partition_id()).distinct().count()
+    assert tasks > 0.5 * frames / 4 and index.select("bundle").distinct().count() <= 4
+    assert sorted(r.page_id for r in W.read_archive(index, tmp_dir).collect()) == list(range(400))

@@ -35,6 +35,8 @@ from tidewatch.llm.common import slices, table, written
 from tidewatch.session import scratch_path
 
 FRAME_BYTES, BUNDLE_BYTES, MIN_REVISIT, LEVEL, ROWS = 1 << 20, 64 << 20, 1000, 3, 256
+#: Frames that one task reads back, and the most tasks per shuffle partition.
+FRAMES_PER_TASK, MOST_PER_PARTITION = 64, 16
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed values of the public formats.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -234,31 +236,39 @@ def read_archive(index: DataFrame, target: str) -> DataFrame:
     """Records of all indexed bundles; length and digest of a response are taken
     from its payload, those of a revisit are left to the response it refers to."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, opened = None, None
         for b in batches:
-            for bundle in b.column(0).to_pylist():
-                reader = BundleReader(target, bundle)
-                for number in range(len(reader.frames)):
-                    data, at, rows = reader.frame(number), 0, []
-                    while at < len(data):
-                        head, block, at = parse(data, at)
-                        page = head.get("X-Page-ID")
-                        row = [None if page is None else int(page),
-                               head["WARC-Record-ID"][1:-1], head["WARC-Type"]]
-                        stated = base64.b32decode(head["WARC-Payload-Digest"][5:]).hex()
-                        if row[2] == "response":
-                            payload = block[block.index(b"\r\n\r\n") + 4:]
-                            digest = hashlib.sha1(payload).hexdigest()
-                            if digest != stated:
-                                raise ValueError(f"payload of {row[1]} differs from its digest")
-                            rows.append((*row, len(payload), digest, None))
-                        else:
-                            rows.append((*row, None, stated, head["WARC-Refers-To"][1:-1]))
-                    yield _batch(rows, RECORDS)
-                reader.close()
-
-    bundles = index.select("bundle").distinct()
+            for bundle, number in zip(*(c.to_pylist() for c in b.columns)):
+                if bundle != opened:  # frames of a bundle come one after the other
+                    if reader:
+                        reader.close()
+                    reader, opened = BundleReader(target, bundle), bundle
+                data, at, rows = reader.frame(number), 0, []
+                while at < len(data):
+                    head, block, at = parse(data, at)
+                    page = head.get("X-Page-ID")
+                    row = [None if page is None else int(page),
+                           head["WARC-Record-ID"][1:-1], head["WARC-Type"]]
+                    stated = base64.b32decode(head["WARC-Payload-Digest"][5:]).hex()
+                    if row[2] == "response":
+                        payload = block[block.index(b"\r\n\r\n") + 4:]
+                        digest = hashlib.sha1(payload).hexdigest()
+                        if digest != stated:
+                            raise ValueError(f"payload of {row[1]} differs from its digest")
+                        rows.append((*row, len(payload), digest, None))
+                    else:
+                        rows.append((*row, None, stated, head["WARC-Refers-To"][1:-1]))
+                yield _batch(rows, RECORDS)
+        if reader:
+            reader.close()
+
+    # a row for each frame, not for each bundle, and a stated number of ranges: rows so
+    # small would be merged into one task, which then read the whole archive
+    frames = index.select("bundle", "frame").distinct()
     spread = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return bundles.repartition(spread, "bundle").mapInArrow(run, RECORDS)
+    tasks = min(MOST_PER_PARTITION * spread, max(spread, -(-frames.count() // FRAMES_PER_TASK)))
+    return (frames.repartitionByRange(tasks, "bundle", "frame")
+            .sortWithinPartitions("bundle", "frame").mapInArrow(run, RECORDS))
 
 
 def archived(pages: DataFrame, target: str | None = None) -> DataFrame:
