@@ -155,3 +155,20 @@ def test_a_dead_snapshot_merge_is_made_up_for(spark, tmp_dir):
     assert [tuple(r) for r in SV.read_newest(spark, layout).collect()] == [
         ("BTC", T0 + dt.timedelta(minutes=5))]
     assert journal.open_notes(spark, layout, "silver_snapshots") == []
+
+
+def test_rejects_of_the_merge_are_set_aside(spark, tmp_dir):
+    layout = Layout(tmp_dir)
+    create_tables(spark, layout)
+    rows = [(1, "BTCUSDT", "100.5", "1", 1_772_366_400_000, True, "2026-03-01T12:00:00+00:00", None),
+            (2, "BTCUSDT", "oops", "1", 1_772_366_400_000, True, "2026-03-01T12:00:00+00:00", None),
+            (None, "BTCUSDT", "1", "1", 1_772_366_400_000, True, "2026-03-01T12:00:00+00:00", None),
+            (4, "BTCUSDT", "1", "2", 1_772_366_400_000, True, None, "not a time")]
+    land_jsonl(spark.createDataFrame(rows, BRONZE), layout.bronze_trades, "a",
+               F.lit("2026-03-02T00:00:00+00:00"))
+    for inserted in (1, 0):  # a rerun adds neither trades nor rejects
+        assert SV.run_silver_trades(spark, layout, rejects=True) == inserted
+        got = SV.read_trade_rejects(spark, layout)
+        assert sorted((r.reason, r.trade_id or 0) for r in got.collect()) == [
+            ("ingested_at", 4), ("price", 2), ("trade_id", 0)]
+        assert {(r.year, r.hour) for r in got.collect()} == {("2026", "00")}

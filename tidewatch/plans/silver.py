@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewatch import schemas as S
 from tidewatch.functions.time import (
     MICROS_PER_MINUTE, floor_to_grid_micros, micros_to_ntz, ntz_micros,
 )
 from tidewatch.operators.dedupe import dedupe_first
 from tidewatch.operators.merge import rows_to_insert, within_key_range
-from tidewatch.operators.projections import type_snapshots, type_trades
+from tidewatch.operators.projections import quarantine_trades, type_snapshots, type_trades
 from tidewatch.session import scratch_path
 from tidewatch.sources import journal
 from tidewatch.sources.bronze import read_bronze_snapshots, read_bronze_trades, where_hours
@@ -125,12 +127,31 @@ def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, k
 
 def run_silver_trades(spark: SparkSession, layout: Layout, hours=None,
                       keys: list[str] = TRADE_KEYS, strict: bool = True,
-                      step: Callable[[str], None] | None = None) -> int:
+                      step: Callable[[str], None] | None = None, rejects: bool = False) -> int:
     """One merge: append the new rows; returns how many were inserted.  An
     interrupted merge is repaired by running again (the anti-join skips
-    whatever already landed)."""
-    return _merge(spark, layout, "silver_trades",
-                  trade_source(spark, layout, hours, keys, strict), keys, trade_changes, step)
+    whatever already landed).
+
+    With ``rejects``, rows that cannot be typed do not fail the merge: they go to
+    ``silver/rejects`` with a reason, the others are merged.  A rerun replaces the
+    rejects of the bronze hours that still have some, so it repeats none."""
+    if rejects:
+        bronze = where_hours(read_bronze_trades(spark, layout.bronze_trades), hours)
+        good, bad = quarantine_trades(bronze)
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*S.PARTITION_COLS).parquet(layout.silver_rejects))
+        source = dedupe_first(good, keys, ["ingested_at", "trade_time"])
+    else:
+        source = trade_source(spark, layout, hours, keys, strict)
+    return _merge(spark, layout, "silver_trades", source, keys, trade_changes, step)
+
+
+def read_trade_rejects(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``reason`` and the bronze text of the trades that a merge set aside."""
+    fields = [f for f in S.BRONZE_TRADES.fields if f.name not in S.PARTITION_COLS]
+    fields += [T.StructField(c, T.StringType()) for c in S.PARTITION_COLS]
+    schema = T.StructType([T.StructField("reason", T.StringType()), *fields])
+    return spark.read.schema(schema).parquet(layout.silver_rejects)
 
 
 def run_silver_snapshots(spark: SparkSession, layout: Layout, hours=None,
