@@ -12,13 +12,16 @@ row (quadratic).  Here it is linear:
     (``last(..., ignorenulls)`` over a running frame).  One partition per key.
 
 ``asof_join_bucketed`` (used by the gold plan)
-    Same carry-forward, but partitioned by (key, time bucket).  Left rows
-    before the first right row of their bucket take a carry-in: the last right
-    row of each (key, bucket), carried forward over buckets in a table of
-    size keys x buckets.  With ``right_grid`` set (left times all lie on that
-    grid, e.g. window ends), right rows are first reduced to the newest one per
-    (key, grid point) by a map-side-combined ``max_by`` aggregate, so a hot key
-    is shrunk before any shuffle and every partition is bounded by the grid.
+    Same carry-forward, but partitioned by (key, slot), a slot being ten
+    minutes, so a hot (key, day) is spread over 144 partitions.  Left rows
+    before the first right row of their slot take a carry-in in two levels: the
+    last right row of an earlier slot of the same day (a table of at most 144
+    cells per key and day), else that of an earlier day (one cell per key and
+    day).  Only these cells are carried, never raw rows, and no task holds
+    a key's whole history of slots.  With ``right_grid`` set (left times all lie
+    on that grid, e.g. window ends), right rows are first reduced to the newest
+    one per (key, grid point) by a map-side-combined ``max_by`` aggregate; a day
+    then is bounded by the grid and is one slot.
 """
 
 from __future__ import annotations
@@ -26,7 +29,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.time import MICROS_PER_DAY, ceil_to_grid_micros, ntz_micros
+from tidewatch.functions.time import (
+    MICROS_PER_DAY, MICROS_PER_MINUTE, ceil_to_grid_micros, ntz_micros,
+)
+
+SLOT = 10 * MICROS_PER_MINUTE
 
 
 def _sides(left: DataFrame, right: DataFrame, by: str, left_ts: str,
@@ -58,10 +65,16 @@ def asof_join_plain(left: DataFrame, right: DataFrame, by: str, left_ts: str,
         *[F.col(f"_m.{c}").alias(c) for c in payload])
 
 
+def _before(cells: DataFrame, value: str, within: list[str], order: str) -> DataFrame:
+    """``_in``: the last non-null ``value`` of the cells before each one."""
+    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn("_in", F.last(value, ignorenulls=True).over(w))
+
+
 def asof_join_bucketed(left: DataFrame, right: DataFrame, by: str,
                        left_ts: str, right_ts: str, payload: list[str],
                        bucket: int = MICROS_PER_DAY,
-                       right_grid: int | None = None) -> DataFrame:
+                       right_grid: int | None = None, slot: int = SLOT) -> DataFrame:
     rkey = ntz_micros(right_ts)
     if right_grid:
         # newest right row per (key, grid point at or after it)
@@ -71,28 +84,35 @@ def asof_join_bucketed(left: DataFrame, right: DataFrame, by: str,
                  .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), rkey).alias("_p"))
                  .select(by, "_g", *[F.col(f"_p.{c}").alias(c) for c in payload]))
         rkey = F.col("_g")
+        slot = bucket
     lt, rt = _sides(left, right, by, left_ts, rkey, payload)
-    bk = F.floor(F.col("_key") / F.lit(bucket)).cast("long")
-    lt, rt = lt.withColumn("_b", bk), rt.withColumn("_b", bk)
+    cell = F.floor(F.col("_key") / F.lit(slot)).cast("long")
+    lt, rt = lt.withColumn("_s", cell), rt.withColumn("_s", cell)
 
-    w = (Window.partitionBy("_by", "_b").orderBy("_key", "_side")
+    w = (Window.partitionBy("_by", "_s").orderBy("_key", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     win = (_union(lt, rt)
-           .select("_by", "_b", "_key", "_side", "_l",
+           .select("_by", "_s", "_key", "_side", "_l",
                    F.last("_r", ignorenulls=True).over(w).alias("_m")))
-    inb = win.where(F.col("_side") == 1).select("_by", "_b", "_l", "_m")
+    inb = win.where(F.col("_side") == 1).select("_by", "_s", "_l", "_m")
 
-    # carry-in: the running value at the end of each (key, bucket) is that
-    # bucket's last right row; carried forward over buckets.  The aggregate
-    # reads the window output, already partitioned by (key, bucket): no
-    # second shuffle, and both inputs are evaluated once.
-    cells = win.groupBy("_by", "_b").agg(
+    # carry-in: the running value at the end of each (key, slot) is that slot's
+    # last right row.  The aggregate reads the window output, already
+    # partitioned by (key, slot): no second shuffle of rows.
+    cells = win.groupBy("_by", "_s").agg(
         F.max_by("_m", F.struct("_key", "_side")).alias("_lr"))
-    wc = (Window.partitionBy("_by").orderBy("_b")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = cells.select("_by", "_b", F.last("_lr", ignorenulls=True).over(wc).alias("_c"))
-
-    out = inb.join(carry, ["_by", "_b"], "left")
+    if slot == bucket:
+        carry = _before(cells, "_lr", ["_by"], "_s").select("_by", "_s", F.col("_in").alias("_c"))
+    else:
+        cells = cells.withColumn("_b", F.floor(F.col("_s") * F.lit(slot) / F.lit(bucket)).cast("long"))
+        in_day = _before(cells, "_lr", ["_by", "_b"], "_s")
+        last = F.max_by("_lr", F.when(F.col("_lr").isNotNull(), F.col("_s"))).alias("_lr")
+        days = _before(cells.groupBy("_by", "_b").agg(last), "_lr", ["_by"], "_b").select(
+            "_by", "_b", F.col("_in").alias("_day_in"))
+        carry = in_day.join(days, ["_by", "_b"], "left").select(
+            "_by", "_s", F.coalesce("_in", "_day_in").alias("_c"))
+
+    out = inb.join(carry, ["_by", "_s"], "left")
     m = F.coalesce(F.col("_m"), F.col("_c"))
     return out.select(*[F.col(f"_l.{c}").alias(c) for c in left.columns],
                       *[m[c].alias(c) for c in payload])
