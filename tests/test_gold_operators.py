@@ -153,6 +153,46 @@ def test_asof_matches_brute_force(spark, form, grid):
     assert res[("A", at(minutes=30))] == 999.0       # inclusive bound
 
 
+@pytest.mark.parametrize("slot", [7 * 60_000_000, 600_000_000, 86_400_000_000])
+def test_asof_of_one_hot_asset_in_slots(spark, slot):
+    """One asset holds all rows; null times and keys, days and slots without rows."""
+    rnd = random.Random(3)
+    right = [("A", at(minutes=m, seconds=rnd.randrange(60)), float(m))
+             for m in rnd.sample(range(0, 4320), 900) if not 1500 < m < 3100]
+    left = [("A", at(seconds=rnd.randrange(-9000, 280_000))) for _ in range(700)]
+    left = list(dict.fromkeys(left))
+    L = spark.createDataFrame(left + [("Z", at()), (None, at())],
+                              "asset_symbol string, window_end timestamp_ntz")
+    R = spark.createDataFrame(right + [(None, at(days=-1), 5.0)],
+                              "asset_symbol string, ingested_at timestamp_ntz, v double")
+    got = asof_join(L, R, "asset_symbol", "window_end", "ingested_at", ["v"], slot=slot)
+    res = {(r["asset_symbol"], r["window_end"]): r["v"] for r in got.collect()}
+    assert res == _brute(left, right) | {("Z", at()): None, (None, at()): None}
+
+
+def test_partial_store_folds_replays_and_late_batches(spark, tmp_dir):
+    from tidewatch.operators.vwap import add_partials, vwap_of_partials, window_partials
+    from tidewatch.sources.partials import PartialStore
+    rnd = random.Random(5)
+    rows = [(rnd.choice("AB"), at(seconds=rnd.randrange(3000)), D(rnd.randrange(1, 10**12)).scaleb(-8),
+             D(rnd.randrange(1, 10**18)).scaleb(-8)) for _ in range(300)]
+    schema = ("asset_symbol string, trade_time timestamp_ntz, price decimal(38,8), "
+              "quantity decimal(38,8)")
+    whole = spark.createDataFrame(rows, schema)
+    parts = [window_partials(spark.createDataFrame(rows[i::3], schema)) for i in range(3)]
+    store = PartialStore(spark, f"{tmp_dir}/store", parts[0].schema, add_partials)
+    assert store.rows().count() == 0 and store.folded() == -1
+    assert store.add(2, parts[2]) and store.add(0, parts[0]) and store.add(0, parts[0])
+    store.fold(0)
+    # a fold that died before its number was noted is not seen
+    parts[1].write.parquet(f"{tmp_dir}/store/data/kind=base/number=1")
+    assert not store.add(0, parts[0]) and store.add(1, parts[1])
+    want = sorted(map(tuple, tumbling_vwap(whole, exact_decimal=True).collect()))
+    assert sorted(map(tuple, vwap_of_partials(store.rows()).collect())) == want
+    store.fold(2)
+    assert sorted(map(tuple, vwap_of_partials(store.rows()).collect())) == want
+
+
 # ------------------------------------------------------------------ score
 def test_z_exactly_threshold_is_not_anomaly(spark):
     df = spark.createDataFrame([(13.0, 10.0, 1.0), (13.5, 10.0, 1.0), (None, 1.0, 1.0)],

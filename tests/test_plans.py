@@ -14,7 +14,8 @@ from tidewatch.sources.landing import land_jsonl
 from tidewatch.sources.tables import Layout, create_tables
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"gold_incremental_journal", "gold_stream", "stream_dedup_ttl", "stream_retry_atomic", "hour_partition_filter",
+WRITERS = {"gold_incremental_journal", "gold_stream", "vwap_partials_merged",
+           "stream_dedup_ttl", "stream_retry_atomic", "hour_partition_filter",
            "silver_trades_backfill", "silver_snapshots_backfill", "gold_upsert_job",
            "snapshot_ingest_batch"}
 PURE = sorted(set(Q.QUERIES) - WRITERS)
@@ -95,3 +96,9 @@ def test_merge_scans_target_keys_once_within_the_source_range(spark, tmp_dir, ta
     assert sorted(f.split(":")[0] for f in fields) == sorted(keys)
     assert "LeftSemi" in plan and "LeftAnti" in plan and not _scans(delta, "json")
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_general_asof_is_split_below_the_day(spark):
+    """Raw rows by (key, ten-minute slot), a day's cells by (key, day), days by key."""
+    specs = {re.sub(r"\s", "", s) for s in _window_keys(_plan(E.queries()["asof_baseline"](spark, SF)))}
+    assert {"_by,_s", "_by,_b", "_by"} <= specs

@@ -30,23 +30,51 @@ def tumbling_vwap(trades: DataFrame, by: str = "asset_symbol",
     6 digits; a larger price or quantity fails loudly under ANSI.
     A window with zero total quantity gets a null VWAP (``try_divide``).
     """
-    p, q = F.col(price), F.col(quantity)
-    grouped = trades.groupBy(F.col(by), F.window(F.col(ts), width).alias("w"))
-    count = F.count(F.lit(1)).alias("trade_count")
     if exact_decimal:
-        p, q = p.cast("decimal(18,8)"), q.cast("decimal(27,8)")
-        units = F.floor(q).cast("decimal(19,0)")
-        rest = (q - units).cast("decimal(8,8)")
-        out = grouped.agg(F.sum(p * units).alias("_whole"), F.sum(p * rest).alias("_rest"),
-                          F.sum(q).cast("decimal(38,8)").alias("volume"), count)
-        fine = (F.col("_whole").try_cast("decimal(36,16)")
-                + F.col("_rest").try_cast("decimal(36,16)")).try_cast("decimal(38,16)")
-        coarse = F.col("_whole") + F.col("_rest").cast("decimal(38,8)")
-        vwap = F.when(fine.isNotNull(), F.try_divide(fine, F.col("volume")).cast("decimal(38,8)")) \
-            .otherwise(F.try_divide(coarse, F.col("volume")).cast("decimal(38,8)"))
-    else:
-        out = grouped.agg(F.sum(p * q).alias("_notional"), F.sum(q).alias("volume"), count)
-        vwap = F.try_divide(F.col("_notional"), F.col("volume"))
+        return vwap_of_partials(window_partials(trades, by, ts, price, quantity, width), by)
+    p, q = F.col(price), F.col(quantity)
+    out = trades.groupBy(F.col(by), F.window(F.col(ts), width).alias("w")).agg(
+        F.sum(p * q).alias("_notional"), F.sum(q).alias("volume"),
+        F.count(F.lit(1)).alias("trade_count"))
     return out.select(
         F.col(by), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        vwap.alias("vwap"), "volume", "trade_count")
+        F.try_divide(F.col("_notional"), F.col("volume")).alias("vwap"), "volume", "trade_count")
+
+
+#: Sums that make up an exact VWAP, with the types that they are stored in.
+PARTIALS = {"whole": "decimal(38,8)", "rest": "decimal(37,16)", "volume": "decimal(38,8)",
+            "trade_count": "bigint"}
+
+
+def window_partials(trades: DataFrame, by: str = "asset_symbol", ts: str = "trade_time",
+                    price: str = "price", quantity: str = "quantity",
+                    width: str = WINDOW_WIDTH) -> DataFrame:
+    """Exact sums per (key, window): ``by, window_start, window_end``, then ``PARTIALS``.
+    Partials of disjoint sets of trades add up (:func:`add_partials`)."""
+    p, q = F.col(price).cast("decimal(18,8)"), F.col(quantity).cast("decimal(27,8)")
+    units = F.floor(q).cast("decimal(19,0)")
+    rest = (q - units).cast("decimal(8,8)")
+    out = trades.groupBy(F.col(by), F.window(F.col(ts), width).alias("w")).agg(
+        F.sum(p * units).alias("whole"), F.sum(p * rest).alias("rest"),
+        F.sum(q).alias("volume"), F.count(F.lit(1)).alias("trade_count"))
+    return out.select(F.col(by), F.col("w.start").alias("window_start"),
+                      F.col("w.end").alias("window_end"),
+                      *[F.col(c).cast(t).alias(c) for c, t in PARTIALS.items()])
+
+
+def add_partials(partials: DataFrame, by: str = "asset_symbol") -> DataFrame:
+    """One row per (key, window) from any number of partials of it, in any order:
+    decimal and integer sums, so the order never shows."""
+    return (partials.groupBy(by, "window_start", "window_end")
+            .agg(*[F.sum(c).cast(t).alias(c) for c, t in PARTIALS.items()]))
+
+
+def vwap_of_partials(partials: DataFrame, by: str = "asset_symbol") -> DataFrame:
+    """The columns of :func:`tumbling_vwap` from one partial per (key, window)."""
+    fine = (F.col("whole").try_cast("decimal(36,16)")
+            + F.col("rest").try_cast("decimal(36,16)")).try_cast("decimal(38,16)")
+    coarse = F.col("whole") + F.col("rest").cast("decimal(38,8)")
+    vwap = F.when(fine.isNotNull(), F.try_divide(fine, F.col("volume")).cast("decimal(38,8)")) \
+        .otherwise(F.try_divide(coarse, F.col("volume")).cast("decimal(38,8)"))
+    return partials.select(by, "window_start", "window_end", vwap.alias("vwap"), "volume",
+                           "trade_count")

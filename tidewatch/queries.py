@@ -19,6 +19,7 @@ from tidewatch.operators.baseline import moving_stats
 from tidewatch.operators.score import with_zscore
 from tidewatch.operators.vwap import tumbling_vwap
 from tidewatch.plans import gold as G
+from tidewatch.session import scratch_path
 from tidewatch.sources import testdata as TD
 
 QUERIES: dict = {}
@@ -490,8 +491,10 @@ def vwap_decimal(spark, sf_dir):
     eight-digit prices, tiny quantities and quantities above 1e10; compared to
     the last of the eight digits (as units of 1e-8)."""
     typed = P.type_trades(TD.fine_bronze_trades(_events(spark, sf_dir)))
-    w = tumbling_vwap(typed, exact_decimal=True)
+    return _units_of_1e8(tumbling_vwap(typed, exact_decimal=True))
 
+
+def _units_of_1e8(w: DataFrame) -> DataFrame:
     def units(c: str):
         return F.replace(F.col(c).cast("string"), F.lit("."), F.lit("")).cast(
             "decimal(38,0)").cast("string").alias(f"{c}_e8")
@@ -499,6 +502,26 @@ def vwap_decimal(spark, sf_dir):
     return w.select("asset_symbol", "window_start", units("vwap"), units("volume"), "trade_count")
 
 
+@register("vwap_partials_merged", ORACLES["vwap_decimal"])
+def vwap_partials_merged(spark, sf_dir):
+    """AGG-1..4 incrementally: trades arrive in four batches that share all
+    windows; the first two are folded into a base, the third comes after the
+    fourth and is sent twice, and a late replay of the first adds nothing.  The
+    stored sums give the exact VWAP without a second look at any trade."""
+    from tidewatch.operators.vwap import add_partials, vwap_of_partials, window_partials
+    from tidewatch.sources.partials import PartialStore
+    typed = P.type_trades(TD.fine_bronze_trades(_events(spark, sf_dir)))
+    part = F.pmod("trade_id", F.lit(4))
+    batches = [window_partials(typed.where(part == i)) for i in range(4)]
+    store = PartialStore(spark, scratch_path(spark, "partials"), batches[0].schema, add_partials)
+    for number in (0, 1):
+        store.add(number, batches[number])
+    store.fold(1)
+    for number in (3, 2, 2, 0):
+        store.add(number, batches[number])
+    return _units_of_1e8(vwap_of_partials(store.rows()))
+
+
 # ---------------------------------------------------------------- diagnostic
 @register("window_size_diagnostic", _with(SQL_TRADES) + """,
 sizes AS (SELECT unnest([5, 10, 15, 20]) AS window_minutes),
@@ -550,7 +573,6 @@ def dead_letter_split(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-from tidewatch.session import scratch_path  # noqa: E402
 from tidewatch.sources.bronze import read_bronze_trades  # noqa: E402
 from tidewatch.sources.tables import Layout  # noqa: E402
 from tidewatch.streaming.ingest import read_records, start_ingest  # noqa: E402
