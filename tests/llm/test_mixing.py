@@ -40,6 +40,37 @@ def test_expected_tokens_meet_the_budget(spark, budget):
     assert all(0 <= r.probability <= 1 for r in got)
 
 
+def test_targets_that_cannot_be_met_tell_their_misses(spark):
+    """Source A is all English, source B all German: A's target fixes English."""
+    cells = spark.createDataFrame([("A", "en", "x", 8000), ("B", "de", "x", 2000)],
+                                  "source string, lang string, topic string, tokens long")
+    got = {r.lang: r for r in M.rake(cells).collect()}
+    a = 8000 ** 0.5 / (8000 ** 0.5 + 2000 ** 0.5)
+    en = 8000 ** 0.7 / (8000 ** 0.7 + 2000 ** 0.7)
+    assert got["en"].weight * 8000 / 10000 == pytest.approx(a)  # sources are met
+    assert got["en"].lang_miss == pytest.approx(a - en)
+    assert got["de"].lang_miss == pytest.approx(en - a)
+    assert got["en"].topic_miss == pytest.approx(0, abs=1e-9)
+    df = docs(spark, [(i, "w " * 80, "en", "A") for i in range(100)]
+              + [(100 + i, "w " * 80, "de", "B") for i in range(25)])
+    missed = {r.lang: r.lang_miss for r in M.mix(df).collect()}
+    assert missed == {"en": round(a - en, 6), "de": round(en - a, 6)}
+
+
+def test_slow_targets_are_still_met(spark):
+    """Three sources joined by small cells only: many rounds, and no miss."""
+    cells = spark.createDataFrame([("A", "en", "x", 4000), ("A", "de", "x", 150), ("B", "de", "x", 2000),
+                                   ("B", "fr", "x", 900), ("C", "fr", "x", 5000), ("C", "en", "x", 200)],
+                                  "source string, lang string, topic string, tokens long")
+    got = M.rake(cells).collect()
+    assert all(abs(r.lang_miss) < 1e-9 and abs(r.topic_miss) < 1e-9 for r in got)
+    total = sum(r.tokens for r in got)
+    for lang in ("en", "de", "fr"):
+        share = sum(r.tokens for r in got if r.lang == lang)
+        want = share ** 0.7 / sum(n ** 0.7 for n in (4200, 2150, 5900))
+        assert sum(r.tokens * r.weight for r in got if r.lang == lang) == pytest.approx(total * want)
+
+
 def test_sampled_rows_are_those_marked(spark):
     df = with_clashes(docs(spark, corpus() + [(None, None, None, None), (3, "dup"), (3, "dup")]))
     marked = sorted((r.doc_id or -1) for r in M.mix(df).collect() if r.sampled)

@@ -7,6 +7,12 @@ groups shrink and small ones grow.  Documents are then sampled: a document's
 probability is ``min(1, scale * weight)`` of its cell, and the scale is
 calibrated so that the expected tokens meet the budget.
 
+Targets of three marginals need not be compatible: a source of one language
+only cannot follow both targets.  Raking therefore goes on until the factors
+settle or a round no longer shrinks the largest miss, sources are met last,
+and what the languages and topics still miss is part of the result
+(``lang_miss``, ``topic_miss``: share of the tokens minus target share).
+
 Sources may be unbounded in number, so a source is one distributed row that
 holds its (language, topic) cells; a raking round adjusts all sources row by
 row and needs one small aggregation.  Only the (language, topic) totals reach
@@ -29,8 +35,10 @@ TOPICS = (("license", "(?i)licen[sc]ed? under|all rights reserved|copyright"),
           ("contact", r"\w@\w+\.\w"),
           ("table", r" \| "))
 SEED = "mix-1"
-MAX_PAIRS, MAX_ROUNDS, TOLERANCE = 4096, 60, 1e-11
-CELL = ["source", "lang", "topic"]
+#: Raking ends when no factor changes by more than ``TOLERANCE``, or when a round takes
+#: less than the share ``GAIN`` off the largest miss (the targets cannot all be met).
+MAX_PAIRS, TOLERANCE, GAIN = 4096, 1e-11, 0.01
+CELL, MISSES = ["source", "lang", "topic"], ["lang_miss", "topic_miss"]
 
 
 def topic_of(text: Column, topics=TOPICS) -> Column:
@@ -64,9 +72,12 @@ def _targets(totals: dict, exponent: float) -> dict:
 
 def rake(cells: DataFrame, exponents: dict = EXPONENTS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``: the factor by which
-    a cell's tokens are multiplied so that all three marginals meet their targets.
+    a cell's tokens are multiplied so that all three marginals meet their targets,
+    and with ``lang_miss`` and ``topic_miss``, the share that the cell's language and
+    topic have under these weights minus their target share: zero where the
+    targets are met.  Sources are met always.
 
-    A source, language or topic without any token has factor one.
+    A source, language or topic without any token has factor one and misses nothing.
     """
     spark = cells.sparkSession
     pairs = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).orderBy(
@@ -75,7 +86,8 @@ def rake(cells: DataFrame, exponents: dict = EXPONENTS) -> DataFrame:
         raise ValueError(f"more than {MAX_PAIRS} (language, topic) pairs")
     total = sum(p.tokens for p in pairs)
     if not total:
-        return cells.withColumn("weight", F.lit(1.0))
+        return cells.select("*", F.lit(1.0).alias("weight"), F.lit(0.0).alias("lang_miss"),
+                            F.lit(0.0).alias("topic_miss"))
     goal = {}
     for dim in ("lang", "topic"):
         sums: dict = {}
@@ -99,12 +111,22 @@ def rake(cells: DataFrame, exponents: dict = EXPONENTS) -> DataFrame:
 
     b = dict.fromkeys(goal["lang"], 1.0)
     c = dict.fromkeys(goal["topic"], 1.0)
-    for _ in range(MAX_ROUNDS):
+    misses: list[float] = []
+    while True:
         factors = [b[p.lang] * c[p.topic] for p in pairs]
         rows = (sources.select(source_factor(factors).alias("a"), F.explode("cells").alias("cell"))
                 .groupBy("cell.pair").agg(F.sum(F.col("a") * F.col("cell.tokens")).alias("n"))
                 .collect())
-        seen = {r.pair: r.n for r in rows}
+        seen = {r.pair: r.n for r in rows}  # without the factors of language and topic
+        miss = {dim: dict.fromkeys(goal[dim], 0.0) for dim in goal}
+        for i, p in enumerate(pairs):
+            for dim in miss:
+                miss[dim][p[dim]] += seen.get(i, 0.0) * factors[i] / total
+        miss = {dim: {k: v - goal[dim][k] / total for k, v in its.items()}
+                for dim, its in miss.items()}
+        misses.append(max(abs(v) for its in miss.values() for v in its.values()))
+        if misses[-1] < TOLERANCE or _stalled(misses):
+            break
         change = 0.0
         for dim, mine, other, its in (("lang", b, "topic", c), ("topic", c, "lang", b)):
             now = dict.fromkeys(mine, 0.0)
@@ -116,31 +138,36 @@ def rake(cells: DataFrame, exponents: dict = EXPONENTS) -> DataFrame:
                 mine[k] = new
         if change < TOLERANCE:
             break
-    factors = [b[p.lang] * c[p.topic] for p in pairs]
+    missed = F.broadcast(spark.createDataFrame(  # at most MAX_PAIRS rows
+        [(p.lang, p.topic, i, miss["lang"][p.lang], miss["topic"][p.topic])
+         for i, p in enumerate(pairs)],
+        "lang string, topic string, pair int, lang_miss double, topic_miss double"))
     return (sources.select("source", source_factor(factors).alias("a"),
                            F.explode("cells").alias("cell"))
             .select("source", F.col("cell.pair").alias("pair"), F.col("cell.tokens").alias("tokens"),
                     (F.col("a") * F.get(F.lit(factors), F.col("cell.pair"))).alias("weight"))
-            .join(number, "pair").select(*CELL, "tokens", "weight"))
+            .join(missed, "pair").select(*CELL, "tokens", "weight", "lang_miss", "topic_miss"))
+
+
+def _stalled(misses: list[float], over: int = 10) -> bool:
+    """The last rounds together shrank the largest miss by less than ``GAIN`` a round."""
+    return len(misses) > over and misses[-1] > misses[-1 - over] * (1 - GAIN) ** over
 
 
 def calibrated(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     """``cells`` with ``probability = min(1, scale * weight)``; the scale is raised
     until the expected tokens meet ``budget`` times all tokens (or all cells are at one)."""
     at = F.col("tokens") * F.col("weight")
-    scale, goal = 0.0, None
-    for _ in range(MAX_ROUNDS):
+    scale, before = 0.0, -1
+    while True:  # a round puts at least one more cell at one, so this ends
         capped = F.col("weight") * F.lit(scale) >= 1
         r = cells.agg(F.sum(F.when(capped, F.col("tokens")).otherwise(0)).alias("full"),
                       F.sum(F.when(capped, 0.0).otherwise(at)).alias("part"),
                       F.sum("tokens").alias("all")).first()
         goal = budget * (r["all"] or 0)
-        if not r["part"] or goal <= r["full"]:
-            break
-        new = (goal - r["full"]) / r["part"]
-        if abs(new - scale) <= 1e-12 * new:
+        if not r["part"] or goal <= r["full"] or r["full"] == before:
             break
-        scale = new
+        before, scale = r["full"], (goal - r["full"]) / r["part"]
     if not goal:  # no token at all
         return cells.withColumn("probability", F.lit(1.0))
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
@@ -152,7 +179,8 @@ def cell_probabilities(rows: DataFrame, exponents: dict = EXPONENTS,
     cells = written(rows.groupBy(*CELL).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     raked = written(rake(cells, exponents), "mix-raked")
     return written(calibrated(raked, budget).select(
-        *CELL, F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability")),
+        *CELL, F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"),
+        *[F.when(F.abs(m) >= 5e-7, F.round(m, 6)).otherwise(0.0).alias(m) for m in MISSES]),
         "mix-probabilities")
 
 
@@ -165,8 +193,10 @@ def drawn(doc_id: Column, seed: str = SEED) -> Column:
 def mix(docs: DataFrame, topics=TOPICS, exponents: dict = EXPONENTS, budget: float = BUDGET,
         seed: str = SEED) -> DataFrame:
     """One row per input row: ``doc_id``, its cell, ``n_tokens``, ``weight``,
-    ``probability`` and ``sampled``.
+    ``probability``, ``lang_miss``, ``topic_miss`` and ``sampled``.
 
+    * targets that cannot all be met are met as far as raking comes, the sources
+      exactly; the two misses say what is left (:func:`rake`), 0 where targets are met;
     * a null text has no tokens and topic "prose"; null sources and languages
       are the empty ones;
     * documents are drawn by a hash of ``doc_id``, so repeated rows are drawn
@@ -176,7 +206,7 @@ def mix(docs: DataFrame, topics=TOPICS, exponents: dict = EXPONENTS, budget: flo
     rows = written(features(docs, topics), "mix-features")
     cells = cell_probabilities(rows, exponents, budget)
     return rows.join(cells, CELL).select(
-        "doc_id", *CELL, "n_tokens", "weight", "probability",
+        "doc_id", *CELL, "n_tokens", "weight", "probability", *MISSES,
         (drawn(F.col("doc_id"), seed) < F.col("probability")).alias("sampled"))
 
 
@@ -234,6 +264,10 @@ w AS MATERIALIZED (
   SELECT source, lang, topic, n, s.f * x.f * y.f AS w
   FROM k JOIN f_source_{r} s USING (source) JOIN f_lang_{rounds} x USING (lang)
          JOIN f_topic_{rounds} y USING (topic)),
+m_lang AS (SELECT lang, coalesce((sum(n * w) - any_value(goal)) / nullif(sum(sum(n)) OVER (), 0), 0)
+             AS lang_miss FROM w JOIN g_lang USING (lang) GROUP BY 1),
+m_topic AS (SELECT topic, coalesce((sum(n * w) - any_value(goal)) / nullif(sum(sum(n)) OVER (), 0), 0)
+              AS topic_miss FROM w JOIN g_topic USING (topic) GROUP BY 1),
 s_0 AS (SELECT 0.0::DOUBLE AS s)""")
     for i in range(1, caps + 1):
         steps.append(f"""
@@ -245,8 +279,11 @@ s_{i} AS MATERIALIZED (
     FROM w CROSS JOIN s_{i - 1}))""")
     return "WITH " + ",".join(steps) + f"""
 SELECT doc_id, source, lang, topic, n_tokens, weight, probability,
+       CASE WHEN abs(lang_miss) >= 5e-7 THEN round(lang_miss, 6) ELSE 0 END AS lang_miss,
+       CASE WHEN abs(topic_miss) >= 5e-7 THEN round(topic_miss, 6) ELSE 0 END AS topic_miss,
        ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
          / 4503599627370496 < probability AS sampled
 FROM d JOIN (SELECT source, lang, topic, round(w, 6) AS weight,
                     round(least(1, w * s), 6) AS probability
-             FROM w CROSS JOIN s_{caps}) USING (source, lang, topic)"""
+             FROM w CROSS JOIN s_{caps}) USING (source, lang, topic)
+JOIN m_lang USING (lang) JOIN m_topic USING (topic)"""
