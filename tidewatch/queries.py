@@ -584,7 +584,8 @@ SELECT DISTINCT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
        epoch_us(ts) // 1000 AS trade_time, user_id % 2 = 0 AS is_buyer_maker
 FROM events WHERE event_id % 11 <> 0"""
 
-def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False) -> DataFrame:
+def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False,
+                ordered: bool = False) -> DataFrame:
     """Ingest ``sendings`` (records, arrival time) one after the other, each by
     a run of the same query; the first run may fail once after its good rows
     have landed."""
@@ -602,7 +603,7 @@ def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False) -> DataF
         records = read_records(spark, src, schema=schema).withColumn(
             "arrived_at", F.to_timestamp("arrived_at"))
         start_ingest(spark, records, layout, ckpt, available_now=True, arrival_col="arrived_at",
-                     between_writes=fail,
+                     between_writes=fail, ordered=ordered,
                      state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
 
     for records, arrived_at in sendings:
@@ -614,9 +615,12 @@ def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False) -> DataF
             if len(failed) != 1:
                 raise
             run()
-    landed = read_bronze_trades(spark, layout.bronze_trades)
-    return landed.select("trade_id", "symbol", "price", "quantity", "trade_time",
-                         "is_buyer_maker")
+    return _landed_trades(spark, layout)
+
+
+def _landed_trades(spark, layout) -> DataFrame:
+    return read_bronze_trades(spark, layout.bronze_trades).select(
+        "trade_id", "symbol", "price", "quantity", "trade_time", "is_buyer_maker")
 
 
 @register("stream_dedup_ttl", SQL_LANDED.replace("SELECT DISTINCT", "SELECT") + """
@@ -639,6 +643,37 @@ def stream_dedup_ttl(spark, sf_dir):
         (TD.stream_copy(ev.where(again), 2), "2026-06-10T13:20:00")])
 
 
+@register("stream_first_wins_ordered", ORACLES["stream_dedup_ttl"])
+def stream_first_wins_ordered(spark, sf_dir):
+    """STR-1/2 with a defined winner: one micro-batch holds two differing copies
+    of every trade in different files and the smaller sequence number wins;
+    a repeat one microsecond before six hours is dropped, one at six hours is
+    accepted."""
+    ev = _events(spark, sf_dir)
+    again = ev.where(F.col("event_id") % 10 == 1)
+    return _stream_run(spark, sf_dir, [
+        (TD.stream_copy(ev, 1).unionByName(TD.stream_copy(ev, 0)), "2026-06-10T00:00:00"),
+        (TD.stream_copy(again, 3), "2026-06-10T05:59:59.999999"),
+        (TD.stream_copy(again, 2), "2026-06-10T06:00:00")], ordered=True)
+
+
+@register("stream_record_bounded", SQL_LANDED.replace("FROM events", ", true AS within_bound FROM events"))
+def stream_record_bounded(spark, sf_dir):
+    """SRC-6, STR-6: landed files of any size are cut into files of 500 records
+    and no micro-batch of the ingest holds more."""
+    from tidewatch.streaming.ingest import BATCH_RECORDS, start_split
+    root = scratch_path(spark, "bounded")
+    layout, told = Layout(f"{root}/lake"), []
+    TD.stream_copy(_events(spark, sf_dir), 0).drop("event_id").write.json(f"{root}/source")
+    start_split(spark, f"{root}/source", f"{root}/cut", f"{root}/cut-checkpoint",
+                available_now=True).awaitTermination()
+    start_ingest(spark, f"{root}/cut", layout, f"{root}/checkpoint", max_files_per_trigger=1,
+                 available_now=True, counters=told.append,
+                 state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    bound = max((t["records"] for t in told), default=0) <= BATCH_RECORDS
+    return _landed_trades(spark, layout).withColumn("within_bound", F.lit(bound))
+
+
 @register("stream_retry_atomic", SQL_LANDED)
 def stream_retry_atomic(spark, sf_dir):
     """STR-4: the sink fails after the good rows of the first batch landed and
