@@ -16,7 +16,7 @@ from tidewatch.sources.tables import Layout, create_tables
 SF = "/root/testdata/sf0.001"
 WRITERS = {"gold_incremental_journal", "gold_stream", "vwap_partials_merged",
            "stream_dedup_ttl",
-           "stream_first_wins_ordered", "stream_record_bounded", "stream_retry_atomic", "hour_partition_filter",
+           "rejects_replay", "stream_first_wins_ordered", "stream_record_bounded", "stream_retry_atomic", "hour_partition_filter",
            "silver_trades_backfill", "silver_snapshots_backfill", "gold_upsert_job",
            "snapshot_ingest_batch"}
 PURE = sorted(set(Q.QUERIES) - WRITERS)

@@ -674,6 +674,43 @@ def stream_record_bounded(spark, sf_dir):
     return _landed_trades(spark, layout).withColumn("within_bound", F.lit(bound))
 
 
+@register("rejects_replay", """
+SELECT printf('%012d-0', event_id) AS sequence_number,
+       CASE WHEN event_id % 22 = 0 THEN 'landed' ELSE 'exhausted' END AS outcome,
+       CASE WHEN event_id % 22 = 0 THEN 2 ELSE 3 END AS attempts,
+       CASE WHEN event_id % 22 = 0 THEN 1 ELSE 0 END AS landed_rows,
+       CASE WHEN event_id % 22 = 0 THEN CAST(value AS VARCHAR) END AS price
+FROM events WHERE event_id % 11 = 0""")
+def rejects_replay(spark, sf_dir):
+    """SNK-4: rejected records are tried again.  The first run mends nothing, the
+    second (sent twice) mends every other record, which lands once; the rest
+    runs out of its three attempts, and a fourth run finds nothing to do."""
+    import datetime as dt
+    from tidewatch.sources.reject_replay import outcomes, replay_rejects
+    from tidewatch.sources.rejects import split_bad
+    ev, layout = _events(spark, sf_dir), Layout(scratch_path(spark, "replay"))
+    bad = split_bad(decode_records(TD.stream_copy(ev, 0)))[1].drop("event_id")
+    land_jsonl(bad.withColumn("ingested_at", F.lit("2026-06-10T00:00:00+00:00")),
+               layout.bronze_rejects, "0")
+    better = TD.stream_copy(ev.where(F.col("event_id") % 22 == 0), 0, mended=True).select(
+        "sequence_number", F.col("data").alias("_better"))
+
+    def mend(df: DataFrame) -> DataFrame:
+        return df.join(better, "sequence_number", "left").withColumn(
+            "data", F.coalesce("_better", "data")).drop("_better")
+
+    for run, how in ((1, None), (2, mend), (2, mend), (3, None), (4, mend)):
+        replay_rejects(spark, layout, run, dt.datetime(2026, 6, 10, run), how)
+    last = outcomes(spark, layout).groupBy("sequence_number").agg(
+        F.max_by("outcome", "attempt").alias("outcome"), F.max("attempt").alias("attempts"))
+    landed = read_bronze_trades(spark, layout.bronze_trades).groupBy(
+        F.format_string("%012d-0", F.col("trade_id")).alias("sequence_number")).agg(
+        F.count(F.lit(1)).cast("int").alias("landed_rows"), F.max("price").alias("price"))
+    return last.join(landed, "sequence_number", "left").select(
+        "sequence_number", "outcome", "attempts",
+        F.coalesce("landed_rows", F.lit(0)).alias("landed_rows"), "price")
+
+
 @register("stream_retry_atomic", SQL_LANDED)
 def stream_retry_atomic(spark, sf_dir):
     """STR-4: the sink fails after the good rows of the first batch landed and
