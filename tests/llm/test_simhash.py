@@ -73,6 +73,42 @@ def test_links_connect_what_all_pairs_connect(spark, blocks, tree_nodes):
     assert len(got) < 30 * len(fps)  # links, not all pairs
 
 
+def _agreeing(n, seed=9):
+    """Distinct fingerprints that agree on the 21 lowest bits (two of six blocks)."""
+    rnd = random.Random(seed)
+    out = {rnd.getrandbits(43) << 21 | 12345 for _ in range(n)}
+    return [f - (1 << 64) if f >> 63 else f for f in out]
+
+
+def test_rows_of_a_hot_shard_are_linear(spark):
+    rows_of = [S.dealt(spark.createDataFrame([(f,) for f in _agreeing(n)], "fp long"), 4, 6, 200).count()
+               for n in (10_000, 50_000)]
+    # fourteen choices once each and the hot one by five groups of bits
+    assert rows_of[0] <= 19 * 10_000 and rows_of[1] <= 19 * 50_000
+
+
+def test_links_within_a_hot_shard(spark):
+    rnd = random.Random(1)
+    far = _agreeing(1200)
+    near = []
+    for f in far[:300]:
+        for _ in range(rnd.randint(1, 4)):
+            f ^= 1 << rnd.randrange(21, 63)
+        near.append(f)
+    fps = sorted(set(far + near))
+    got = S.links(spark.createDataFrame([(f,) for f in fps], "fp long"), tree_nodes=50).collect()
+    expected, parent = components(fps, 4), {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in got:
+        assert expected[a] == expected[b]
+        parent[find(a)] = find(b)
+    assert len({find(f) for f in fps}) == len(set(expected.values())) < len(fps)
+
+
 def test_groups_and_edge_cases(spark):
     base = " ".join(f"w{i}" for i in range(300))
     given = [(9, base), (4, base + " tail"), (12, base.upper()), (None, base), (1, None), (2, ""),

@@ -8,10 +8,12 @@
    link is lost.
 3. Each shard is a BK-tree: children are keyed by their Hamming distance to
    the parent, and a probe follows only edges within the radius.  A shard
-   above ``TREE_NODES`` nodes becomes several trees, each sent all probes of
-   the shard, so one task never holds a hot shard.  The trees are routed to
-   the tasks that probe them instead of being broadcast to all, because the
-   set of fingerprints grows with the corpus.
+   above ``TREE_NODES`` nodes is split by the bits outside its blocks
+   (pigeonhole again, five rows per node); what is still larger becomes several
+   trees, and a node probes the trees before its own while they stream by, so
+   one task never holds a hot shard.  The trees are routed to the tasks that
+   probe them instead of being broadcast to all, because the set of
+   fingerprints grows with the corpus.
 4. A tree returns one link per node to its local component, not all pairs;
    the links of all shards go through distributed connected components.
 """
@@ -101,50 +103,111 @@ class BkTree:
             stack += [c for k, c in self.children[at].items() if d - radius <= k <= d + radius]
 
 
-def tree_links(members: list[int], probes: list[int], radius: int) -> Iterator[tuple[int, int]]:
+_ALL = (1 << 64) - 1
+
+
+class TreeLinks:
     """Links that connect whatever lies within the radius: members of one tree
     among themselves, and each probe with every local component it touches."""
-    mask = (1 << 64) - 1
-    tree, root, parts = BkTree(), [], 0
 
-    def find(x: int) -> int:
+    def __init__(self, radius: int):
+        self.radius, self.tree = radius, BkTree()
+        self.members: list[int] = []
+        self.root: list[int] = []
+        self.parts = 0  # local components
+
+    def _find(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
-    for fp in members:
-        mine, seen = fp & mask, set()
-        for hit in tree.near(mine, radius):
-            seen.add(find(hit))
-            if len(seen) == parts:  # it already touches every component of the tree
+    def probe(self, fp: int) -> dict[int, int]:
+        """Local components that ``fp`` touches, each with a member within the radius."""
+        seen: dict[int, int] = {}
+        for hit in self.tree.near(fp & _ALL, self.radius):
+            seen.setdefault(self._find(hit), self.members[hit])
+            if len(seen) == self.parts:  # it already touches every component of the tree
                 break
-        new = tree.add(mine)
-        root.append(new)
-        parts += 1 - len(seen)
+        return seen
+
+    def add(self, fp: int) -> list[int]:
+        """Make ``fp`` a member; returns one linked member per component it joins."""
+        seen = self.probe(fp)
+        new = self.tree.add(fp & _ALL)
+        self.members.append(fp)
+        self.root.append(new)
+        self.parts += 1 - len(seen)
         for r in seen:
-            root[r] = new
-            yield fp, members[r]
-    for fp in probes:
-        seen = set()
-        for hit in tree.near(fp & mask, radius):
-            r = find(hit)
-            if r not in seen:
-                seen.add(r)
-                yield fp, members[hit]
-                if len(seen) == parts:
-                    break
+            self.root[r] = new
+        return [self.members[r] for r in seen]
 
 
-def _shards(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
-    """``shard``, ``fp``: one row per choice of blocks."""
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _choices(radius: int, blocks: int) -> list[tuple[int, list[int]]]:
+    """Per choice of blocks their mask, and masks that part the other bits in
+    ``radius + 1`` groups."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = []
-    for i, chosen in enumerate(combinations(range(blocks), blocks - radius)):
+    out = []
+    for chosen in combinations(range(blocks), blocks - radius):
         mask = sum(((1 << edges[c + 1]) - (1 << edges[c])) for c in chosen)
-        masks.append((i, mask - (1 << 64) if mask >> 63 else mask))
-    keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for i, m in masks]
-    return nodes.select(F.explode(F.array(*keys)).alias("shard"), "fp")
+        free = [bit for bit in range(64) if not mask >> bit & 1]
+        ends = [round(len(free) * i / (radius + 1)) for i in range(radius + 2)]
+        out.append((mask, [sum(1 << bit for bit in free[s:e]) for s, e in zip(ends, ends[1:])]))
+    return out
+
+
+def _shards(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``shard``, ``choice``, ``fp``: one row per choice of blocks."""
+    keys = [F.struct(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")))
+                     .alias("shard"), F.lit(i).alias("choice"))
+            for i, (m, _) in enumerate(_choices(radius, blocks))]
+    return nodes.select(F.explode(F.array(*keys)).alias("at"), "fp").select("at.*", "fp")
+
+
+def _inner(rows: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``shard``, ``fp``: the rows of hot shards by further bits.  Fingerprints of a
+    shard differ in the bits outside its blocks only, so of ``radius + 1`` groups of
+    these, two that are within the radius agree on one."""
+    masks = F.array(*[F.array(*[F.lit(_signed(m)).cast("long") for m in inner])
+                      for _, inner in _choices(radius, blocks)])
+    return (rows.select("shard", "fp", F.posexplode(F.element_at(masks, F.col("choice") + 1))
+                        .alias("group", "mask"))
+            .select(F.xxhash64("shard", "group", F.col("fp").bitwiseAND(F.col("mask"))).alias("shard"),
+                    "fp"))
+
+
+def _sizes(rows: DataFrame, tree_nodes: int, name: str) -> DataFrame:
+    """``shard``, ``trees`` of the shards with more than one row."""
+    counts = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
+    return written(counts.select("shard", F.ceil(F.col("n") / tree_nodes).cast("int")
+                                 .alias("trees")), name)
+
+
+def dealt(nodes: DataFrame, radius: int, blocks: int, tree_nodes: int) -> DataFrame:
+    """``shard``, ``tree``, ``probe``, ``fp``: members and probes of every tree.
+
+    A shard of more than ``tree_nodes`` is split by further bits, which multiplies
+    its rows by ``radius + 1`` only.  What is still larger is several trees, and
+    a fingerprint probes the trees before its own.
+    """
+    rows = written(_shards(nodes, radius, blocks), "shards")
+    sizes = _sizes(rows, tree_nodes, "shard-sizes")
+    out = rows.join(sizes.filter("trees = 1"), "shard").select(
+        "shard", F.lit(0).alias("tree"), F.lit(False).alias("probe"), "fp")
+    hot = sizes.filter("trees > 1")
+    if hot.isEmpty():
+        return out
+    inner = written(_inner(rows.join(hot, "shard"), radius, blocks), "shards-inner")
+    own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
+    return out.union(
+        inner.join(_sizes(inner, tree_nodes, "shard-inner-sizes"), "shard").withColumn("own", own)
+        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("own"))))
+        .select("shard", "tree", F.col("own") != F.col("tree"), "fp"))
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
@@ -155,38 +218,21 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     """
     if not 0 <= radius < blocks <= 16:
         raise ValueError("the radius must be below the number of blocks")
-    rows = written(_shards(nodes, radius, blocks), "shards")
-    sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = written(sizes.select("shard", F.ceil(F.col("n") / tree_nodes).cast("int")
-                                 .alias("trees")), "shard-sizes")
-    own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
-    rows = (rows.join(sizes, "shard").withColumn("own", own)
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-            .select("shard", "tree", (F.col("own") != F.col("tree")).alias("probe"), "fp"))
+    rows = dealt(nodes, radius, blocks, tree_nodes)
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "shard", "tree").sortWithinPartitions("shard", "tree", "probe", "fp")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        at, trees = None, TreeLinks(radius)  # one tree at a time; its probes stream by
         for b in batches:
-            held = b if held is None else pa.concat_batches([held, b])
-            shard, tree = (held.column(i).to_numpy() for i in (0, 1))
-            ends = np.flatnonzero((shard[1:] != shard[:-1]) | (tree[1:] != tree[:-1])) + 1
-            if len(ends):
-                yield emit(held.slice(0, ends[-1]), ends[:-1])
-                held = held.slice(ends[-1])
-        if held is not None and held.num_rows:
-            yield emit(held, np.array([], int))
-
-    def emit(rows_: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
-        probe = rows_.column(2).to_pylist()
-        fp = rows_.column(3).to_pylist()
-        out: list[tuple[int, int]] = []
-        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)]):
-            k = next((i for i in range(s, e) if probe[i]), e)
-            out += tree_links(fp[s:k], fp[k:e], radius)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            out: list[tuple[int, int]] = []
+            for shard, tree, probe, fp in zip(*(c.to_pylist() for c in b.columns)):
+                if at != (shard, tree):
+                    at, trees = (shard, tree), TreeLinks(radius)
+                linked = trees.probe(fp).values() if probe else trees.add(fp)
+                out += [(fp, other) for other in linked]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
