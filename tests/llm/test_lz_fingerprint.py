@@ -61,6 +61,28 @@ def test_ids_beyond_doubles_keep_every_row(spark):
     assert sorted(map(tuple, got), key=str) == expected(given)
 
 
+@pytest.mark.parametrize("hot", [None, 77, (1 << 62) + 1])
+def test_a_hot_id_fills_several_ranges(spark, hot):
+    """A third of the rows under one id: its rows are split by their texts, repeats
+    and shared beginnings included, and the order of the texts is kept."""
+    rnd = random.Random(9)
+    texts = [f"{rnd.randrange(10 ** 6)} words of text " * (i % 4) for i in range(200)]
+    texts += ["one text " * 9] * 40 + ["shared beginning " * 8 + str(i) for i in range(60)]
+    given = [(hot, t) for t in texts] + [(i, f"own {i}") for i in range(300)]
+    given += [((1 << 62) + ((5 + i) << 20), f"far {i}") for i in range(300)]
+    df = docs(spark, given)
+    rows = df.selectExpr("coalesce(doc_id, -9223372036854775807L - 1) as k", "text")
+    _, sizes = Z._cuts(rows, 32)
+    assert list(sizes) == [hot if hot is not None else -(1 << 63)]
+    starts = next(iter(Z._hot_starts(rows, sizes, 32).values()))
+    assert len(starts) >= 8 and starts == sorted(starts)
+    assert {t[:Z.HEAD] for t in texts}.issuperset(starts) and starts[0] == ""
+    got = Z.with_successor(df).collect()
+    assert sorted(map(tuple, got), key=str) == expected(given)
+    held = [sum(1 for _ in p) for p in Z.with_successor(df).select("doc_id").rdd.glom().collect()]
+    assert len(held) == 8 and max(held) <= 2 * len(given) / 8
+
+
 def test_plain_fingerprints_agree(spark):
     df = docs(spark, [(1, "some text"), (2, None), (3, "some text")])
     got = {r.doc_id: r.fingerprint for r in Z.fingerprints(df).collect()}
