@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.time import (
-    MICROS_PER_HOUR, MICROS_PER_MINUTE, micros_to_ntz, ntz_micros,
+    MICROS_PER_HOUR, MICROS_PER_MINUTE, ceil_to_grid_micros, micros_to_ntz, ntz_micros,
 )
 
 FRAME = 6 * MICROS_PER_HOUR
@@ -183,11 +183,29 @@ def moving_stats_sliced(df: DataFrame, by: str = "asset_symbol",
         F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
 
 
+def slot_moments(df: DataFrame, by: str = "asset_symbol", ts: str = "ingested_at",
+                 value: str = "current_price", grid: int = SLOT) -> DataFrame:
+    """Summary of each group ``(slot_end - grid, slot_end]`` of a key: ``newest``
+    time (micros), count ``n`` of the non-null values, their ``mean`` and ``m2``
+    (sum of squared deviations).  Summaries of parts of a group can be merged, so
+    they can be stored (:mod:`tidewatch.sources.moments`)."""
+    t = ntz_micros(ts)
+    rows = (df.where(F.col(by).isNotNull() & F.col(ts).isNotNull())
+            .select(by, t.alias("_t"), ceil_to_grid_micros(t, grid).alias("slot_end"),
+                    F.col(value).cast("double").alias("_v")))
+    return rows.groupBy(by, "slot_end").agg(
+        F.max("_t").alias("newest"),
+        F.count("_v").alias("n"),
+        F.coalesce(F.avg("_v"), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("m2"))
+
+
 def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
                      ts: str = "ingested_at", value: str = "current_price",
                      frame: int = FRAME, grid: int = SLOT,
                      point_col: str = "grid_point", mean_col: str = "baseline_mean",
-                     std_col: str = "baseline_stddev") -> DataFrame:
+                     std_col: str = "baseline_stddev", moments: DataFrame | None = None,
+                     points: DataFrame | None = None) -> DataFrame:
     """Moving stats at the newest row of each grid group only.
 
     Group ``e`` holds the rows with ``ts`` in ``(e - grid, e]`` (``e`` on the
@@ -199,22 +217,25 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
     equi-join with one probe per (key, group) and a partial aggregate;
     everything else is a partially aggregated group summary.  Output: one row per (key, group) with
     ``point_col`` (TIMESTAMP_NTZ of ``e``) and the frame's mean and stddev.
+
+    ``moments``: the group summaries (:func:`slot_moments`), when they are stored;
+    then ``df`` need only hold the rows of the low edges.  ``points``
+    (key, ``slot_end``): only these groups are scored.
     """
     if frame % grid:
         raise ValueError("frame must be a whole number of grid steps")
     m = frame // grid
     t = ntz_micros(ts)
-    e = (-F.floor(-t / F.lit(grid))).cast("long") * F.lit(grid)
     rows = (df.where(F.col(by).isNotNull() & F.col(ts).isNotNull())
-            .select(F.col(by).alias("_by"), t.alias("_t"), e.alias("_e"),
+            .select(F.col(by).alias("_by"), t.alias("_t"), ceil_to_grid_micros(t, grid).alias("_e"),
                     F.col(value).cast("double").alias("_v")))
 
     # own group, whole (its newest row is the one scored)
-    groups = rows.groupBy("_by", "_e").agg(
-        F.max("_t").alias("_tp"),
-        F.count("_v").alias("_own_n"),
-        F.coalesce(F.avg("_v"), F.lit(0.0)).alias("_own_mean"),
-        F.coalesce(F.var_pop("_v") * F.count("_v"), F.lit(0.0)).alias("_own_m2"))
+    if moments is None:
+        moments = slot_moments(df, by, ts, value, grid)
+    groups = moments.select(
+        F.col(by).alias("_by"), F.col("slot_end").alias("_e"), F.col("newest").alias("_tp"),
+        F.col("n").alias("_own_n"), F.col("mean").alias("_own_mean"), F.col("m2").alias("_own_m2"))
 
     # the m-1 groups before, pooled; per (key, day) with a halo of m-1 groups
     groups = _day_buckets(groups, "_e", (m - 1) * grid)
@@ -235,6 +256,10 @@ def baseline_at_grid(df: DataFrame, by: str = "asset_symbol",
         F.coalesce(F.col("_w2") + F.expr(_SPREAD.format(m="try_divide(_s, CAST(_mid_n AS DOUBLE))")),
                    F.lit(0.0)).alias("_mid_m2"))
 
+    if points is not None:
+        pooled = pooled.join(points.select(F.col(by).alias("_by"), F.col("slot_end").alias("_e")),
+                             ["_by", "_e"], "left_semi")
+
     # low edge: rows of group e - frame with ts >= t_p - frame.  Each group
     # receives exactly one probe, so this is an equi-join on (key, group) plus
     # a filter and a partial aggregate — no window and no sort.  The probe

@@ -42,7 +42,9 @@ def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
                           baseline_form: str = "grid",
                           asof_form: str = "bucketed",
                           exact_decimal: bool = False,
-                          window_minutes: int = WINDOW_MINUTES) -> DataFrame:
+                          window_minutes: int = WINDOW_MINUTES,
+                          moments: DataFrame | None = None,
+                          points: DataFrame | None = None) -> DataFrame:
     """VWAP windows with the baseline of the newest snapshot at or before the
     window end.
 
@@ -50,15 +52,15 @@ def windows_with_baseline(trades: DataFrame, snapshots: DataFrame,
     newest snapshot of each window-end grid group
     (:func:`~tidewatch.operators.baseline.baseline_at_grid`); the as-of join
     then runs between two tables of at most assets x grid points rows,
-    carried forward per (asset, day).  Other forms compute a baseline for
-    every snapshot first.
+    carried forward per (asset, day).  ``moments`` and ``points`` are those of
+    ``baseline_at_grid``.  Other forms compute a baseline for every snapshot first.
     """
     w = tumbling_vwap(trades, width=f"{window_minutes} minutes",
                       exact_decimal=exact_decimal)
     if baseline_form == "grid":
         b = baseline_at_grid(
             snapshots.select("asset_symbol", "ingested_at", "current_price"),
-            grid=window_minutes * MICROS_PER_MINUTE)
+            grid=window_minutes * MICROS_PER_MINUTE, moments=moments, points=points)
         # already one row per (asset, grid point): no further reduction
         return asof_join(w, b, by="asset_symbol", left_ts="window_end",
                          right_ts="grid_point",
@@ -177,7 +179,7 @@ def changed_windows(trade_lows: DataFrame, slot: int, window_minutes: int = WIND
 
 def score_changed(trades: DataFrame, snapshots: DataFrame, windows: DataFrame, cuts: DataFrame,
                   newest: DataFrame, window_minutes: int = WINDOW_MINUTES, frame: int = FRAME,
-                  **kw) -> DataFrame:
+                  moments: DataFrame | None = None, **kw) -> DataFrame:
     """Exactly the rows of :func:`score_windows` for ``windows``
     (:func:`changed_windows`) and for all windows of an asset from its ``cut`` on
     (:func:`rescoring_cuts` of new snapshots), reading only what they depend on.
@@ -189,7 +191,11 @@ def score_changed(trades: DataFrame, snapshots: DataFrame, windows: DataFrame, c
     day's last one at or before the asset's first window end, or the beginning of
     that window end's day.  ``newest`` may lack snapshots that lie less than a
     window before the first window end or after it (of a merge that is not
-    closed): those are read anyway."""
+    closed): those are read anyway.
+
+    With ``moments`` (stored group summaries, :mod:`tidewatch.sources.moments`; their
+    groups must be the windows' grid), only the groups at the low edges of the frames
+    are read of the snapshots; when no snapshot is new, only those of the picked ones."""
     grid = window_minutes * MICROS_PER_MINUTE
     windows = windows.select(F.col("asset_symbol").alias("_a"), F.col("window_end").alias("_e"))
     cuts = cuts.select(F.col("asset_symbol").alias("_a"), F.col("cut").alias("_cut"))
@@ -228,6 +234,27 @@ def score_changed(trades: DataFrame, snapshots: DataFrame, windows: DataFrame, c
         .where(F.col("_hit").isNotNull() | (t >= F.col("_cut") - grid))
         .select(*trades.columns))
     s = ntz_micros("ingested_at")
+    if moments is not None:
+        end = F.col("slot_end")
+        moments = (moments.where(end > bounds[1])
+                   .join(spans, F.col("asset_symbol") == F.col("_a"))
+                   .where((end > F.col("_low")) & (end <= F.col("_last"))))
+        if bounds[2] == _LAST:  # new snapshots: every group from the first pick on
+            points = moments.where(end >= F.col("_low") + frame + grid)
+        else:  # only what the windows pick
+            points = asof_join(
+                windows.select(F.col("_a").alias("asset_symbol"),
+                               micros_to_ntz(F.col("_e")).alias("window_end")),
+                moments.select("asset_symbol", "slot_end", micros_to_ntz(end).alias("_at")),
+                by="asset_symbol", left_ts="window_end", right_ts="_at", payload=["slot_end"],
+            ).where("slot_end is not null")
+        moments = moments.drop(*spans.columns)
+        points = points.select("asset_symbol", "slot_end").distinct()
+        low, high = points.agg(F.min("slot_end"), F.max("slot_end")).first()  # two numbers
+        low, high = (bounds[1], bounds[1]) if low is None else (low - frame - grid, high - frame)
+        some_snapshots = low_edges(snapshots, low, high)
+        return score_windows(some_trades, some_snapshots, window_minutes=window_minutes,
+                             moments=moments, points=points, **kw)
     some_snapshots = within(snapshots, "ingested_at", bounds[1])
     if "part_day" in snapshots.columns:  # the day of ingested_at: whole folders are skipped
         some_snapshots = some_snapshots.where(
@@ -241,6 +268,15 @@ def score_changed(trades: DataFrame, snapshots: DataFrame, windows: DataFrame, c
     return score_windows(some_trades, some_snapshots, window_minutes=window_minutes, **kw)
 
 
+def low_edges(snapshots: DataFrame, low: int, high: int) -> DataFrame:
+    """Snapshots in ``(low, high]`` (micros), by literal bounds on time and day."""
+    first, last = micros_to_ntz(F.lit(low)), micros_to_ntz(F.lit(high))
+    out = snapshots.where((F.col("ingested_at") > first) & (F.col("ingested_at") <= last))
+    if "part_day" in snapshots.columns:
+        out = out.where((F.col("part_day") >= F.to_date(first)) & (F.col("part_day") <= F.to_date(last)))
+    return out
+
+
 def typed_gold(scored: DataFrame) -> DataFrame:
     """Gold table types: money as DECIMAL(38,8), z as DECIMAL(18,8).  The flag
     is computed from the unrounded double z; a |z| too large for
@@ -270,10 +306,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def gold_source(spark, layout, incremental: bool = False, window_minutes: int = WINDOW_MINUTES,
-                **kw) -> DataFrame:
+                moments: bool = False, **kw) -> DataFrame:
     """The typed gold rows of one run (pure plan): all windows, or the
     ``incremental`` ones that unconsumed notes of the journal touch, however old
-    the merged rows are (:func:`score_changed`)."""
+    the merged rows are (:func:`score_changed`), with stored ``moments`` if asked for."""
     from tidewatch.plans import silver as SV
     from tidewatch.sources import journal
     from tidewatch.sources.tables import add_day
@@ -285,20 +321,25 @@ def gold_source(spark, layout, incremental: bool = False, window_minutes: int =
     else:
         trade_lows = journal.lows_of(spark, layout, "silver_trades")
         snapshot_lows = journal.lows_of(spark, layout, "silver_snapshots")
-        scored = score_lows(spark, layout, trade_lows, snapshot_lows, **kw)
+        scored = score_lows(spark, layout, trade_lows, snapshot_lows, moments=moments, **kw)
     return add_day(typed_gold(scored), "window_start")
 
 
 def score_lows(spark, layout, trade_lows: DataFrame, snapshot_lows: DataFrame,
-               window_minutes: int = WINDOW_MINUTES, **kw) -> DataFrame:
+               window_minutes: int = WINDOW_MINUTES, moments: bool = False, **kw) -> DataFrame:
     """The windows that new silver rows touch (:func:`silver.trade_changes`,
-    :func:`silver.snapshot_changes`), scored from the silver tables."""
+    :func:`silver.snapshot_changes`), scored from the silver tables, with the stored
+    slot moments if asked for (ten-minute windows only, as their groups are)."""
     from tidewatch.plans import silver as SV
+    from tidewatch.sources import moments as stored
+    if moments and (window_minutes * MICROS_PER_MINUTE != SLOT or not stored.exists(spark, layout)):
+        raise ValueError("slot moments are not stored for these windows; see sources/moments.py: start")
     return score_changed(
         SV.silver_trades_for_gold(spark, layout), SV.silver_snapshots_for_gold(spark, layout),
         changed_windows(trade_lows, SV.SLOT, window_minutes),
         rescoring_cuts(trade_lows.where(F.lit(False)), snapshot_lows, window_minutes),
-        SV.read_newest(spark, layout), window_minutes, **kw)
+        SV.read_newest(spark, layout), window_minutes,
+        moments=stored.read(spark, layout) if moments else None, **kw)
 
 
 def run_gold(spark, layout, staging: str, incremental: bool = False, **kw) -> dict:

@@ -18,7 +18,7 @@ from tidewatch.operators.dedupe import dedupe_first
 from tidewatch.operators.merge import rows_to_insert, within_key_range
 from tidewatch.operators.projections import quarantine_trades, type_snapshots, type_trades
 from tidewatch.session import scratch_path
-from tidewatch.sources import journal
+from tidewatch.sources import journal, moments
 from tidewatch.sources.bronze import read_bronze_snapshots, read_bronze_trades, where_hours
 from tidewatch.sources.tables import DAY, Layout, add_day, append_day_partitioned, read_table
 
@@ -109,8 +109,14 @@ def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, k
         inserted = append_day_partitioned(delta, getattr(layout, table), "ingested_at")
         tell("appended")
     if table == "silver_snapshots":
+        kept = moments.exists(spark, layout)
         if inserted:
             note_newest(layout, delta)
+            if kept:
+                moments.add(spark, layout, own[0], delta)
+        if left and kept:
+            moments.renew(spark, layout, max(left + own),
+                          journal.lows_of(spark, layout, table, left))
         if left:  # what dead merges may have appended without saying so
             lows = journal.lows_of(spark, layout, table, left).groupBy("asset_symbol").agg(
                 F.min("low").alias("_low"))
@@ -121,6 +127,8 @@ def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, k
                 note_newest(layout, rows.where("ingested_at >= _low").select(
                     "asset_symbol", "ingested_at"))
     journal.close_notes(spark, layout, table, left + own)
+    if own and table == "silver_snapshots" and kept:
+        moments.fold(spark, layout, own[0])
     tell("closed")
     return inserted
 

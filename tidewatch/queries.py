@@ -877,6 +877,18 @@ def gold_incremental_journal(spark, sf_dir):
     trade and every fourth snapshot come late, all over history: the merge of
     those trades dies after its append (gold runs before and after the rerun),
     and a gold run falls into the middle of the merge of the snapshots."""
+    return _gold_after_late_rows(spark, sf_dir)
+
+
+@register("gold_incremental_moments", SQL_GOLD_LATE_TYPED)
+def gold_incremental_moments(spark, sf_dir):
+    """WIN-1/2 stored: the same runs with the slot moments that the snapshot merge
+    keeps; the gold run inside that merge does not trust the open note's groups."""
+    return _gold_after_late_rows(spark, sf_dir, moments=True)
+
+
+def _gold_after_late_rows(spark, sf_dir, moments: bool = False) -> DataFrame:
+    from tidewatch.sources.moments import start
     from tidewatch.sources.tables import read_anomalies
     root = scratch_path(spark, "journal")
     layout = Layout(f"{root}/lake")
@@ -892,7 +904,8 @@ def gold_incremental_journal(spark, sf_dir):
                 land_jsonl(df.drop("year", "month", "day", "hour"), path, f"landing-{hour}", stamp)
 
     def gold(incremental: bool = True) -> None:
-        G.run_gold(spark, layout, f"{root}/staging-{next(runs)}", incremental)
+        G.run_gold(spark, layout, f"{root}/staging-{next(runs)}", incremental,
+                   moments=moments and incremental)
 
     def dies(step: str) -> None:
         if step == "appended":
@@ -901,6 +914,8 @@ def gold_incremental_journal(spark, sf_dir):
     land(TD.bronze_trades(ev.where(~late_trade)), TD.bronze_snapshots(ev.where(~late_snap)), 14)
     SV.run_silver_trades(spark, layout)
     SV.run_silver_snapshots(spark, layout)
+    if moments:
+        start(spark, layout)
     gold(incremental=False)
     land(TD.bronze_trades(ev.where(late_trade)), None, 15)
     try:
@@ -914,6 +929,43 @@ def gold_incremental_journal(spark, sf_dir):
     return _gold_text(read_anomalies(spark, layout))
 
 
+@register("baseline_stored_moments", _with(SQL_SNAPS, SQL_BASELINE) + """
+SELECT asset_symbol, grid_point, round(b.m, 6) AS baseline_mean, round(b.s, 6) AS baseline_stddev
+FROM (SELECT asset_symbol,
+             make_timestamp(CAST(ceil(epoch_us(ingested_at) / 600000000.0) AS BIGINT) * 600000000)
+               AS grid_point,
+             arg_max({'m': baseline_mean, 's': baseline_stddev}, ingested_at) AS b
+      FROM baseline GROUP BY 1, 2)""")
+def baseline_stored_moments(spark, sf_dir):
+    """WIN-1/2 from stored slot moments: the moving baseline at the newest snapshot
+    of every ten minutes.  Snapshots come in four parts that share all groups: one
+    is the first state, one is merged and sent again, one dies before its moments
+    are stored and its groups are computed anew, one comes after that."""
+    from tidewatch.operators.baseline import baseline_at_grid
+    from tidewatch.sources import journal, moments
+    from tidewatch.sources.tables import append_day_partitioned
+    layout = Layout(scratch_path(spark, "moments"))
+    create_tables(spark, layout)
+    typed = TD.snapshots(_events(spark, sf_dir)).withColumn(
+        "current_price", F.col("current_price").cast("decimal(38,8)"))
+    ticket = F.pmod(F.xxhash64("asset_symbol", "ingested_at", "current_price"), F.lit(4))
+    for part in range(4):
+        rows = typed.where(ticket == part)
+        seq = journal.open_note(spark, layout, "silver_snapshots", SV.snapshot_changes(rows))
+        append_day_partitioned(rows, layout.silver_snapshots, "ingested_at")
+        if part == 0:
+            moments.start(spark, layout)
+        elif part == 2:
+            moments.renew(spark, layout, seq, journal.lows_of(spark, layout, "silver_snapshots", [seq]))
+        else:
+            for _ in range(2):
+                moments.add(spark, layout, seq, rows)
+        journal.close_notes(spark, layout, "silver_snapshots", [seq])
+    moments.store(spark, layout).fold(2 * seq - 1)  # without the last part
+    return G.rounded(baseline_at_grid(read_table(spark, layout, "silver_snapshots"),
+                                      moments=moments.read(spark, layout)))
+
+
 @register("gold_stream", SQL_GOLD_TYPED)
 def gold_stream(spark, sf_dir):
     """JOB-6, JON-5 as a stream over silver (``streaming/gold.py``): three

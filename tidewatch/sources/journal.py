@@ -60,11 +60,15 @@ def _folder(layout, table: str, seq: int, phase: str) -> str:
     return f"{layout.silver_changes}/source={table}/seq={seq}/phase={phase}"
 
 
+def last_number(spark: SparkSession, layout, table: str) -> int:
+    return max([consumed(spark, layout).get(table, 0)]
+               + [n for t, n, _ in _states(spark, layout) if t == table])
+
+
 def open_note(spark: SparkSession, layout, table: str, lows: DataFrame) -> int:
     """Note that a merge is about to bring rows (``asset_symbol``, ``low``) into
     ``table``; fails if another merge has taken the number."""
-    seq = max([consumed(spark, layout).get(table, 0)]
-              + [n for t, n, _ in _states(spark, layout) if t == table]) + 1
+    seq = last_number(spark, layout, table) + 1
     rows = lows.select("asset_symbol", "low").union(
         spark.createDataFrame([(None, None)], T.StructType(_LOWS)))  # a note has a row at least
     rows.coalesce(1).write.mode("errorifexists").parquet(_folder(layout, table, seq, OPEN))
