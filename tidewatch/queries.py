@@ -966,6 +966,33 @@ def baseline_stored_moments(spark, sf_dir):
                                       moments=moments.read(spark, layout)))
 
 
+@register("bronze_compaction", """
+SELECT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol, CAST(value AS VARCHAR) AS price,
+       '14' AS hour FROM events""")
+def bronze_compaction(spark, sf_dir):
+    """SNK-1: an hour landed in four batches is compacted after three of them; one
+    of these is landed again (and adds nothing), the fourth comes late, the hour is
+    compacted again and what it replaced is deleted."""
+    from tidewatch.sources.compaction import compact_hour, purge
+    path = scratch_path(spark, "compaction")
+    trades = TD.bronze_trades(_events(spark, sf_dir)).drop("year", "month", "day", "hour")
+    hour = {"year": "2026", "month": "06", "day": "10", "hour": "14"}
+
+    def land(part: int) -> None:
+        land_jsonl(trades.where(F.pmod("trade_id", F.lit(4)) == part), path, f"batch-{part}",
+                   F.lit("2026-06-10T14:05:00+00:00"), files=2)
+
+    for part in (0, 1, 2):
+        land(part)
+    compact_hour(spark, path, hour)
+    for part in (1, 3):
+        land(part)
+    compact_hour(spark, path, hour)
+    purge(spark, path, hour)
+    land(2)
+    return read_bronze_trades(spark, path).select("trade_id", "symbol", "price", "hour")
+
+
 @register("gold_stream", SQL_GOLD_TYPED)
 def gold_stream(spark, sf_dir):
     """JOB-6, JON-5 as a stream over silver (``streaming/gold.py``): three
