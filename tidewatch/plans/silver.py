@@ -46,7 +46,7 @@ def snapshot_source(spark: SparkSession, layout: Layout, hours=None,
 def silver_delta(spark: SparkSession, layout: Layout, table: str, source: DataFrame,
                  keys: list[str]) -> DataFrame:
     """Rows of a staged ``source`` that the merge into ``table`` inserts: one
-    scan of the target's keys, bounded by the source's key range."""
+    scan of the target's keys, bounded by the source's key ranges."""
     target = within_key_range(read_table(spark, layout, table), source, keys[-1])
     return rows_to_insert(target, source, keys)
 
@@ -106,7 +106,7 @@ def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, k
     if not delta.isEmpty():
         own = [journal.open_note(spark, layout, table, changes(delta))]
         tell("noted")
-        inserted = append_day_partitioned(delta, getattr(layout, table), "ingested_at")
+        inserted = append_day_partitioned(delta, getattr(layout, table), "ingested_at", keys[-1])
         tell("appended")
     if table == "silver_snapshots":
         kept = moments.exists(spark, layout)
