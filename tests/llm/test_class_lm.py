@@ -121,3 +121,44 @@ def test_nothing_to_learn(spark):
     only_held = [(i, "a b") for i in range(200) if held(i)][:5]
     got = L.score_documents(docs(spark, only_held)).collect()
     assert len(got) == 5 and all(r.base_score == 0 and abs(r.score) < 1e-9 for r in got)
+
+
+def test_scores_equal_a_plain_model_with_the_same_classes(spark):
+    """Counts, class pairs, transitions, emissions and the mixture from plain dictionaries
+    over the texts; only the class of a word is taken from the trained model."""
+    given = corpus(60) + [(901, ""), (902, "never an1 seen zu2 before"), (903, "an1 " * 500),
+                          (904, "an3 zu4"), (904, "an3 zu4"), (905, None), (906, "unseen words only")]
+    df = docs(spark, given)
+    blocks = L.blocks_of(df, 400)
+    n = sum(r.n_train for r in blocks.collect())
+    replies = L.corpus_counts(blocks, 3, n)
+    m = L.train(blocks, replies, n, classes=4)
+    tokens = [(i, brute_tokens(t)) for i, t in given]
+    words = sorted({w for _, ws in tokens for w in ws})
+    cls = dict(zip(words, m.unit_of([w.encode() for w in words]).tolist()))
+    assert len(set(cls.values())) == 4
+    count, pairs = Counter(), Counter()
+    for i, ws in tokens:
+        if not held(i):
+            count.update(ws)
+            pairs.update((cls[a], cls[b]) for a, b in zip(["", *ws], ws))
+    total = sum(count.values())
+    mass = {k: sum(c for w, c in count.items() if cls[w] == k)
+            + 0.5 * (1 + sum(cls[w] == k for w in count)) for k in range(4)}
+
+    def move(a, b):
+        return (pairs[a, b] + 0.5) / (sum(pairs[a, k] for k in range(4)) + 0.5 * 4)
+
+    def log_p(ws):
+        out = 0.0
+        for prev, w in zip(["", *ws], ws):
+            a = cls[prev]
+            by_class = (move(a, cls[w]) * (count[w] + 0.5) / mass[cls[w]] if count[w]
+                        else sum(move(a, k) * 0.5 / mass[k] for k in range(4)))
+            plain = (count[w] + 0.5) / (total + 0.5 * (len(count) + 1))
+            out += math.log10(0.9 * by_class + 0.1 * plain)
+        return out
+    got = L.score_blocks(blocks, replies, m, 3).collect()
+    assert any(held(i) and "" not in ws[:-1] for i, ws in tokens)
+    assert sorted((r.doc_id, round(r.score, 7)) for r in got) == sorted(
+        (i, round(log_p(ws), 7)) for i, ws in tokens)
