@@ -14,7 +14,7 @@ from tidewatch.sources.landing import land_jsonl
 from tidewatch.sources.tables import Layout, create_tables
 
 SF = "/root/testdata/sf0.001"
-WRITERS = {"gold_incremental_journal", "gold_incremental_moments", "baseline_stored_moments", "bronze_compaction", "gold_stream", "vwap_partials_merged",
+WRITERS = {"gold_incremental_journal", "gold_incremental_moments", "baseline_stored_moments", "bronze_compaction", "stream_batch_counters", "gold_stream", "vwap_partials_merged",
            "stream_dedup_ttl",
            "rejects_replay", "stream_first_wins_ordered", "stream_record_bounded", "stream_retry_atomic", "hour_partition_filter",
            "silver_trades_backfill", "silver_snapshots_backfill", "gold_upsert_job",

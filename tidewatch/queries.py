@@ -575,7 +575,7 @@ def dead_letter_split(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 from tidewatch.sources.bronze import read_bronze_trades  # noqa: E402
 from tidewatch.sources.tables import Layout  # noqa: E402
-from tidewatch.streaming.ingest import read_records, start_ingest  # noqa: E402
+from tidewatch.streaming.ingest import read_records, start_ingest, stored_counters  # noqa: E402
 
 SQL_LANDED = """
 SELECT DISTINCT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
@@ -585,10 +585,10 @@ SELECT DISTINCT event_id AS trade_id, upper(event_type) || 'USDT' AS symbol,
 FROM events WHERE event_id % 11 <> 0"""
 
 def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False,
-                ordered: bool = False) -> DataFrame:
+                ordered: bool = False, counters: bool = False) -> DataFrame:
     """Ingest ``sendings`` (records, arrival time) one after the other, each by
     a run of the same query; the first run may fail once after its good rows
-    have landed."""
+    have landed.  Returns what has landed, or the stored batch counters."""
     root = scratch_path(spark, "stream")
     src, layout, ckpt = f"{root}/source", Layout(f"{root}/lake"), f"{root}/checkpoint"
     schema = T.StructType(S.STREAM_RECORD.fields + [T.StructField("arrived_at", T.StringType())])
@@ -604,6 +604,7 @@ def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False,
             "arrived_at", F.to_timestamp("arrived_at"))
         start_ingest(spark, records, layout, ckpt, available_now=True, arrival_col="arrived_at",
                      between_writes=fail, ordered=ordered,
+                     counters=stored_counters(spark, f"{root}/counters") if counters else None,
                      state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
 
     for records, arrived_at in sendings:
@@ -615,6 +616,9 @@ def _stream_run(spark, sf_dir, sendings: list, fail_once: bool = False,
             if len(failed) != 1:
                 raise
             run()
+    if counters:
+        return spark.read.schema("batch long, records long, rejected long, landed boolean, "
+                                 "error string").json(f"{root}/counters")
     return _landed_trades(spark, layout)
 
 
@@ -643,6 +647,29 @@ def stream_dedup_ttl(spark, sf_dir):
         (TD.stream_copy(ev.where(again), 2), "2026-06-10T13:20:00")])
 
 
+def _sql_counted(sending: int, rows: str, landed: bool) -> str:
+    return f"""
+SELECT {sending} AS sending, {landed} AS landed, {not landed} AS failed, count(*) AS records,
+       count(*) FILTER (event_id % 11 = 0) AS rejected FROM events WHERE {rows}"""
+
+
+@register("stream_batch_counters", " UNION ALL ".join([
+    _sql_counted(1, "event_id % 5 < 3", False), _sql_counted(1, "event_id % 5 < 3", True),
+    _sql_counted(2, "event_id % 5 >= 3", True)]))
+def stream_batch_counters(spark, sf_dir):
+    """AGG-6, SNK-3: stored counters of every attempt of a batch.  The first sending
+    fails after part of its write and is replayed; the second holds all records, and
+    those of the first are dropped before they are counted."""
+    ev = _events(spark, sf_dir)
+    told = _stream_run(spark, sf_dir, [
+        (TD.stream_copy(ev.where(F.col("event_id") % 5 < 3), 0), "2026-06-10T00:00:00"),
+        (TD.stream_copy(ev, 0), "2026-06-10T01:00:00")], fail_once=True, counters=True)
+    first = told.agg(F.min("batch")).first()[0]  # one number
+    return told.select(
+        F.when(F.col("batch") == first, 1).otherwise(2).alias("sending"), "landed",
+        F.col("error").isNotNull().alias("failed"), "records", "rejected")
+
+
 @register("stream_first_wins_ordered", ORACLES["stream_dedup_ttl"])
 def stream_first_wins_ordered(spark, sf_dir):
     """STR-1/2 with a defined winner: one micro-batch holds two differing copies
