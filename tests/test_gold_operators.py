@@ -1,4 +1,5 @@
 """VWAP windows, moving baseline forms, as-of join forms, scoring."""
+import re
 import datetime as dt
 import decimal
 import math
@@ -296,3 +297,14 @@ def test_grid_gold_matches_reference_shape_on_adversarial_data(spark, seed):
             for c in ("baseline_mean", "baseline_stddev", "z_score"):
                 assert r[c] == pytest.approx(ref[k][c], rel=1e-9, abs=1e-9), (kw, k, c)
             assert r["is_anomaly"] == ref[k]["is_anomaly"]
+
+
+def test_halo_windows_are_running(spark):
+    """No frame slides (its buffer is aggregated again for every row), one shuffle."""
+    from tidewatch.operators.baseline import moving_stats_halo
+    s = spark.createDataFrame([("a", dt.datetime(2026, 1, 1), 1.0)],
+                              "asset_symbol string, ingested_at timestamp_ntz, current_price double")
+    plan = moving_stats_halo(s)._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ([^)]+)\)", plan)
+    assert frames and {f[1] for f in frames} == {"unboundedpreceding$()"}
+    assert plan.count("Exchange") == 1

@@ -11,8 +11,12 @@ Three physical forms with identical results:
 ``moving_stats_halo``
     Rows are bucketed by (asset, bucket of ``bucket`` micros); each row is also
     copied into the following bucket(s) whose start lies within the frame, so
-    every bucket holds its full look-back.  One window per (asset, bucket);
-    copies are dropped after.  Work per task is one bucket plus its halo.
+    every bucket holds its full look-back.  One shuffle, by (asset, bucket);
+    copies are dropped after.  Inside a bucket time is cut into blocks as long
+    as the frame: the frame of a row at ``t`` is the rows of its own block up to
+    ``t`` (prefix) and those of the block before from ``t - frame`` on (suffix,
+    through a probe at that time).  Both are running windows over sorted rows,
+    merged as below, so work per task is linear in one bucket plus its halo.
 
 ``moving_stats_sliced`` (used by the gold plan)
     The frame of a row at ``t`` in slot ``k`` (slot width ``w``, frame ``m*w``)
@@ -58,18 +62,38 @@ def moving_stats_halo(df: DataFrame, by: str = "asset_symbol",
                       frame: int = FRAME, bucket: int = HALO_BUCKET,
                       mean_col: str = "baseline_mean",
                       std_col: str = "baseline_stddev") -> DataFrame:
+    cols = df.columns
     t = ntz_micros(ts)
     home = F.floor(t / F.lit(bucket)).cast("long")
     # buckets b > home whose start b*bucket lies within `frame` after t
     last = F.floor((t + F.lit(frame)) / F.lit(bucket)).cast("long")
     tagged = df.select("*", t.alias("_t"), home.alias("_home"),
+                       F.floor(t / F.lit(frame)).cast("long").alias("_k"),
+                       F.col(value).cast("double").alias("_v"),
                        F.sequence(home, F.greatest(home, last)).alias("_bks"))
-    copies = tagged.select("*", F.explode("_bks").alias("_bk")).drop("_bks")
-    w = (Window.partitionBy(by, "_bk").orderBy("_t")
-         .rangeBetween(-frame, Window.currentRow))
-    out = copies.select("*", F.avg(value).over(w).alias(mean_col),
-                        F.stddev_samp(value).over(w).alias(std_col))
-    return out.where(F.col("_bk") == F.col("_home")).drop("_t", "_home", "_bk")
+    copies = tagged.select("*", F.explode("_bks").alias("_bk")).drop("_bks").repartition(by, "_bk")
+
+    # prefix of the own block, up to and including peers of t
+    wp = (Window.partitionBy(by, "_bk", "_k").orderBy("_t")
+          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    with_prefix = copies.select("*", *_moments("_v", wp, "_pre"))
+
+    # suffix of the block before: each row of the bucket itself also sends a
+    # probe there; ordered newest first, a running frame covers rows >= probe
+    sent = with_prefix.select("*", F.explode(
+        F.when(F.col("_bk") == F.col("_home"), F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(0)))).alias("_probe"))
+    sent = sent.withColumns({"_k": F.col("_k") - F.col("_probe"),
+                             "_t": F.col("_t") - F.col("_probe") * F.lit(frame),
+                             "_v": F.when(F.col("_probe") == 0, F.col("_v"))})
+    ws = (Window.partitionBy(by, "_bk", "_k").orderBy(F.col("_t").desc())
+          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    both = sent.select("*", *_moments("_v", ws, "_suf")).where(F.col("_probe") == 1)
+    n, mean, m2 = _combine(["_pre", "_suf"])
+    return both.select(
+        *cols,
+        F.when(n > 0, mean).alias(mean_col),
+        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
 
 
 def _day_buckets(df: DataFrame, key: str, reach: int,
