@@ -308,3 +308,17 @@ def test_halo_windows_are_running(spark):
     frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ([^)]+)\)", plan)
     assert frames and {f[1] for f in frames} == {"unboundedpreceding$()"}
     assert plan.count("Exchange") == 1
+
+
+def test_gold_plain_is_linear_and_flat_frames_have_no_spread(spark):
+    """JOB-6 in the plain shape slides no frame over rows, and a baseline of equal
+    prices is dropped wherever the frame is cut."""
+    start = dt.datetime(2026, 1, 1, 5, 30)
+    snaps = snaps_df(spark, [("FLAT", start + dt.timedelta(minutes=7 * i), 0.1) for i in range(60)])
+    trades = trades_df(spark, [("FLAT", start + dt.timedelta(minutes=11 * i), 0.3, 1.0)
+                               for i in range(40)])
+    got = score_windows(trades, snaps, baseline_form="halo", asof_form="bucketed")
+    frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+), ",
+                        got._jdf.queryExecution().executedPlan().toString())
+    assert frames and set(frames) == {"unboundedpreceding$()"}
+    assert got.count() == 0

@@ -76,7 +76,8 @@ def moving_stats_halo(df: DataFrame, by: str = "asset_symbol",
     # prefix of the own block, up to and including peers of t
     wp = (Window.partitionBy(by, "_bk", "_k").orderBy("_t")
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    with_prefix = copies.select("*", *_moments("_v", wp, "_pre"))
+    with_prefix = copies.select("*", *_moments("_v", wp, "_pre"), F.min("_v").over(wp).alias("_pre_low"),
+                                F.max("_v").over(wp).alias("_pre_high"))
 
     # suffix of the block before: each row of the bucket itself also sends a
     # probe there; ordered newest first, a running frame covers rows >= probe
@@ -88,12 +89,17 @@ def moving_stats_halo(df: DataFrame, by: str = "asset_symbol",
                              "_v": F.when(F.col("_probe") == 0, F.col("_v"))})
     ws = (Window.partitionBy(by, "_bk", "_k").orderBy(F.col("_t").desc())
           .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    both = sent.select("*", *_moments("_v", ws, "_suf")).where(F.col("_probe") == 1)
+    both = sent.select("*", *_moments("_v", ws, "_suf"), F.min("_v").over(ws).alias("_suf_low"),
+                       F.max("_v").over(ws).alias("_suf_high")).where(F.col("_probe") == 1)
     n, mean, m2 = _combine(["_pre", "_suf"])
+    # the means of two parts of equal values may differ in the last digit
+    low = F.least("_pre_low", "_suf_low")
+    flat = (low == F.greatest("_pre_high", "_suf_high")) & (F.abs(low) < float("inf"))
     return both.select(
         *cols,
         F.when(n > 0, mean).alias(mean_col),
-        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias(std_col))
+        F.when(n > 1, F.when(flat, F.lit(0.0)).otherwise(
+            F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))).alias(std_col))
 
 
 def _day_buckets(df: DataFrame, key: str, reach: int,
