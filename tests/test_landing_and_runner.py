@@ -185,3 +185,16 @@ def test_catalog_tables(spark, tmp_dir):
     finally:
         for name in ("bronze", "silver", "gold"):
             spark.sql(f"DROP DATABASE IF EXISTS tw_{name} CASCADE")
+
+
+def test_snapshot_landing_may_be_compressed(spark, tmp_dir, monkeypatch):
+    from tidewatch.sources import landing
+    from tidewatch.sources.bronze import read_bronze_snapshots
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 100)
+    df = spark.range(400).selectExpr("cast(id as string) AS id", "1.5D AS current_price")
+    for _ in range(2):  # a replay replaces its files
+        assert land_snapshots(df, tmp_dir, NOW, "gzip")["records"] == 400
+    files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=*/*.json.gz")
+    assert 1 < len(files) <= 4
+    got = read_bronze_snapshots(spark, tmp_dir)
+    assert got.count() == got.select("id").distinct().count() == 400

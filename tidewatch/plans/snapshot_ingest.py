@@ -26,6 +26,7 @@ def read_response(spark: SparkSession, path: str, multiline: bool = True) -> Dat
 
 
 def ingest_snapshots(spark: SparkSession, response_path: str, bronze_path: str,
-                     now: dt.datetime | None = None, multiline: bool = True) -> dict:
+                     now: dt.datetime | None = None, multiline: bool = True,
+                     compression: str | None = None) -> dict:
     return land_snapshots(read_response(spark, response_path, multiline),
-                          bronze_path, now)
+                          bronze_path, now, compression)
