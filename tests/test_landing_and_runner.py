@@ -198,3 +198,14 @@ def test_snapshot_landing_may_be_compressed(spark, tmp_dir, monkeypatch):
     assert 1 < len(files) <= 4
     got = read_bronze_snapshots(spark, tmp_dir)
     assert got.count() == got.select("id").distinct().count() == 400
+
+
+def test_backfill_bronze_is_landed_compressed(spark, tmp_dir):
+    from tidewatch.queries import _land_bronze
+    spark.sql("SELECT 1L event_id, TIMESTAMP_NTZ'2026-01-01 10:00:00' ts, 2L user_id, 'view' event_type, "
+              "1.5D value, '{\"k\": 3}' props").write.parquet(f"{tmp_dir}/events.parquet")
+    layout = _land_bronze(spark, tmp_dir, f"{tmp_dir}/lake")
+    for path in (layout.bronze_trades, layout.bronze_snapshots):
+        files = glob.glob(f"{path}/**/part-*", recursive=True)
+        assert files and all(f.endswith(".json.gz") for f in files)
+    assert [r.price for r in read_bronze_trades(spark, layout.bronze_trades).collect()] == ["1.5"]
