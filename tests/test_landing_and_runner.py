@@ -209,3 +209,43 @@ def test_backfill_bronze_is_landed_compressed(spark, tmp_dir):
         files = glob.glob(f"{path}/**/part-*", recursive=True)
         assert files and all(f.endswith(".json.gz") for f in files)
     assert [r.price for r in read_bronze_trades(spark, layout.bronze_trades).collect()] == ["1.5"]
+
+
+def test_landing_without_a_shuffle(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from tidewatch.sources.landing import land_jsonl
+    df = spark.range(0, 450, numPartitions=3).selectExpr("id AS trade_id", "'1.5' AS price")
+    for _ in range(2):  # a replay replaces its files
+        land_jsonl(df, tmp_dir, "b", F.lit("2026-06-10T14:05:00+00:00"), compression="gzip",
+                   records_per_file=100)
+    files = glob.glob(f"{tmp_dir}/year=2026/month=06/day=10/hour=14/batch=b/*.json.gz")
+    assert len(files) == 6  # two of each task
+    assert sorted(r.trade_id for r in read_bronze_trades(spark, tmp_dir).collect()) == list(range(450))
+
+
+def test_gold_after_late_rows_lands_compressed_and_keeps_nothing_staged(spark, tmp_dir):
+    from tidewatch import queries as Q
+    from tidewatch.session import shared_dir
+    spark.sql("SELECT id event_id, TIMESTAMP_NTZ'2026-01-01 10:00:00' + make_dt_interval(0, 0, id, 0) ts, "
+              "id user_id, 'view' event_type, 1.5D + id % 3 value, '{\"k\": 3}' props FROM range(1, 40)"
+              ).write.parquet(f"{tmp_dir}/events.parquet")
+    shared = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{shared}/*"))
+    assert Q.QUERIES["gold_incremental_moments"](spark, tmp_dir).count() > 0
+    made = set(glob.glob(f"{shared}/*")) - before
+    assert [p for p in made if "-merge-" in p] == []
+    files = [f for p in made for f in glob.glob(f"{p}/lake/bronze/**/part-*", recursive=True)]
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_key_filters_of_small_files_are_small(spark, tmp_dir):
+    import os
+    import pyarrow.parquet as pq
+    from tidewatch.sources.tables import append_day_partitioned
+    df = spark.range(0, 300, numPartitions=1).selectExpr(
+        "id AS trade_id", "TIMESTAMP_NTZ'2026-01-01 10:00:00' AS ingested_at")
+    assert append_day_partitioned(df, tmp_dir, "ingested_at", "trade_id") == 300
+    (file,) = glob.glob(f"{tmp_dir}/part_day=*/part-*")
+    column = pq.ParquetFile(file).metadata.row_group(0).column(0)
+    assert column.path_in_schema == "trade_id"
+    assert 500 < os.path.getsize(file) - column.total_compressed_size < 8000  # it was 66 000

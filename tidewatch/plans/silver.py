@@ -17,7 +17,7 @@ from tidewatch.functions.time import (
 from tidewatch.operators.dedupe import dedupe_first
 from tidewatch.operators.merge import rows_to_insert, within_key_range
 from tidewatch.operators.projections import quarantine_trades, type_snapshots, type_trades
-from tidewatch.session import scratch_path
+from tidewatch.session import drop_scratch, scratch_path
 from tidewatch.sources import journal, moments
 from tidewatch.sources.bronze import read_bronze_snapshots, read_bronze_trades, where_hours
 from tidewatch.sources.tables import DAY, Layout, add_day, append_day_partitioned, read_table
@@ -90,18 +90,29 @@ def _merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame, k
            changes: Callable[[DataFrame], DataFrame],
            step: Callable[[str], None] | None = None) -> int:
     """Stage the source (bronze is parsed once) and what of it is new; note the
-    change, append, close the note (:mod:`tidewatch.sources.journal`).
+    change, append, close the note (:mod:`tidewatch.sources.journal`).  What was
+    staged is deleted: the source once the new rows are known, these at the end.
 
     ``step`` is called after each of these: ``noted``, ``appended``, ``closed``.
     Notes that an earlier merge left open are closed too: a table has one merge at
     a time, so their merges are over."""
     path = scratch_path(spark, f"{table}-merge")
+    try:
+        return _staged_merge(spark, layout, table, source, keys, changes, path, step)
+    finally:
+        drop_scratch(path)
+
+
+def _staged_merge(spark: SparkSession, layout: Layout, table: str, source: DataFrame,
+                  keys: list[str], changes: Callable[[DataFrame], DataFrame], path: str,
+                  step: Callable[[str], None] | None) -> int:
     tell = step or (lambda name: None)
     source.write.parquet(f"{path}/source")
     staged = spark.read.schema(source.schema).parquet(f"{path}/source")
     delta = silver_delta(spark, layout, table, staged, keys)
     delta.write.parquet(f"{path}/delta")
     delta = spark.read.schema(delta.schema).parquet(f"{path}/delta")
+    drop_scratch(f"{path}/source")
     left, inserted, own = journal.open_notes(spark, layout, table), 0, []
     if not delta.isEmpty():
         own = [journal.open_note(spark, layout, table, changes(delta))]
